@@ -1,0 +1,360 @@
+"""Keyed streaming operators on Spark's state store.
+
+Within a micro-batch a key's rows are put in order and handled column-wise; what must outlive the
+batch is in typed state. A key's share of one batch is bounded by the source's intake cap per
+trigger (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``). Rows that arrive behind what was already
+handled for their key come out marked as late instead of vanishing.
+"""
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from tickloom.functions.clock import BAR_NS, ns_to_timestamp, local_day
+from tickloom.functions.vectors import FEATURES, feature_vector
+from tickloom.schemas import STREAM_BAR, STREAM_VECTOR
+
+IDLE_MS = 600_000
+DELAY = "10 minutes"
+
+BAR, LATE = "bar", "late"
+
+
+class _BookProcessor(StatefulProcessor):
+    """Book and open bar of one contract."""
+
+    # kind tells bars from late events; late events carry their position instead of measures.
+    OUTPUT = T.StructType.fromDDL(
+        "kind STRING, bucket_ns LONG, underlier STRING, instrument_type STRING, event_count LONG,"
+        " size_total LONG, buy_size LONG, sell_size LONG, notional DOUBLE, best_bid DOUBLE,"
+        " best_ask DOUBLE, event_time LONG, sequence LONG, contract_id STRING"
+    )
+    OPEN = ["bucket_ns", "underlier", "instrument_type", "event_count", "size_total", "buy_size",
+            "sell_size", "notional"]
+
+    def __init__(self, width_ns: int, idle_ms: int) -> None:
+        self.width_ns, self.idle_ms = width_ns, idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.book = handle.getMapState("book", "side INT, price DOUBLE", "size LONG")
+        self.position = handle.getValueState("position", "event_time LONG, sequence LONG")
+        self.trades = handle.getValueState(
+            "trades", "price DOUBLE, size LONG, total_volume LONG"
+        )
+        self.open_bar = handle.getValueState(
+            "open_bar",
+            "bucket_ns LONG, underlier STRING, instrument_type STRING, event_count LONG,"
+            " size_total LONG, buy_size LONG, sell_size LONG, notional DOUBLE",
+        )
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
+        pdf = pd.concat(list(rows), ignore_index=True)
+        pdf = pdf.sort_values(["event_time", "sequence"], kind="stable", ignore_index=True)
+        if self.position.exists():
+            time, sequence = self.position.get()
+            behind = (pdf["event_time"] < time) | (
+                (pdf["event_time"] == time) & (pdf["sequence"] < sequence)
+            )
+            late, pdf = pdf[behind], pdf[~behind].reset_index(drop=True)
+            if len(late):
+                yield self._late(key[0], late)
+        if len(pdf):
+            bars = self._advance(pdf)
+            if bars:
+                yield self._frame(key[0], bars)
+            last = pdf.iloc[-1]
+            self.position.update((int(last["event_time"]), int(last["sequence"])))
+            self._set_timers(int(last["event_time"]), timerValues)
+
+    def _advance(self, pdf: pd.DataFrame) -> list[dict]:
+        """Apply ordered rows; return the bars they close."""
+        pdf["bucket_ns"] = pdf["event_time"] // self.width_ns * self.width_ns
+        book = {(k[0], k[1]): v[0] for k, v in self.book.iterator()}
+        before = dict(book)
+        changes = self._level_changes(pdf)
+        open_bar = (
+            dict(zip(self.OPEN, self.open_bar.get())) if self.open_bar.exists() else None
+        )
+        closed = []
+        for bar in self._bar_parts(pdf):
+            if open_bar is not None and open_bar["bucket_ns"] == bar["bucket_ns"]:
+                open_bar = _merge_bars(open_bar, bar)
+            else:
+                if open_bar is not None:
+                    closed.append({**open_bar, **_top(book)})
+                open_bar = bar
+            for level, total, low in changes.get(bar["bucket_ns"], []):
+                size = book.get(level, 0)
+                size = size + total - min(0, size + low)
+                if size > 0:
+                    book[level] = size
+                else:
+                    book.pop(level, None)
+        self.open_bar.update(tuple(open_bar[c] for c in self.OPEN))
+        for level in before.keys() - book.keys():
+            self.book.removeKey(level)
+        for level, size in book.items():
+            if before.get(level) != size:
+                self.book.updateValue(level, (size,))
+        self._add_trades(pdf)
+        return closed
+
+    @staticmethod
+    def _level_changes(pdf: pd.DataFrame) -> dict[int, list[tuple]]:
+        """Per bucket and level: the sum of signed sizes and its lowest running value."""
+        action = pdf["action"].str.upper()
+        ev = pdf[action.isin(["A", "C"]) & (pdf["side_sign"] != 0)]
+        ev = ev[ev["price"].notna() & ev["size"].notna()]
+        if ev.empty:
+            return {}
+        delta = np.where(action[ev.index] == "A", ev["size"], -ev["size"]).astype("int64")
+        ev = ev[["bucket_ns", "side_sign", "price"]].assign(delta=delta)
+        level = ["bucket_ns", "side_sign", "price"]
+        ev["run"] = ev.groupby(level)["delta"].cumsum()
+        parts = ev.groupby(level).agg(total=("delta", "sum"), low=("run", "min"))
+        out: dict[int, list[tuple]] = {}
+        for (bucket, side, price), total, low in zip(parts.index, parts["total"], parts["low"]):
+            out.setdefault(int(bucket), []).append(
+                ((int(side), float(price)), int(total), int(low))
+            )
+        return out
+
+    @staticmethod
+    def _bar_parts(pdf: pd.DataFrame) -> list[dict]:
+        size = pdf["size"].fillna(0)
+        parts = (
+            pdf.assign(
+                size=size,
+                buy=size.where(pdf["side_sign"] == 1, 0),
+                sell=size.where(pdf["side_sign"] == -1, 0),
+                notional=(pdf["price"] * size).fillna(0.0),
+            )
+            .groupby("bucket_ns", sort=True)
+            .agg(
+                underlier=("underlier", "last"),
+                instrument_type=("instrument_type", "last"),
+                event_count=("size", "size"),
+                size_total=("size", "sum"),
+                buy_size=("buy", "sum"),
+                sell_size=("sell", "sum"),
+                notional=("notional", "sum"),
+            )
+            .reset_index()
+        )
+        whole = ["bucket_ns", "event_count", "size_total", "buy_size", "sell_size"]
+        return [
+            {**r, **{c: int(r[c]) for c in whole}, "notional": float(r["notional"])}
+            for r in parts.to_dict("records")
+        ]
+
+    def _add_trades(self, pdf: pd.DataFrame) -> None:
+        trades = pdf[pdf["action"].str.upper() == "T"]
+        if len(trades):
+            volume = self.trades.get()[2] if self.trades.exists() else 0
+            last = trades.iloc[-1]
+            self.trades.update(
+                (float(last["price"]), int(last["size"]), volume + int(trades["size"].sum()))
+            )
+
+    def _set_timers(self, event_ns: int, timer_values) -> None:
+        for t in list(self.handle.listTimers()):
+            self.handle.deleteTimer(t)
+        now = timer_values.getCurrentWatermarkInMs()
+        bar_end = (event_ns // self.width_ns + 1) * self.width_ns // 1_000_000
+        self.handle.registerTimer(max(bar_end, now + 1))
+        self.handle.registerTimer(max(event_ns // 1_000_000 + self.idle_ms, now + 2))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        if self.open_bar.exists():
+            bar = dict(zip(self.OPEN, self.open_bar.get()))
+            book = {(k[0], k[1]): v[0] for k, v in self.book.iterator()}
+            self.open_bar.clear()
+            # What still arrives for the closed bar is late.
+            self.position.update((bar["bucket_ns"] + self.width_ns, -1))
+            yield self._frame(key[0], [{**bar, **_top(book)}])
+        expiry = expiredTimerInfo.getExpiryTimeInMs()
+        if all(t <= expiry for t in self.handle.listTimers()):  # the last one is the idle timer
+            for state in (self.book, self.position, self.trades):
+                state.clear()
+
+    def _frame(self, contract: str, bars: list[dict]) -> pd.DataFrame:
+        out = pd.DataFrame(bars).assign(kind=BAR, contract_id=contract)
+        return _typed(out, self.OUTPUT)
+
+    def _late(self, contract: str, late: pd.DataFrame) -> pd.DataFrame:
+        out = late[["event_time", "sequence"]].assign(kind=LATE, contract_id=contract)
+        return _typed(out, self.OUTPUT)
+
+    def close(self) -> None:
+        pass
+
+
+def _top(book: dict[tuple, int]) -> dict[str, float | None]:
+    bids = [price for side, price in book if side == 1]
+    asks = [price for side, price in book if side == -1]
+    return {"best_bid": max(bids, default=None), "best_ask": min(asks, default=None)}
+
+
+def _merge_bars(a: dict, b: dict) -> dict:
+    sums = ["event_count", "size_total", "buy_size", "sell_size", "notional"]
+    return {**b, **{c: a[c] + b[c] for c in sums}}
+
+
+def _typed(pdf: pd.DataFrame, schema: T.StructType) -> pd.DataFrame:
+    """Columns in schema order, with missing ones null and longs that may be null."""
+    out = pdf.reindex(columns=schema.fieldNames())
+    for f in schema:
+        if f.dataType == T.LongType():
+            out[f.name] = out[f.name].astype("Int64")
+        elif f.dataType == T.DoubleType():
+            out[f.name] = out[f.name].astype("float64")
+    return out
+
+
+def _clock(df: DataFrame, clock: str, delay: str) -> DataFrame:
+    return df.withWatermark(clock, delay)
+
+
+def book_stream(
+    df: DataFrame,
+    *,
+    clock: str = "enqueued_time",
+    delay: str = DELAY,
+    width_ns: int = BAR_NS,
+    idle_ms: int = IDLE_MS,
+) -> DataFrame:
+    """Closed bars with the book's top at their end, and late events, from normalised events.
+
+    A bar closes when its contract moves on to a later bucket, or when the watermark of ``clock``
+    passes its end. A contract that stays silent for ``idle_ms`` loses its state. ``clock`` is
+    arrival time, so an event that is old by its own time still gets here and is marked late.
+    """
+    columns = ["contract_id", "event_time", "sequence", "action", "side_sign", "price", "size",
+               "underlier", "instrument_type"]
+    return (
+        _clock(df, clock, delay)
+        .select(*columns, clock)
+        .groupBy("contract_id")
+        .transformWithStateInPandas(
+            _BookProcessor(width_ns, idle_ms),
+            outputStructType=_BookProcessor.OUTPUT,
+            outputMode="append",
+            timeMode="EventTime",
+        )
+    )
+
+
+def stream_primitives(book: DataFrame) -> DataFrame:
+    """The bars of ``book_stream`` in the layout of the streaming feature table."""
+    buy, sell = F.col("buy_size"), F.col("sell_size")
+    bid, ask = F.col("best_bid"), F.col("best_ask")
+    sided: Column = buy + sell
+    return (
+        book.where(F.col("kind") == BAR)
+        .withColumns(
+            {
+                "bucket_ts": ns_to_timestamp("bucket_ns"),
+                "session_date": local_day("bucket_ns"),
+                "vwap": F.when(F.col("size_total") > 0, F.col("notional") / F.col("size_total")),
+                "ofi": buy - sell,
+                "ofi_ratio": F.when(sided > 0, (buy - sell) / sided).otherwise(F.lit(0.0)),
+                "mid": (ask + bid) / 2.0,
+                "spread": ask - bid,
+            }
+        )
+        .select(*STREAM_BAR.fieldNames())
+    )
+
+
+def late_rows(book: DataFrame) -> DataFrame:
+    return book.where(F.col("kind") == LATE).select("contract_id", "event_time", "sequence")
+
+
+class _ChangeProcessor(StatefulProcessor):
+    """Last mid of one contract."""
+
+    def __init__(self, idle_ms: int) -> None:
+        self.idle_ms = idle_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", "bucket_ns LONG, mid DOUBLE")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
+        pdf = pd.concat(list(rows), ignore_index=True).sort_values("bucket_ns", ignore_index=True)
+        pdf["mid"] = pdf["mid"].astype("float64")
+        behind = pd.Series(False, index=pdf.index)
+        bucket, mid = self.last.get() if self.last.exists() else (None, None)
+        if bucket is not None:
+            behind = pdf["bucket_ns"] <= bucket
+        change = pdf["mid"] - pdf["mid"].shift(1)
+        ahead = np.flatnonzero(~behind)
+        if len(ahead):
+            first = ahead[0]
+            last_mid = np.nan if mid is None else mid
+            change[first] = 0.0 if bucket is None else pdf["mid"][first] - last_mid
+        change[behind] = np.nan  # a bar behind its contract has no known predecessor
+        final = pdf.iloc[-1]
+        if bucket is None or final["bucket_ns"] > bucket:
+            mid = None if pd.isna(final["mid"]) else float(final["mid"])
+            self.last.update((int(final["bucket_ns"]), mid))
+            for t in list(self.handle.listTimers()):
+                self.handle.deleteTimer(t)
+            idle_at = int(final["bucket_ns"]) // 1_000_000 + self.idle_ms
+            self.handle.registerTimer(max(idle_at, timerValues.getCurrentWatermarkInMs() + 1))
+        yield pdf.assign(mid_change=change.astype("float64"))[self.OUTPUT.fieldNames()]
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        self.last.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+    OUTPUT = T.StructType.fromDDL(
+        "bucket_ns LONG, session_date STRING, underlier STRING, instrument_type STRING,"
+        " ofi_ratio DOUBLE, spread DOUBLE, mid_change DOUBLE, vwap DOUBLE, event_count LONG,"
+        " contract_id STRING"
+    )
+
+
+def gold_stream(
+    df: DataFrame,
+    *,
+    model_id: str = "ES_MODEL",
+    clock: str = "bucket_ts",
+    delay: str = DELAY,
+    idle_ms: int = IDLE_MS,
+) -> DataFrame:
+    """Feature vectors of streamed bars; a contract's first bar has a change of zero.
+
+    Measures stay null where the bar has none; the vector holds zeros there.
+    """
+    columns = ["contract_id", "bucket_ns", "session_date", "underlier", "instrument_type",
+               "ofi_ratio", "spread", "mid", "vwap", "event_count"]
+    changed = (
+        _clock(df, clock, delay)
+        .select(*columns, clock)
+        .groupBy("contract_id")
+        .transformWithStateInPandas(
+            _ChangeProcessor(idle_ms),
+            outputStructType=_ChangeProcessor.OUTPUT,
+            outputMode="append",
+            timeMode="EventTime",
+        )
+    )
+    return (
+        changed.withColumnRenamed("bucket_ns", "vector_time")
+        .withColumn("feature_vector", feature_vector(FEATURES))
+        .select(
+            *STREAM_VECTOR.fieldNames(),
+            F.lit(model_id).alias("model_id"),
+            F.current_timestamp().alias("gold_ingest_time"),
+        )
+    )
