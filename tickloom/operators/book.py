@@ -32,6 +32,7 @@ def book_events(df: DataFrame) -> DataFrame:
         & F.col("contract_id").isNotNull()
         & F.col("price").isNotNull()
         & F.col("size").isNotNull()
+        & F.col("event_time").isNotNull()
     ).select(
         *LEVEL,
         *ORDER,
@@ -40,27 +41,35 @@ def book_events(df: DataFrame) -> DataFrame:
 
 
 def _scan_pieces(df: DataFrame, piece_ns: int) -> DataFrame:
-    """Running sum and running minimum inside each ``(level, piece)``."""
+    """Running sum and running minimum inside each ``(level, piece)``, and its last row marked."""
     w = Window.partitionBy(*LEVEL, "piece").orderBy(*ORDER)
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Never null, so that joining on it adds no filter to one side only and both sides of the
+    # later join read the same shuffle.
+    piece = F.coalesce(bucket_floor("event_time", piece_ns), F.lit(0))
     return (
         book_events(df)
-        .withColumn("piece", bucket_floor("event_time", piece_ns))
+        .withColumn("piece", piece)
         .withColumn("run", F.sum("delta").over(upto))
+        .withColumn("next_time", F.lead("event_time").over(w))
         .withColumn("low", F.min("run").over(upto))
     )
 
 
 def _carry(scanned: DataFrame) -> DataFrame:
-    """What each piece inherits: the sum before it and the lowest running sum before it."""
+    """What each piece inherits: the sum before it and the lowest running sum before it.
+
+    A piece's last row already holds its total and its lowest running sum, so summing up takes a
+    filter and no further shuffle of the events.
+    """
     earlier = (
         Window.partitionBy(*LEVEL)
         .orderBy("piece")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     return (
-        scanned.groupBy(*LEVEL, "piece")
-        .agg(F.sum("delta").alias("total"), F.min("run").alias("piece_low"))
+        scanned.where(F.col("next_time").isNull())
+        .select(*LEVEL, "piece", F.col("run").alias("total"), F.col("low").alias("piece_low"))
         .withColumn("base", F.coalesce(F.sum("total").over(earlier), F.lit(0)))
         .withColumn("lowest", F.min(F.col("base") + F.col("piece_low")).over(earlier))
     )
@@ -101,10 +110,8 @@ def level_closes(
         raise ValueError("piece_ns must be a multiple of width_ns")
     scanned = _scan_pieces(df, piece_ns)
     bucket = bucket_floor("event_time", width_ns)
-    following = F.lead(bucket).over(Window.partitionBy(*LEVEL, "piece").orderBy(*ORDER))
-    last = scanned.withColumns({"bucket_ns": bucket, "_next": following}).where(
-        F.col("_next").isNull() | (F.col("_next") != F.col("bucket_ns"))
-    )
+    moves_on = F.col("next_time").isNull() | (bucket_floor("next_time", width_ns) != bucket)
+    last = scanned.where(moves_on).withColumn("bucket_ns", bucket)
     return _with_size(last, _carry(scanned)).select(*LEVEL, "bucket_ns", "level_size")
 
 

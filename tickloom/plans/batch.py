@@ -10,11 +10,22 @@ from tickloom.operators import training
 from tickloom.operators.bars import bars, feature_primitives, normalize, orderbook_state
 from tickloom.operators.features import labels, setup_vectors
 from tickloom.operators.guards import guard_nonempty, guard_training_set
-from tickloom.operators.ingest import outright_only, record_type, session_window, symbol_present
+from tickloom.operators.ingest import (
+    outright_only,
+    record_type,
+    session_window,
+    symbol_present,
+    valid_rows,
+)
 from tickloom.sources.broker import decode_envelope
-from tickloom.operators.ingest import valid_rows
 from tickloom.sources.records import raw_to_envelope
-from tickloom.sources.sinks import append_stream, append_table, export_snapshot, replace_slice
+from tickloom.sources.sinks import (
+    append_stream,
+    append_table,
+    export_snapshot,
+    finish,
+    replace_slice,
+)
 from tickloom.sources.tables import Slice, read_slice
 
 
@@ -118,17 +129,26 @@ def train_and_score(
     checkpoint: str,
     min_records: int = 10,
     inputs: Sequence[str] = ("price", "size"),
+    location: str | None = None,
     timeout_s: int | None = None,
 ) -> None:
-    """Bounded stream intake, then train on it, register the run and score it."""
+    """Bounded stream intake, then train on it, register the run and score it.
+
+    ``location`` is the folder for tables that do not exist yet; unset, the warehouse.
+    """
     spark = broker.sparkSession
-    intake = append_stream(valid_rows(decode_envelope(broker)), events_table, checkpoint)
-    if not (intake.awaitTermination(timeout_s) if timeout_s else intake.awaitTermination() or True):
-        intake.stop()
-        raise TimeoutError(f"intake into {events_table} took more than {timeout_s} s")
+
+    def at(table: str) -> str | None:
+        return location and f"{location}/{table}"
+
+    intake = append_stream(
+        valid_rows(decode_envelope(broker)), events_table, checkpoint, location=at(events_table)
+    )
+    finish(intake, timeout_s)
     rows = training.training_rows(spark.table(events_table))
     guard_training_set(rows, min_records=min_records)
     model = training.train_model(rows, model_path, tuple(inputs))
     metrics = training.model_accuracy(model, rows)
-    append_table(training.registry_row(spark, model_path, metrics), registry_table)
-    append_table(training.score_table(rows, model_path), scores_table)
+    registry = training.registry_row(spark, model_path, metrics)
+    append_table(registry, registry_table, at(registry_table))
+    append_table(training.score_table(rows, model_path), scores_table, at(scores_table))

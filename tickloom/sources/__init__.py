@@ -6,6 +6,7 @@ from tickloom.sources.sinks import (  # noqa: F401
     append_table,
     export_snapshot,
     fan_out,
+    finish,
     read_batches,
     replace_slice,
     write_messages,

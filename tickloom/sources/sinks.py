@@ -56,8 +56,12 @@ def export_snapshot(df: DataFrame, root: str, model_id: str, run_date: str) -> s
     return path
 
 
-def append_table(df: DataFrame, name: str) -> None:
-    df.write.mode("append").saveAsTable(name)
+def append_table(df: DataFrame, name: str, location: str | None = None) -> None:
+    """Append to a catalogue table, created at ``location`` or in the warehouse."""
+    writer = df.write.mode("append").format("parquet")
+    if location:
+        writer = writer.option("path", location)
+    writer.saveAsTable(name)
 
 
 def _trigger(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
@@ -65,14 +69,31 @@ def _trigger(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
 
 
 def append_stream(
-    df: DataFrame, target: str, checkpoint: str, *, every: str | None = None, fmt: str = "parquet"
+    df: DataFrame,
+    target: str,
+    checkpoint: str,
+    *,
+    every: str | None = None,
+    fmt: str = "parquet",
+    location: str | None = None,
 ) -> StreamingQuery:
     """Append to a table by path or name; runs once over what is there unless ``every`` is set."""
     writer = df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
+    if location:
+        writer = writer.option("path", location)
     writer = _trigger(writer, every)
     return writer.start(target) if "/" in target else writer.toTable(target)
 
 
+def finish(query: StreamingQuery, timeout_s: int | None = None) -> None:
+    """Wait for a run-once query; stop it and fail when it overruns."""
+    if timeout_s is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout_s):
+        query.stop()
+        raise TimeoutError(f"query {query.name or query.id} took more than {timeout_s} s")
+
+
 Sink = Callable[[DataFrame, int], None]
 
 

@@ -75,35 +75,53 @@ class _BookProcessor(StatefulProcessor):
     def _advance(self, pdf: pd.DataFrame) -> list[dict]:
         """Apply ordered rows; return the bars they close."""
         pdf["bucket_ns"] = pdf["event_time"] // self.width_ns * self.width_ns
-        book = {(k[0], k[1]): v[0] for k, v in self.book.iterator()}
-        before = dict(book)
-        changes = self._level_changes(pdf)
+        stored = {(k[0], k[1]): v[0] for k, v in self.book.iterator()}
+        book = dict(stored)
         open_bar = (
             dict(zip(self.OPEN, self.open_bar.get())) if self.open_bar.exists() else None
         )
+        trades = self.trades.get() if self.trades.exists() else None
+        previous = self.position.get()[0] if self.position.exists() else None
+        gap = pdf["event_time"].diff()
+        if previous is not None:
+            gap.iloc[0] = pdf["event_time"].iloc[0] - previous
+        silent = gap >= self.idle_ms * 1_000_000
         closed = []
-        for bar in self._bar_parts(pdf):
-            if open_bar is not None and open_bar["bucket_ns"] == bar["bucket_ns"]:
-                open_bar = _merge_bars(open_bar, bar)
-            else:
+        for _, run in pdf.groupby(silent.cumsum(), sort=True):
+            if silent[run.index[0]]:
                 if open_bar is not None:
                     closed.append({**open_bar, **_top(book)})
-                open_bar = bar
-            for level, total, low in changes.get(bar["bucket_ns"], []):
-                size = book.get(level, 0)
-                size = size + total - min(0, size + low)
-                if size > 0:
-                    book[level] = size
+                book, open_bar, trades = {}, None, None
+            changes = self._level_changes(run)
+            for bar in self._bar_parts(run):
+                if open_bar is not None and open_bar["bucket_ns"] == bar["bucket_ns"]:
+                    open_bar = _merge_bars(open_bar, bar)
                 else:
-                    book.pop(level, None)
+                    if open_bar is not None:
+                        closed.append({**open_bar, **_top(book)})
+                    open_bar = bar
+                for level, total, low in changes.get(bar["bucket_ns"], []):
+                    size = book.get(level, 0)
+                    size = size + total - min(0, size + low)
+                    if size > 0:
+                        book[level] = size
+                    else:
+                        book.pop(level, None)
+            trades = _add_trades(trades, run)
+        self._store(stored, book, open_bar, trades)
+        return closed
+
+    def _store(self, stored: dict, book: dict, open_bar: dict, trades: tuple | None) -> None:
         self.open_bar.update(tuple(open_bar[c] for c in self.OPEN))
-        for level in before.keys() - book.keys():
+        for level in stored.keys() - book.keys():
             self.book.removeKey(level)
         for level, size in book.items():
-            if before.get(level) != size:
+            if stored.get(level) != size:
                 self.book.updateValue(level, (size,))
-        self._add_trades(pdf)
-        return closed
+        if trades is None:
+            self.trades.clear()
+        else:
+            self.trades.update(trades)
 
     @staticmethod
     def _level_changes(pdf: pd.DataFrame) -> dict[int, list[tuple]]:
@@ -153,15 +171,6 @@ class _BookProcessor(StatefulProcessor):
             for r in parts.to_dict("records")
         ]
 
-    def _add_trades(self, pdf: pd.DataFrame) -> None:
-        trades = pdf[pdf["action"].str.upper() == "T"]
-        if len(trades):
-            volume = self.trades.get()[2] if self.trades.exists() else 0
-            last = trades.iloc[-1]
-            self.trades.update(
-                (float(last["price"]), int(last["size"]), volume + int(trades["size"].sum()))
-            )
-
     def _set_timers(self, event_ns: int, timer_values) -> None:
         for t in list(self.handle.listTimers()):
             self.handle.deleteTimer(t)
@@ -201,6 +210,15 @@ def _top(book: dict[tuple, int]) -> dict[str, float | None]:
     return {"best_bid": max(bids, default=None), "best_ask": min(asks, default=None)}
 
 
+def _add_trades(trades: tuple | None, pdf: pd.DataFrame) -> tuple | None:
+    """Last trade price and size, and volume so far."""
+    rows = pdf[pdf["action"].str.upper() == "T"]
+    if rows.empty:
+        return trades
+    last, volume = rows.iloc[-1], trades[2] if trades else 0
+    return float(last["price"]), int(last["size"]), volume + int(rows["size"].sum())
+
+
 def _merge_bars(a: dict, b: dict) -> dict:
     sums = ["event_count", "size_total", "buy_size", "sell_size", "notional"]
     return {**b, **{c: a[c] + b[c] for c in sums}}
@@ -299,6 +317,9 @@ class _ChangeProcessor(StatefulProcessor):
             first = ahead[0]
             last_mid = np.nan if mid is None else mid
             change[first] = 0.0 if bucket is None else pdf["mid"][first] - last_mid
+        known = pdf["bucket_ns"].where(~behind)
+        gap = known - known.shift(1).fillna(np.nan if bucket is None else bucket)
+        change[gap >= self.idle_ms * 1_000_000] = 0.0
         change[behind] = np.nan  # a bar behind its contract has no known predecessor
         final = pdf.iloc[-1]
         if bucket is None or final["bucket_ns"] > bucket:

@@ -1,7 +1,10 @@
 """Replay of a table as a bounded stream, in time order."""
 
+import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.sources.stage import shared_dir
 
@@ -9,7 +12,29 @@ from tickloom.sources.stage import shared_dir
 FAR_FUTURE_KEY = "__end__"
 
 
-def stage_slices(df: DataFrame, by: str, slices: int = 4, *, files: int = 1) -> str:
+_FAR_FUTURE = datetime.datetime(2100, 1, 1, tzinfo=datetime.timezone.utc)
+
+
+def closing_row(df: DataFrame, key: str = "contract_id") -> DataFrame:
+    """One row whose timestamps lie far ahead, so that all before it counts as complete."""
+    ns = int(_FAR_FUTURE.timestamp()) * 1_000_000_000
+    values = []
+    for f in df.schema:
+        if f.name == key:
+            values.append(FAR_FUTURE_KEY)
+        elif f.name in ("event_time", "ingest_time", "bucket_ns", "vector_time"):
+            values.append(ns)
+        elif f.dataType == T.TimestampType():
+            values.append(_FAR_FUTURE)
+        else:
+            values.append(None)
+    open_schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema])
+    return df.sparkSession.createDataFrame([tuple(values)], open_schema)
+
+
+def stage_slices(
+    df: DataFrame, by: str, slices: int = 4, *, files: int = 1, closing: bool = False
+) -> str:
     """Write equal spans of ``by`` one after another, each as ``files`` files.
 
     A file stream takes files by age, so with ``maxFilesPerTrigger`` set to ``files`` every
@@ -22,4 +47,6 @@ def stage_slices(df: DataFrame, by: str, slices: int = 4, *, files: int = 1) ->
         start = low + i * step
         part = df.where((F.col(by) >= start) & (F.col(by) < start + step))
         part.repartition(files).write.mode("append").parquet(path)
+    if closing:
+        closing_row(df).coalesce(1).write.mode("append").parquet(path)
     return path
