@@ -8,19 +8,44 @@ BAR_KEYS = SERIES_KEYS + ["bucket_ns", "bucket_ts"]
 DEDUP_KEYS = ["contract_id", "order_id", "event_time"]
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+STRING = T.StringType()
+LONG = T.LongType()
+INT = T.IntegerType()
+DOUBLE = T.DoubleType()
+DOUBLES = T.ArrayType(DOUBLE)
+TIMESTAMP = T.TimestampType()
+BINARY = T.BinaryType()
 
 
-ENVELOPE = _struct(
-    "event_time LONG, ingest_time LONG, venue STRING, symbol STRING, instrument_type STRING,"
-    " underlier STRING, contract_id STRING, action STRING, order_id LONG, side STRING,"
-    " price DOUBLE, size LONG, sequence LONG, payload STRING"
+def struct(**types: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in types.items()])
+
+
+ENVELOPE = struct(
+    event_time=LONG,
+    ingest_time=LONG,
+    venue=STRING,
+    symbol=STRING,
+    instrument_type=STRING,
+    underlier=STRING,
+    contract_id=STRING,
+    action=STRING,
+    order_id=LONG,
+    side=STRING,
+    price=DOUBLE,
+    size=LONG,
+    sequence=LONG,
+    payload=STRING,
 )
 ENVELOPE_COLUMNS = ENVELOPE.fieldNames()
 
 # Row shape of a Kafka-protocol source, as far as the decoder needs it.
-BROKER = _struct("value BINARY, timestamp TIMESTAMP, offset LONG, partition INT")
+BROKER = struct(
+    value=BINARY,
+    timestamp=TIMESTAMP,
+    offset=LONG,
+    partition=INT,
+)
 
 DEAD_LETTER_COLUMNS = [
     "raw_record",
@@ -71,18 +96,44 @@ SETUP_COLUMNS = [
 ] + SLICE_KEYS
 LABEL_COLUMNS = ["vector_time", "model_id", "contract_id", "feature_hash", "label"] + SLICE_KEYS
 
-STREAM_BAR = _struct(
-    "contract_id STRING, bucket_ns LONG, bucket_ts TIMESTAMP, session_date STRING, underlier STRING,"
-    " instrument_type STRING, event_count LONG, size_total LONG, buy_size LONG, sell_size LONG,"
-    " vwap DOUBLE, ofi LONG, ofi_ratio DOUBLE, mid DOUBLE, spread DOUBLE, best_bid DOUBLE,"
-    " best_ask DOUBLE"
+STREAM_BAR = struct(
+    contract_id=STRING,
+    bucket_ns=LONG,
+    bucket_ts=TIMESTAMP,
+    session_date=STRING,
+    underlier=STRING,
+    instrument_type=STRING,
+    event_count=LONG,
+    size_total=LONG,
+    buy_size=LONG,
+    sell_size=LONG,
+    vwap=DOUBLE,
+    ofi=LONG,
+    ofi_ratio=DOUBLE,
+    mid=DOUBLE,
+    spread=DOUBLE,
+    best_bid=DOUBLE,
+    best_ask=DOUBLE,
+)
+STREAM_VECTOR = struct(
+    contract_id=STRING,
+    vector_time=LONG,
+    session_date=STRING,
+    underlier=STRING,
+    instrument_type=STRING,
+    ofi_ratio=DOUBLE,
+    spread=DOUBLE,
+    mid_change=DOUBLE,
+    vwap=DOUBLE,
+    event_count=LONG,
+    feature_vector=DOUBLES,
 )
-STREAM_VECTOR = _struct(
-    "contract_id STRING, vector_time LONG, session_date STRING, underlier STRING,"
-    " instrument_type STRING, ofi_ratio DOUBLE, spread DOUBLE, mid_change DOUBLE, vwap DOUBLE,"
-    " event_count LONG, feature_vector ARRAY<DOUBLE>"
+SCORE_RESULT = struct(
+    prediction=INT,
+    prob_0=DOUBLE,
+    prob_1=DOUBLE,
+    error_message=STRING,
 )
-SCORE_RESULT = _struct("prediction INT, prob_0 DOUBLE, prob_1 DOUBLE, error_message STRING")
 
 VECTOR_MESSAGE = [
     "contract_id",

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tickloom.functions.clock import BAR_NS, ns_to_timestamp, local_day
 from tickloom.functions.vectors import FEATURES, feature_vector
-from tickloom.schemas import STREAM_BAR, STREAM_VECTOR
+from tickloom.schemas import DOUBLE, LONG, STREAM_BAR, STREAM_VECTOR, STRING, struct
 
 IDLE_MS = 600_000
 DELAY = "10 minutes"
@@ -29,10 +29,21 @@ class _BookProcessor(StatefulProcessor):
     """Book and open bar of one contract."""
 
     # kind tells bars from late events; late events carry their position instead of measures.
-    OUTPUT = T.StructType.fromDDL(
-        "kind STRING, bucket_ns LONG, underlier STRING, instrument_type STRING, event_count LONG,"
-        " size_total LONG, buy_size LONG, sell_size LONG, notional DOUBLE, best_bid DOUBLE,"
-        " best_ask DOUBLE, event_time LONG, sequence LONG, contract_id STRING"
+    OUTPUT = struct(
+        kind=STRING,
+        bucket_ns=LONG,
+        underlier=STRING,
+        instrument_type=STRING,
+        event_count=LONG,
+        size_total=LONG,
+        buy_size=LONG,
+        sell_size=LONG,
+        notional=DOUBLE,
+        best_bid=DOUBLE,
+        best_ask=DOUBLE,
+        event_time=LONG,
+        sequence=LONG,
+        contract_id=STRING,
     )
     OPEN = ["bucket_ns", "underlier", "instrument_type", "event_count", "size_total", "buy_size",
             "sell_size", "notional"]
@@ -128,7 +139,7 @@ class _BookProcessor(StatefulProcessor):
         """Per bucket and level: the sum of signed sizes and its lowest running value."""
         action = pdf["action"].str.upper()
         ev = pdf[action.isin(["A", "C"]) & (pdf["side_sign"] != 0)]
-        ev = ev[ev["price"].notna() & ev["size"].notna()]
+        ev = ev[ev["price"].notna()]
         if ev.empty:
             return {}
         delta = np.where(action[ev.index] == "A", ev["size"], -ev["size"]).astype("int64")
@@ -145,10 +156,9 @@ class _BookProcessor(StatefulProcessor):
 
     @staticmethod
     def _bar_parts(pdf: pd.DataFrame) -> list[dict]:
-        size = pdf["size"].fillna(0)
+        size = pdf["size"]
         parts = (
             pdf.assign(
-                size=size,
                 buy=size.where(pdf["side_sign"] == 1, 0),
                 sell=size.where(pdf["side_sign"] == -1, 0),
                 notional=(pdf["price"] * size).fillna(0.0),
@@ -228,10 +238,12 @@ def _typed(pdf: pd.DataFrame, schema: T.StructType) -> pd.DataFrame:
     """Columns in schema order, with missing ones null and longs that may be null."""
     out = pdf.reindex(columns=schema.fieldNames())
     for f in schema:
-        if f.dataType == T.LongType():
+        if f.dataType == LONG:
             out[f.name] = out[f.name].astype("Int64")
-        elif f.dataType == T.DoubleType():
+        elif f.dataType == DOUBLE:
             out[f.name] = out[f.name].astype("float64")
+        else:  # plain objects, since string extension arrays may come in several chunks
+            out[f.name] = out[f.name].astype(object).where(out[f.name].notna(), None)
     return out
 
 
@@ -253,11 +265,14 @@ def book_stream(
     passes its end. A contract that stays silent for ``idle_ms`` loses its state. ``clock`` is
     arrival time, so an event that is old by its own time still gets here and is marked late.
     """
-    columns = ["contract_id", "event_time", "sequence", "action", "side_sign", "price", "size",
-               "underlier", "instrument_type"]
+    columns = ["contract_id", "event_time", "action", "side_sign", "price", "underlier",
+               "instrument_type"]
+    # Longs with nulls would reach pandas as doubles and lose digits.
+    whole = [F.coalesce(c, F.lit(0)).alias(c) for c in ("sequence", "size")]
     return (
         _clock(df, clock, delay)
-        .select(*columns, clock)
+        .where(F.col("contract_id").isNotNull() & F.col("event_time").isNotNull())
+        .select(*columns, *whole, clock)
         .groupBy("contract_id")
         .transformWithStateInPandas(
             _BookProcessor(width_ns, idle_ms),
@@ -338,10 +353,17 @@ class _ChangeProcessor(StatefulProcessor):
     def close(self) -> None:
         pass
 
-    OUTPUT = T.StructType.fromDDL(
-        "bucket_ns LONG, session_date STRING, underlier STRING, instrument_type STRING,"
-        " ofi_ratio DOUBLE, spread DOUBLE, mid_change DOUBLE, vwap DOUBLE, event_count LONG,"
-        " contract_id STRING"
+    OUTPUT = struct(
+        bucket_ns=LONG,
+        session_date=STRING,
+        underlier=STRING,
+        instrument_type=STRING,
+        ofi_ratio=DOUBLE,
+        spread=DOUBLE,
+        mid_change=DOUBLE,
+        vwap=DOUBLE,
+        event_count=LONG,
+        contract_id=STRING,
     )
 
 
