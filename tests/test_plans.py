@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tickloom import fixtures as fx
 from tickloom.operators import bars as b
 from tickloom.operators import book, features, ingest
-from tickloom.sources import Slice, read_slice, replace_slice
+from tickloom.sources import Slice, decode_envelope, read_slice, replace_slice
 
 
 def plan(df):
@@ -111,9 +111,20 @@ def test_row_numbers_come_without_a_single_partition_window(spark, sf_dir):
     assert "Window" not in text and "SinglePartition" not in text
 
 
+def last_written_plan(spark):
+    found = spark._jsparkSession.sharedState().statusStore().executionsList()
+    return found.apply(found.size() - 1).physicalPlanDescription()
+
+
 def test_slice_write_needs_no_sort(spark, sf_dir, tmp_path):
     """Rows of one slice need not be sorted by their constant keys."""
-    path = str(tmp_path / "t")
     rows = fx.mbo(spark, sf_dir).where(F.col("session_date") == "2024-01-01")
-    replace_slice(rows, path, Slice("2024-01-01", "SYN", "FUT"))
-    assert spark.read.parquet(path).count() == rows.count()
+    replace_slice(rows, str(tmp_path / "t"), Slice("2024-01-01", "SYN", "FUT"))
+    text = last_written_plan(spark)
+    assert "InsertIntoHadoopFsRelationCommand" in text and "Sort" not in text
+
+
+def test_json_is_parsed_once_per_row(spark, sf_dir):
+    decoded = decode_envelope(fx.broker_rows(spark, sf_dir))
+    for part in ingest.split_valid(decoded):
+        assert plan(part).count("from_json(") == 1

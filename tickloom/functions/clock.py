@@ -13,12 +13,17 @@ from pyspark.sql import functions as F
 EXCHANGE_TZ = "America/New_York"
 SECOND_NS = 1_000_000_000
 BAR_NS = 5 * SECOND_NS
+_DAY_MICROS = 86_400_000_000
 
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _epoch() -> Column:
+    return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+
+
 def bucket_floor(ns: Column | str, width_ns: int = BAR_NS) -> Column:
     """Start of the bucket holding ``ns``; floors towards minus infinity."""
     ns = _col(ns)
@@ -40,17 +45,23 @@ def ns_to_timestamp(ns: Column | str) -> Column:
 
 def ns_to_utc(ns: Column | str) -> Column:
     """UTC wall clock (``TIMESTAMP_NTZ``), the same in every session zone."""
-    return F.timestamp_add("MICROSECOND", _micros(ns), F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
+    return F.timestamp_add("MICROSECOND", _micros(ns), _epoch())
+
+
+def _local_micros(ns: Column | str, tz: str) -> Column:
+    # Plain arithmetic on microseconds, with the zone looked up once per query and not per row.
+    return F.unix_micros(F.from_utc_timestamp(ns_to_timestamp(ns), tz))
 
 
-def utc_to_local(ntz: Column | str, tz: str = EXCHANGE_TZ) -> Column:
-    """UTC wall clock to the wall clock of ``tz``."""
-    return F.convert_timezone(F.lit("UTC"), F.lit(tz), _col(ntz))
+def ns_to_local(ns: Column | str, tz: str = EXCHANGE_TZ) -> Column:
+    """Wall clock of ``tz`` (``TIMESTAMP_NTZ``)."""
+    return F.timestamp_add("MICROSECOND", _local_micros(ns, tz), _epoch())
 
 
 def local_day(ns: Column | str, tz: str = EXCHANGE_TZ) -> Column:
     """Calendar day of ``ns`` in ``tz`` as ``yyyy-MM-dd``."""
-    return utc_to_local(ns_to_utc(ns), tz).cast("date").cast("string")
+    day = bucket_index(_local_micros(ns, tz), _DAY_MICROS)
+    return F.date_from_unix_date(day.cast("int")).cast("string")
 
 
 def session_bounds(

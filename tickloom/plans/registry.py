@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom import fixtures as fx
-from tickloom.functions.clock import SECOND_NS, local_day, ns_to_utc, utc_to_local
+from tickloom.functions.clock import SECOND_NS, local_day, ns_to_local, ns_to_utc
 from tickloom.operators import bars as b
 from tickloom.operators import book, features, ingest, scoring, training
 from tickloom.operators.guards import guard_nonempty, guard_training_set, optional_columns
@@ -231,7 +231,7 @@ def ns_to_ts(spark, sf_dir):
 @_query
 def ts_to_local(spark, sf_dir):
     return fx.mbo_daily(spark, sf_dir).select(
-        "order_id", utc_to_local(ns_to_utc("event_time")).alias("event_ts_est")
+        "order_id", ns_to_local("event_time").alias("event_ts_est")
     )
 
 

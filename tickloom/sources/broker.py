@@ -53,11 +53,16 @@ def parse_json(body: str, schema: T.StructType = ENVELOPE) -> F.Column:
 
 
 def decode_envelope(df: DataFrame, schema: T.StructType = ENVELOPE) -> DataFrame:
-    """Body text, parsed ``data`` and source position of rows shaped like a broker's."""
+    """Body text, parsed ``data`` and source position of rows shaped like a broker's.
+
+    The parsed struct comes out of a one-element explode: what is asked of its fields further up
+    then reads the result, where a plain projection would be copied into each such expression and
+    parse the text again.
+    """
     return df.select(
         F.col("value").cast("string").alias("body"),
         F.col("timestamp").alias("enqueued_time"),
         F.col("offset").cast("string").alias("source_offset"),
         F.col("offset").alias("source_sequence"),
         F.col("partition").alias("source_partition"),
-    ).withColumn("data", parse_json("body", schema))
+    ).select("*", F.explode(F.array(parse_json("body", schema))).alias("data"))

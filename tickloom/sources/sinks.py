@@ -1,6 +1,7 @@
 """Batch and streaming writes."""
 
 from collections.abc import Callable
+from dataclasses import asdict
 
 from pyspark.sql import DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -23,8 +24,10 @@ def replace_slice(df: DataFrame, path: str, part: Slice) -> int:
             F.raise_error(F.lit(f"row outside of {part}")).cast("boolean")
         )
     ).observe(seen, F.count(F.lit(1)).alias("rows"))
+    # As literals the checked keys need no sort ahead of a partitioned write.
+    constant = checked.withColumns({k: F.lit(v) for k, v in asdict(part).items()})
     (
-        checked.write.mode("overwrite")
+        constant.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*SLICE_KEYS)
         .parquet(path)
