@@ -1,6 +1,6 @@
 """Vectorised scoring with an injected batch scorer."""
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -11,7 +11,7 @@ from tickloom.operators.guards import optional_columns
 from tickloom.schemas import SCORE_RESULT
 
 # Takes a list of vectors, returns predictions and per-class probabilities, one entry per vector.
-Scorer = Callable[[list[list[float]]], tuple[list, list]]
+Scorer = Callable[[Sequence[np.ndarray]], tuple[Sequence, Sequence]]
 
 VECTOR_SIZE = 5
 FAILED = -1
@@ -23,30 +23,38 @@ class LinearScorer:
     def __init__(self, weights: list[float], bias: float = 0.0) -> None:
         self.weights, self.bias = weights, bias
 
-    def __call__(self, batch: list[list[float]]) -> tuple[list, list]:
+    def __call__(self, batch: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         x = np.asarray(batch, dtype=float)
         z = np.full(len(x), self.bias)
         for i, w in enumerate(self.weights):
             z = z + x[:, i] * w
         p = 1.0 / (1.0 + np.exp(-z))
-        return (p >= 0.5).astype(int).tolist(), np.column_stack([1.0 - p, p]).tolist()
+        return (p >= 0.5).astype(int), np.column_stack([1.0 - p, p])
 
 
-def _score_once(scorer: Scorer, batch: list[list[float]]) -> pd.DataFrame:
+def _class_column(probabilities: Sequence, i: int) -> Sequence[float]:
+    """Probability of class i; zero where a row gives none."""
+    if isinstance(probabilities, np.ndarray) and probabilities.ndim == 2:
+        known = probabilities.shape[1] > i
+        return probabilities[:, i] if known else np.zeros(len(probabilities))
+    return [float(p[i]) if len(p) > i else 0.0 for p in probabilities]
+
+
+def _score_once(scorer: Scorer, batch: Sequence[np.ndarray]) -> pd.DataFrame:
     predictions, probabilities = scorer(batch)
     if len(predictions) != len(batch) or len(probabilities) != len(batch):
         raise ValueError(f"{len(predictions)} results for {len(batch)} vectors")
     return pd.DataFrame(
         {
-            "prediction": [int(p) for p in predictions],
-            "prob_0": [float(p[0]) if len(p) > 0 else 0.0 for p in probabilities],
-            "prob_1": [float(p[1]) if len(p) > 1 else 0.0 for p in probabilities],
+            "prediction": np.asarray(predictions).astype(int),
+            "prob_0": _class_column(probabilities, 0),
+            "prob_1": _class_column(probabilities, 1),
             "error_message": None,
         }
     )
 
 
-def _score_batch(scorer: Scorer, batch: list[list[float]], attempts: int) -> pd.DataFrame:
+def _score_batch(scorer: Scorer, batch: Sequence[np.ndarray], attempts: int) -> pd.DataFrame:
     for attempt in range(1, attempts + 1):
         try:
             return _score_once(scorer, batch)
@@ -72,7 +80,7 @@ def scoring_udf(
     def score(chunks: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = make_scorer()
         for chunk in chunks:
-            rows = [list(v) for v in chunk]
+            rows = chunk.tolist()
             parts = [
                 _score_batch(scorer, rows[i : i + batch], attempts)
                 for i in range(0, len(rows), batch)

@@ -145,7 +145,8 @@ def train_and_score(
         valid_rows(decode_envelope(broker)), events_table, checkpoint, location=at(events_table)
     )
     finish(intake, timeout_s)
-    rows = training.training_rows(spark.table(events_table))
+    used = ["contract_id", "event_time", "sequence", *inputs]
+    rows = training.training_rows(spark.table(events_table).select(*dict.fromkeys(used)))
     guard_training_set(rows, min_records=min_records)
     model = training.train_model(rows, model_path, tuple(inputs))
     metrics = training.model_accuracy(model, rows)

@@ -33,17 +33,24 @@ def _string_keys(schema: T.StructType) -> T.StructType:
     )
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A partitioned parquet table with string slice keys, or a catalogue table by its name."""
+def read_table(
+    spark: SparkSession, path: str, schema: T.StructType | None = None
+) -> DataFrame:
+    """A partitioned parquet table with string slice keys, or a catalogue table by its name.
+
+    A given ``schema`` saves a look at the files to find it.
+    """
     if "/" not in path:
         return spark.table(path)
-    found = spark.read.parquet(path)
-    return spark.read.schema(_string_keys(found.schema)).parquet(path)
+    schema = schema or spark.read.parquet(path).schema
+    return spark.read.schema(_string_keys(schema)).parquet(path)
 
 
-def read_slice(spark: SparkSession, path: str, part: Slice) -> DataFrame:
-    """Partition-pruned scan: only the slice's own folder is listed and read."""
-    return read_table(spark, path).where(part.predicate())
+def read_slice(
+    spark: SparkSession, path: str, part: Slice, schema: T.StructType | None = None
+) -> DataFrame:
+    """Partition-pruned scan: only the slice's own files are read."""
+    return read_table(spark, path, schema).where(part.predicate())
 
 
 def table_stream(
