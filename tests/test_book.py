@@ -95,6 +95,17 @@ def test_top_over_a_long_quiet_level(spark):
     assert len(found) == 2000 and {r["best_bid"] for r in found} == {50.0}
 
 
+def test_buckets_longer_than_a_piece(spark):
+    rows = CASES[0]
+    hour = 3600 * SECOND
+    found = book.book_top(normalized(spark, rows), hour).collect()
+    _, tops, _ = loop(rows)
+    last = {}
+    for (contract, bucket), top in sorted(tops.items()):
+        last[contract, bucket // hour * hour] = top
+    assert {(r["contract_id"], r["bucket_ns"]): (r["best_bid"], r["best_ask"]) for r in found} == last
+
+
 def test_pieces_must_hold_whole_buckets(spark):
     with pytest.raises(ValueError, match="multiple"):
         book.level_closes(normalized(spark, CASES[3]), WIDTH, piece_ns=WIDTH + 1)

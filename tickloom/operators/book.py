@@ -15,7 +15,7 @@ from tickloom.functions.clock import BAR_NS, SECOND_NS, bucket_floor, bucket_ind
 
 LEVEL = ["contract_id", "side_sign", "price"]
 ORDER = ["event_time", "sequence"]
-PIECE_NS = 900 * SECOND_NS
+PIECE_NS = 60 * SECOND_NS
 
 # Bars and the spans of levels meet in a tree of buckets with this fan-out.
 _FAN_BITS = 3
@@ -103,9 +103,10 @@ def book_snapshot(df: DataFrame, *, at_ns: int | None = None, piece_ns: int = PI
 
 
 def level_closes(
-    df: DataFrame, width_ns: int = BAR_NS, *, piece_ns: int = PIECE_NS
+    df: DataFrame, width_ns: int = BAR_NS, *, piece_ns: int | None = None
 ) -> DataFrame:
     """Size of each touched level at the end of each bucket that touched it."""
+    piece_ns = piece_ns or -(-PIECE_NS // width_ns) * width_ns
     if piece_ns % width_ns:
         raise ValueError("piece_ns must be a multiple of width_ns")
     scanned = _scan_pieces(df, piece_ns)
@@ -158,7 +159,7 @@ def _cover(spans: DataFrame) -> DataFrame:
 
 
 def book_top(
-    df: DataFrame, width_ns: int = BAR_NS, *, piece_ns: int = PIECE_NS
+    df: DataFrame, width_ns: int = BAR_NS, *, piece_ns: int | None = None
 ) -> DataFrame:
     """Best bid and ask of the reconstructed book at the end of every bucket with an event."""
     by_level = Window.partitionBy(*LEVEL).orderBy("bucket_ns")
