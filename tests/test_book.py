@@ -95,6 +95,13 @@ def test_top_over_a_long_quiet_level(spark):
     assert len(found) == 2000 and {r["best_bid"] for r in found} == {50.0}
 
 
+def test_times_around_the_epoch(spark):
+    rows = [{**r, "event_time": r["event_time"] - CASES[1][150]["event_time"]} for r in CASES[1]]
+    _, tops, _ = loop(rows)
+    found = book.book_top(normalized(spark, rows)).collect()
+    assert {(r["contract_id"], r["bucket_ns"]): (r["best_bid"], r["best_ask"]) for r in found} == tops
+
+
 def test_buckets_longer_than_a_piece(spark):
     rows = CASES[0]
     hour = 3600 * SECOND

@@ -23,20 +23,25 @@ _FAN = 1 << _FAN_BITS
 _DEPTHS = 9
 
 
+def book_delta() -> Column:
+    """Signed size an event adds to its level; null for an event that leaves the book alone."""
+    action = F.upper("action")
+    sided = (F.col("side_sign") != 0) & F.col("price").isNotNull()
+    return F.when(sided & (action == "A"), F.col("size")).when(
+        sided & (action == "C"), -F.col("size")
+    )
+
+
+def is_trade() -> Column:
+    return F.coalesce(F.upper("action") == "T", F.lit(False))
+
+
 def book_events(df: DataFrame) -> DataFrame:
     """The adds and cancels of a known side, as signed deltas of a level's size."""
-    action = F.upper("action")
-    return df.where(
-        action.isin("A", "C")
-        & (F.col("side_sign") != 0)
-        & F.col("contract_id").isNotNull()
-        & F.col("price").isNotNull()
-        & F.col("size").isNotNull()
-        & F.col("event_time").isNotNull()
-    ).select(
-        *LEVEL,
-        *ORDER,
-        F.when(action == "A", F.col("size")).otherwise(-F.col("size")).alias("delta"),
+    return (
+        df.where(F.col("contract_id").isNotNull() & F.col("event_time").isNotNull())
+        .select(*LEVEL, *ORDER, book_delta().alias("delta"))
+        .where(F.col("delta").isNotNull())
     )
 
 
@@ -116,10 +121,6 @@ def level_closes(
     return _with_size(last, _carry(scanned)).select(*LEVEL, "bucket_ns", "level_size")
 
 
-def _div(x: Column, y: Column) -> Column:
-    return F.call_function("div", x, y)
-
-
 def _cell(depth: str) -> Column:
     """Buckets in a node of this depth."""
     return F.call_function("shiftleft", F.lit(1).cast("long"), F.col(depth) * _FAN_BITS)
@@ -144,8 +145,8 @@ def _cover(spans: DataFrame) -> DataFrame:
         .withColumn("lo", _node(F.col("a") + _cell("depth") - 1, "depth"))
         .withColumn("hi", _node(F.col("b"), "depth"))
         .where("lo < hi")
-        .withColumn("lo_up", _div(F.col("lo") + fan - 1, fan) * fan)
-        .withColumn("hi_down", _div(F.col("hi"), fan) * fan)
+        .withColumn("lo_up", F.col("lo") + F.pmod(-F.col("lo"), fan))
+        .withColumn("hi_down", F.col("hi") - F.pmod(F.col("hi"), fan))
     )
     none = F.array().cast("array<bigint>")
     steps = lambda x, y: F.when(x < y, F.sequence(x, y - 1)).otherwise(none)
@@ -225,7 +226,7 @@ def trade_stats(df: DataFrame, width_ns: int = BAR_NS) -> DataFrame:
     """
     last = F.max(F.struct(*ORDER, "price", "size"))
     per_bucket = (
-        df.where(F.upper("action") == "T")
+        df.where(is_trade())
         .groupBy(bucket_floor("event_time", width_ns).alias("bucket_ns"), "contract_id")
         .agg(last.alias("last"), F.sum("size").alias("volume"))
     )

@@ -62,10 +62,12 @@ def table_stream(
     max_bytes: str | None = None,
 ) -> DataFrame:
     """A table as a stream, with an optional intake cap per trigger."""
+    if max_files is not None and max_bytes is not None:
+        raise ValueError("max_files and max_bytes exclude each other")
     reader = spark.readStream
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    elif max_bytes is not None:
+    if max_bytes is not None:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
     if "/" not in path:
         return reader.table(path)

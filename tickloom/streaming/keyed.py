@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +18,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tickloom.functions.clock import BAR_NS, ns_to_timestamp, local_day
 from tickloom.functions.vectors import FEATURES, feature_vector
+from tickloom.operators.book import book_delta, is_trade
 from tickloom.schemas import DOUBLE, LONG, STREAM_BAR, STREAM_VECTOR, STRING, struct
 
 IDLE_MS = 600_000
@@ -65,7 +67,7 @@ class _BookProcessor(StatefulProcessor):
         )
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        pdf = pd.concat(list(rows), ignore_index=True)
+        pdf = _unpack(rows)
         pdf = pdf.sort_values(["event_time", "sequence"], kind="stable", ignore_index=True)
         if self.position.exists():
             time, sequence = self.position.get()
@@ -137,13 +139,9 @@ class _BookProcessor(StatefulProcessor):
     @staticmethod
     def _level_changes(pdf: pd.DataFrame) -> dict[int, list[tuple]]:
         """Per bucket and level: the sum of signed sizes and its lowest running value."""
-        action = pdf["action"].str.upper()
-        ev = pdf[action.isin(["A", "C"]) & (pdf["side_sign"] != 0)]
-        ev = ev[ev["price"].notna()]
+        ev = pdf.loc[pdf["delta"] != 0, ["bucket_ns", "side_sign", "price", "delta"]].copy()
         if ev.empty:
             return {}
-        delta = np.where(action[ev.index] == "A", ev["size"], -ev["size"]).astype("int64")
-        ev = ev[["bucket_ns", "side_sign", "price"]].assign(delta=delta)
         level = ["bucket_ns", "side_sign", "price"]
         ev["run"] = ev.groupby(level)["delta"].cumsum()
         parts = ev.groupby(level).agg(total=("delta", "sum"), low=("run", "min"))
@@ -222,7 +220,7 @@ def _top(book: dict[tuple, int]) -> dict[str, float | None]:
 
 def _add_trades(trades: tuple | None, pdf: pd.DataFrame) -> tuple | None:
     """Last trade price and size, and volume so far."""
-    rows = pdf[pdf["action"].str.upper() == "T"]
+    rows = pdf[pdf["is_trade"]]
     if rows.empty:
         return trades
     last, volume = rows.iloc[-1], trades[2] if trades else 0
@@ -251,6 +249,47 @@ def _clock(df: DataFrame, clock: str, delay: str) -> DataFrame:
     return df.withWatermark(clock, delay)
 
 
+# What the book needs of an event, with the numpy type it has in the processor.
+_EVENT = {
+    "event_time": ("LONG", "int64"),
+    "sequence": ("LONG", "int64"),
+    "side_sign": ("INT", "int32"),
+    "price": ("DOUBLE", "float64"),
+    "size": ("LONG", "int64"),
+    "delta": ("LONG", "int64"),
+    "is_trade": ("BOOLEAN", "bool"),
+}
+# The same for most of a contract's events, so packs are split by them instead of listing them.
+_SHARED = ["underlier", "instrument_type"]
+
+
+def _pack(clock: str):
+    """Turn each Arrow batch into a row per contract and shared values, with a list per column."""
+    keys = ["contract_id", *_SHARED]
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                groups = pa.Table.from_batches([batch]).group_by(keys, use_threads=False)
+                packed = groups.aggregate([(clock, "max"), *[(c, "list") for c in _EVENT]])
+                columns = {
+                    **{c: packed[c] for c in keys},
+                    clock: packed[f"{clock}_max"],
+                    **{c: packed[f"{c}_list"] for c in _EVENT},
+                }
+                yield from pa.table(columns).to_batches()
+
+    return pack
+
+
+def _unpack(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
+    packs = pd.concat(list(rows), ignore_index=True)
+    events = {c: np.concatenate(packs[c].to_numpy()).astype(t) for c, (_, t) in _EVENT.items()}
+    lengths = packs["event_time"].map(len).to_numpy()
+    shared = {c: np.repeat(packs[c].to_numpy(dtype=object), lengths) for c in _SHARED}
+    return pd.DataFrame({**events, **shared})
+
+
 def book_stream(
     df: DataFrame,
     *,
@@ -264,15 +303,23 @@ def book_stream(
     A bar closes when its contract moves on to a later bucket, or when the watermark of ``clock``
     passes its end. A contract that stays silent for ``idle_ms`` loses its state. ``clock`` is
     arrival time, so an event that is old by its own time still gets here and is marked late.
+
+    Spark hands a stateful processor its rows one by one. Events are therefore packed into lists
+    per contract before the shuffle, in the tasks that read them: a contract with many events then
+    costs its one state task a few array operations, not a pass over its rows.
     """
-    columns = ["contract_id", "event_time", "action", "side_sign", "price", "underlier",
-               "instrument_type"]
+    columns = [*_SHARED, "event_time", "side_sign", "price"]
     # Longs with nulls would reach pandas as doubles and lose digits.
     whole = [F.coalesce(c, F.lit(0)).alias(c) for c in ("sequence", "size")]
+    whole += [F.coalesce(book_delta(), F.lit(0)).alias("delta"), is_trade().alias("is_trade")]
+    events = df.where(F.col("contract_id").isNotNull() & F.col("event_time").isNotNull()).select(
+        "contract_id", F.col(clock).cast("timestamp").alias(clock), *columns, *whole
+    )
+    lists = ", ".join(f"{c} ARRAY<{kind}>" for c, (kind, _) in _EVENT.items())
+    shared = ", ".join(f"{c} STRING" for c in ["contract_id", *_SHARED])
+    packed = events.mapInArrow(_pack(clock), f"{shared}, {clock} TIMESTAMP, {lists}")
     return (
-        _clock(df, clock, delay)
-        .where(F.col("contract_id").isNotNull() & F.col("event_time").isNotNull())
-        .select(*columns, *whole, clock)
+        _clock(packed, clock, delay)
         .groupBy("contract_id")
         .transformWithStateInPandas(
             _BookProcessor(width_ns, idle_ms),
