@@ -344,11 +344,20 @@ SELECT session_date, underlier, instrument_type, contract_id, bucket_ns, bucket_
   (top.best_ask + top.best_bid) / 2.0 AS mid, top.best_ask - top.best_bid AS spread,
   top.best_bid, top.best_ask
 FROM bar JOIN top USING (contract_id, bucket_ns)""",
-        "late_rows": steady + """
-SELECT contract_id, event_time, sequence FROM (
-  SELECT *, max(event_time) OVER (PARTITION BY contract_id ORDER BY order_id % 4
-    RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM mbo)
-WHERE event_time < seen""",
+        # Late: behind the latest event of the contract in an earlier turn.
+        "late_rows": _with(STEADY, """
+turns AS (
+  SELECT contract_id, order_id % 4 AS turn, max(event_time) AS latest FROM mbo GROUP BY ALL
+),
+seen AS (
+  SELECT later.contract_id, later.turn, max(earlier.latest) AS latest
+  FROM turns later JOIN turns earlier
+    ON earlier.contract_id = later.contract_id AND earlier.turn < later.turn
+  GROUP BY ALL
+)""") + """
+SELECT mbo.contract_id, event_time, sequence
+FROM mbo JOIN seen ON seen.contract_id = mbo.contract_id AND seen.turn = mbo.order_id % 4
+WHERE event_time < latest""",
         "state_expiry": expiry
         + "SELECT contract_id, bucket_ns, event_count, best_bid, best_ask FROM top",
         "gold_stream": vec + f"""
