@@ -4,7 +4,6 @@ A written table cuts lineage and outlives lost executors, and column pruning sti
 is read back. Files stay until the folder's owner clears them, as checkpoint files do.
 """
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,13 +12,14 @@ _SETTING = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, unused path for ``name`` below the session's shared folder."""
+    """A fresh, unused path for ``name`` below the session's shared folder.
+
+    Where neither the setting nor the session names one, it is below the session's warehouse, which
+    executors share as well.
+    """
     root = spark.conf.get(_SETTING, None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"{_SETTING} must name a shared folder on a cluster")
-        root = tempfile.mkdtemp(prefix="tickloom-")
-        spark.sparkContext.setCheckpointDir(root)
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/shared"
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
