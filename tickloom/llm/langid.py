@@ -60,6 +60,7 @@ class Recurrent:
         for t in range(len(data)):
             x = self.inputs[data[t]]
             both = _sigmoid(x[:, : 2 * n] + h @ self.gates)
+            both[:, :n] *= (data[t] < 256)[:, None]  # a pad leaves the state as it is
             update, reset = both[:, :n], both[:, n:]
             candidate = np.tanh(x[:, 2 * n :] + (reset * h) @ self.state)
             after = h + update * (candidate - h)
@@ -100,7 +101,6 @@ class Network:
         return [*self.ahead.parameters(), *self.back.parameters(), self.out, self.bias]
 
     def _states(self, data: np.ndarray, keep: bool = False):
-        # Pads stand at the end, so the way back starts from them; they are not counted.
         ahead, m1 = self.ahead.forward(data, keep)
         back, m2 = self.back.forward(data[::-1], keep)
         return np.concatenate([ahead, back[::-1]], axis=2), m1, m2
@@ -141,7 +141,7 @@ def _matrix(parts: list[bytes]) -> np.ndarray:
     width = max(map(len, parts))
     flat = np.frombuffer(b"".join(p.ljust(width, b"\0") for p in parts), np.uint8).reshape(len(parts), width)
     sizes = np.fromiter(map(len, parts), np.int64, len(parts))
-    return np.where(np.arange(width) < sizes[:, None], flat, 256).T.astype(np.int64)
+    return np.where(np.arange(width) < sizes[:, None], flat.astype(np.int64), 256).T
 
 
 def train(samples: list[tuple[bytes, str]], steps: int = STEPS, hidden: int = HIDDEN, seed: int = 7) -> Network | None:

@@ -210,15 +210,8 @@ def quality(
     near = (F.coalesce("class_distance", F.lit(0.0)) <= class_limit) & (
         F.coalesce("word_distance", F.lit(0.0)) <= word_limit
     )
-    return rows.select(
-        "doc_id",
-        "n_words",
-        "word_chars",
-        "n_symbols",
-        "n_dup_lines",
-        "n_repeat_words",
-        failed.alias("base_failed"),
-        (~failed & near).alias("kept"),
-        "class_distance",
-        "word_distance",
-    )
+    counts = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    verdict = [failed.alias("base_failed"), (~failed & near).alias("kept")]
+    # Through a generator, so that filters on the verdict are not pushed down as copies of all of it.
+    result = F.struct(*counts, *verdict, "class_distance", "word_distance")
+    return rows.select(F.explode(F.array(result)).alias("row")).select("row.*")

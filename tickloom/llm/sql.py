@@ -24,17 +24,17 @@ def _quality() -> str:
 WITH base AS (
   SELECT row_number() OVER () AS row_id, doc_id, lang, coalesce(text, '') AS text FROM documents
 ), w AS (
-  SELECT row_id, unnest(list_filter(regexp_split_to_array(text, '{_SPACE}'), x -> x <> '')) AS word,
-    generate_subscripts(list_filter(regexp_split_to_array(text, '{_SPACE}'), x -> x <> ''), 1) AS at FROM base
+  SELECT row_id, unnest(list_filter(regexp_split_to_array(text, '{_SPACE}'), lambda x: x <> '')) AS word,
+    generate_subscripts(list_filter(regexp_split_to_array(text, '{_SPACE}'), lambda x: x <> ''), 1) AS pos FROM base
 ), n AS (SELECT row_id, count(*) AS n_words FROM w GROUP BY row_id
 ), t AS (
-  SELECT row_id, at, word || ' ' || lead(word, 1) OVER d || ' ' || lead(word, 2) OVER d AS triple
-  FROM w WINDOW d AS (PARTITION BY row_id ORDER BY at)
+  SELECT row_id, pos, word || ' ' || lead(word, 1) OVER d || ' ' || lead(word, 2) OVER d AS triple
+  FROM w WINDOW d AS (PARTITION BY row_id ORDER BY pos)
 ), again AS (
-  SELECT row_id, at FROM (SELECT row_id, at, count(*) OVER (PARTITION BY row_id, triple) AS c FROM t WHERE triple IS NOT NULL) x
+  SELECT row_id, pos FROM (SELECT row_id, pos, count(*) OVER (PARTITION BY row_id, triple) AS c FROM t WHERE triple IS NOT NULL) x
   WHERE c > 1
 ), rep AS (
-  SELECT row_id, count(DISTINCT at + s.s) AS n_repeat_words FROM again, (SELECT unnest([0, 1, 2]) AS s) s GROUP BY row_id
+  SELECT row_id, count(DISTINCT pos + step) AS n_repeat_words FROM again, (SELECT unnest([0, 1, 2]) AS step) steps GROUP BY row_id
 ), lines AS (
   SELECT row_id, count(*) - count(DISTINCT line) AS n_dup_lines
   FROM (SELECT row_id, unnest(string_split(text, chr(10))) AS line FROM base) x
@@ -93,17 +93,17 @@ i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
 iw AS (
   SELECT item_id, least(len(w), {decontam.WINDOW}) AS n,
     unnest(list_transform(range(1, greatest(len(w) - {decontam.WINDOW} + 1, 1) + 1),
-      x -> array_to_string(list_slice(w, x, x + least(len(w), {decontam.WINDOW}) - 1), ' '))) AS win
+      lambda x: array_to_string(list_slice(w, x, x + least(len(w), {decontam.WINDOW}) - 1), ' '))) AS win
   FROM i WHERE len(w) > 0
 ),
 sizes AS (SELECT DISTINCT n FROM iw),
 dw AS (
-  SELECT row_id, n, unnest(range(1, len(w) - n + 2)) AS at,
-    unnest(list_transform(range(1, len(w) - n + 2), x -> array_to_string(list_slice(w, x, x + n - 1), ' '))) AS win
+  SELECT row_id, n, unnest(range(1, len(w) - n + 2)) AS pos,
+    unnest(list_transform(range(1, len(w) - n + 2), lambda x: array_to_string(list_slice(w, x, x + n - 1), ' '))) AS win
   FROM d, sizes WHERE len(w) >= n
 ),
-m AS (SELECT DISTINCT dw.row_id, dw.at, dw.n, iw.item_id FROM dw JOIN iw ON dw.n = iw.n AND dw.win = iw.win),
-hit AS (SELECT row_id, count(DISTINCT at + s) AS n_hit FROM (SELECT row_id, at, unnest(range(0, n)) AS s FROM m) x GROUP BY row_id),
+m AS (SELECT DISTINCT dw.row_id, dw.pos, dw.n, iw.item_id FROM dw JOIN iw ON dw.n = iw.n AND dw.win = iw.win),
+hit AS (SELECT row_id, count(DISTINCT pos + step) AS n_hit FROM (SELECT row_id, pos, unnest(range(0, n)) AS step FROM m) x GROUP BY row_id),
 found AS (
   SELECT row_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
   FROM (SELECT DISTINCT row_id, CAST(item_id AS VARCHAR) AS name FROM m) x GROUP BY row_id
