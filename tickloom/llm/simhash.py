@@ -169,12 +169,10 @@ def _blocks(fixed: int, count: int) -> list[int]:
 
 def near_links(classes: DataFrame, bits: int = BITS, group_rows: int = GROUP_ROWS) -> DataFrame:
     """Links (``a``, ``b``) that connect all distinct ``fp`` within ``bits`` of each other."""
-    spark = classes.sparkSession
 
     def dealt(rows: DataFrame, masks: dict[int, list[int]]) -> DataFrame:
-        pairs = [(m, c) for m, children in masks.items() for c in children]
-        table = spark.createDataFrame(pairs, "mask long, child long")  # (bits + 1) per step of dealing
-        rows = rows.join(F.broadcast(table), "mask").select(F.col("child").alias("mask"), "fp")
+        table = F.create_map(*[x for m, c in masks.items() for x in (F.lit(m), F.array(*map(F.lit, c)))])
+        rows = rows.select(F.explode(F.element_at(table, F.col("mask"))).alias("mask"), "fp")
         return rows.withColumn("key", F.col("fp").bitwiseAND(F.col("mask")))
 
     masks = {0: _blocks(0, bits + 1)}

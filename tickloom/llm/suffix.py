@@ -3,8 +3,8 @@
 A byte goes if it lies in a ``LENGTH``-byte string that also starts in a document with a smaller id.
 Equal strings of that length have the same smallest hash of their ``ANCHOR``-byte parts, their
 anchor. So documents are cut into fragments, runs of strings with one anchor; fragments whose anchor
-occurs in one document alone are dropped, and the others meet by anchor. Of equal fragments one
-goes on, with the smallest id.
+occurs in one document alone are dropped, and the others meet by anchor. Equal fragments are one,
+with the smallest id; one that is alone with its anchor needs no sorting.
 
 A task sorts the suffixes of its fragments column by column: each round inserts one symbol of every
 fragment, from the last to the first, into the collection's Burrows-Wheeler transform and updates
@@ -23,12 +23,12 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BinaryType, StructField, StructType
 
-from tickloom.llm.text import fresh, map_texts, texts
+from tickloom.llm.text import SLICE_BYTES, fresh, map_texts, texts
 from tickloom.sources.stage import materialize
 
 LENGTH = 50
@@ -178,18 +178,63 @@ def fragments(text: bytes, wanted: np.ndarray, length: int = LENGTH, anchor: int
             yield int(anchors[i]), at, text[at : last + length - 1]
 
 
-def _fragment_rows(batch: pa.RecordBatch, length: int, anchor: int) -> pa.RecordBatch:
-    out = []
-    columns = (batch.column(c).to_pylist() for c in ("key", "sha", "anchors"))
-    for text, key, sha, lists in zip(texts(batch, "text"), *columns):
-        wanted = np.unique(_unpack(b"".join(lists)))
-        for a, at, data in fragments(text, wanted, length, anchor):
-            out.append((a, data, xxhash.xxh3_128_digest(data), key, sha, at))
-    kinds = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.int32()]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, k) for c, k in zip(list(zip(*out)) or [[]] * 6, kinds)],
-        ["anchor", "data", "name", "key", "sha", "start"],
-    )
+_CUT = (
+    "slice long, idx int, anchor long, data binary, least long, most long, "
+    "key long, mark long, idxs array<int>, starts array<int>"
+)
+
+
+def _packed(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Texts as compressed bytes, for shuffles of whole texts; a null stays one."""
+    pack = zstandard.ZstdCompressor(3).compress
+    raw = batch.column("text").cast(pa.binary()).to_pylist()
+    packed = pa.array([None if t is None else pack(t) for t in raw], pa.binary())
+    return pa.RecordBatch.from_arrays([*batch.columns[:-1], packed], [*batch.schema.names[:-1], "packed"])
+
+
+def _opened(packed: list[bytes | None]) -> list[bytes]:
+    unpack = zstandard.ZstdDecompressor().decompress
+    return [unpack(p) if p else b"" for p in packed]
+
+
+def _parts(batches, rows: int = 256):
+    """Smaller batches, whose texts are opened together."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
+def _fragment_rows(batches, length: int, anchor: int):
+    """Per slice of rows its distinct fragments, and per row where it has which of them."""
+
+    def close(found: dict, rows: list[tuple]) -> pa.RecordBatch:
+        number = int.from_bytes(os.urandom(8), "little") >> 1
+        out = [(number, i, a, data, least, most, None, None, None, None) for (a, data), (i, least, most) in found.items()]
+        out += [(number, None, None, None, None, None, *r) for r in rows]
+        ints = pa.list_(pa.int32())
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), *[pa.int64()] * 4, ints, ints]
+        columns = [pa.array(c, k) for c, k in zip(zip(*out), kinds)]
+        return pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in _CUT.split(", ")])
+
+    found, rows, size = {}, [], 0
+    for batch in _parts(batches):
+        columns = (batch.column(c).to_pylist() for c in ("key", "mark", "anchors"))
+        for text, key, mark, lists in zip(_opened(batch.column("packed").to_pylist()), *columns):
+            idxs, starts = [], []
+            for a, at, data in fragments(text, np.unique(_unpack(b"".join(lists))), length, anchor):
+                i, least, most = found.get((a, data), (len(found), key, key))
+                found[a, data] = i, min(least, key), max(most, key)
+                idxs.append(i)
+                starts.append(at)
+            if idxs:
+                rows.append((key, mark, idxs, starts))
+            size += len(text)
+            if size >= SLICE_BYTES:
+                if rows:
+                    yield close(found, rows)
+                found, rows, size = {}, [], 0
+    if rows:
+        yield close(found, rows)
 
 
 def _range_min(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -321,30 +366,62 @@ def first_ids(strings: list[bytes], ids: np.ndarray, length: int = LENGTH) -> li
     return np.split(out, begin[1:])
 
 
+_RUNS = "slice long, idx int, at int, n int, first long"
+
+
 def _sorted_collections(batches, length: int):
-    """(name, at, n, first): runs of strings of a fragment and the smallest id that has them."""
-
-    def close(rows: list[tuple]):
-        ids = np.array([r[2] for r in rows], np.int64)
-        out = []
-        for (_, name, _, most), least in zip(rows, first_ids([r[0] for r in rows], ids, length)):
-            cuts = [0, *(np.flatnonzero(least[1:] != least[:-1]) + 1).tolist(), len(least)]
-            out += [(name, a, b - a, int(least[a])) for a, b in zip(cuts, cuts[1:]) if least[a] < most]
-        kinds = [pa.binary(), pa.int32(), pa.int32(), pa.int64()]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(list(zip(*out)) or [[]] * 4, kinds)], ["name", "at", "n", "first"]
-        )
+    """Runs of strings of the slices' fragments and the smallest id that has them.
 
+    Rows come by anchor and bytes. Equal fragments of several slices are one member of a collection.
+    A fragment that has its anchor to itself needs no sorting: no other has any of its strings.
+    """
+
+    def runs_of(member: tuple, least: np.ndarray, out: list[tuple]) -> None:
+        cuts = [0, *(np.flatnonzero(least[1:] != least[:-1]) + 1).tolist(), len(least)]
+        for a, b in zip(cuts, cuts[1:]):
+            first = int(least[a])
+            out += [(number, i, a, b - a, first) for number, i, most in member[2] if first < most]
+
+    def close(collection: list[tuple]) -> pa.RecordBatch:
+        out: list[tuple] = []
+        together = [m for m in collection if m[3]]
+        for m in collection:
+            if not m[3]:
+                runs_of(m, np.full(len(m[0]) - length + 1, m[1], np.int64), out)
+        if together:
+            ids = np.array([m[1] for m in together], np.int64)
+            for m, least in zip(together, first_ids([m[0] for m in together], ids, length)):
+                runs_of(m, least, out)
+        kinds = [pa.int64(), *[pa.int32()] * 3, pa.int64()]
+        columns = [pa.array(c, k) for c, k in zip(list(zip(*out)) or [[]] * 5, kinds)]
+        return pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in _RUNS.split(", ")])
+
+    # A member: bytes, smallest id, its places (slice, idx, largest id), whether others share its anchor.
+    group: list[list] = []
     held, size, present = [], 0, None
+
+    def leave():
+        for m in group:
+            m[3] = len(group) > 1
+        held.extend(group)
+        group.clear()
+
     for batch in batches:
-        columns = (batch.column(c).to_pylist() for c in ("anchor", "data", "name", "least", "most"))
-        for anchor, data, name, least, most in zip(*columns):
-            if anchor != present and size >= COLLECTION_BYTES:
-                yield close(held)
-                held, size = [], 0
-            present = anchor
-            held.append((data, name, least, most))
-            size += len(data)
+        columns = (batch.column(c).to_pylist() for c in ("anchor", "data", "slice", "idx", "least", "most"))
+        for anchor, data, number, i, least, most in zip(*columns):
+            if anchor != present:
+                size += sum(len(m[0]) for m in group) if len(group) > 1 else 0
+                leave()
+                if size >= COLLECTION_BYTES or len(held) > 4 * GROUP_FRAGMENTS:
+                    yield close(held)
+                    held, size = [], 0
+                present = anchor
+            if group and group[-1][0] == data:
+                group[-1][1] = min(group[-1][1], least)
+            else:
+                group.append([data, least, [], False])
+            group[-1][2].append((number, i, most))
+    leave()
     if held:
         yield close(held)
 
@@ -352,11 +429,33 @@ def _sorted_collections(batches, length: int):
 def _by_whole_strings(classes: DataFrame, length: int) -> DataFrame:
     """The same as the sorted collections give, by grouping equal strings."""
     places = F.sequence(F.lit(1), F.octet_length("data") - length + 1)
-    rows = classes.select("name", "least", "most", "data", F.explode(places).alias("place"))
+    rows = classes.select("slice", "idx", "least", "most", "data", F.explode(places).alias("place"))
     rows = rows.withColumn("string", F.substring("data", F.col("place"), F.lit(length))).drop("data")
     first = rows.groupBy("string").agg(F.min("least").alias("first"))
     joined = rows.join(first, "string").where(F.col("first") < F.col("most"))
-    return joined.select("name", (F.col("place") - 1).alias("at"), F.lit(1).alias("n"), "first")
+    return joined.select("slice", "idx", (F.col("place") - 1).alias("at"), F.lit(1).alias("n"), "first")
+
+
+def _spans(rows: pa.Table, found: pa.Table) -> pa.Table:
+    """Spans of strings of each row of a slice that a smaller id has as well."""
+    by_fragment: dict[int, list[tuple[int, int, int]]] = {}
+    for i, at, n, first in zip(*(found.column(c).to_pylist() for c in ("idx", "at", "n", "first"))):
+        by_fragment.setdefault(i, []).append((at, n, first))
+    out = []
+    for key, mark, idxs, starts in zip(*(rows.column(c).to_pylist() for c in ("key", "mark", "idxs", "starts"))):
+        spans: list[list[int]] = []
+        for i, start in zip(idxs, starts):
+            for at, n, first in sorted(by_fragment.get(i, ())):
+                if first < key:
+                    if spans and sum(spans[-1]) == start + at:
+                        spans[-1][1] += n
+                    else:
+                        spans.append([start + at, n])
+        if spans:
+            out.append((key, mark, [x for s in spans for x in s]))
+    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32())]
+    columns = [pa.array(c, k) for c, k in zip(list(zip(*out)) or [[]] * 3, kinds)]
+    return pa.Table.from_arrays(columns, ["key", "mark", "spans"])
 
 
 def _cut(text: bytes, spans: list[tuple[int, int]], length: int) -> tuple[bytes, int, int]:
@@ -383,16 +482,18 @@ def remove_repeats(
 
     The second value names the added columns, whose names avoid those of ``df``.
     """
-    name = {c: fresh(df, c) for c in ("key", "sha", "kept", "n_bytes", "n_removed", "n_spans", "spans", "copy")}
+    added = {"kept": "binary", "n_bytes": "long", "n_removed": "long", "n_spans": "long"}
+    name = {c: fresh(df, c) for c in ("key", "mark", "copy", "spans", "packed", *added)}
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST))
-    docs = df.withColumns({name["key"]: key, name["sha"]: F.unhex(F.sha2(text, 256))})
-    plain = docs.select(F.col(name["key"]).alias("key"), F.col(name["sha"]).alias("sha"), text.alias("text"))
+    docs = df.withColumns({name["key"]: key, name["mark"]: F.xxhash64(text)})
+    plain = docs.select(F.col(name["key"]).alias("key"), F.col(name["mark"]).alias("mark"), text.alias("text"))
     # Whole copies: only those with the smallest id are looked into.
-    rows = materialize(plain.select("key", "sha", F.octet_length("text").alias("size")).distinct(), "digests")
+    rows = plain.select("key", "mark", F.octet_length("text").alias("size"), F.unhex(F.sha2("text", 256)).alias("sha"))
+    rows = materialize(rows.distinct(), "digests")
     firsts = rows.groupBy("sha").agg(F.min("key").alias("first"))
     rows = rows.join(firsts, "sha").withColumn("copy", (F.col("first") < F.col("key")) & (F.col("size") >= length))
-    rows = materialize(rows.select("key", "sha", "copy"), "copies")
+    rows = materialize(rows.select("key", "mark", "copy"), "copies")
     buckets = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     anchors = map_texts(
         plain.select("key", "text"),
@@ -404,56 +505,61 @@ def remove_repeats(
     shared = shared.mapInArrow(_shared_anchors, "key long, hashes binary")
     shared = shared.join(rows.where(~F.col("copy")).select("key").distinct(), "key", "left_semi")
     wanted = shared.groupBy("key").agg(F.collect_list("hashes").alias("anchors"))
-    cut = map_texts(
-        plain.join(wanted, "key"),
-        "text",
-        "anchor long, data binary, name binary, key long, sha binary, start int",
-        lambda: partial(_fragment_rows, length=length, anchor=anchor),
-    )
-    cut = materialize(cut, "fragments")
-    classes = cut.groupBy("anchor", "name", "data").agg(F.min("key").alias("least"), F.max("key").alias("most"))
-    classes = materialize(classes, "fragment-classes")
+    packed = map_texts(plain, "text", "key long, mark long, packed binary", lambda: _packed)
+    cut = packed.join(wanted, "key").mapInArrow(partial(_fragment_rows, length=length, anchor=anchor), _CUT)
+    cut = materialize(cut, "fragments", compression="zstd")
+    classes = cut.where("data is not null").select("slice", "idx", "anchor", "data", "least", "most")
     large = classes.groupBy("anchor").count().where(F.col("count") > group_fragments)
-    large = materialize(large, "large-anchors")
-    schema = "name binary, at int, n int, first long"
+    large = materialize(large.select("anchor"), "large-anchors")
     usual, rest = classes, None
     if not large.isEmpty():
         usual = classes.join(large, "anchor", "left_anti")
         rest = _by_whole_strings(classes.join(large, "anchor", "left_semi"), length)
-    usual = usual.repartition("anchor").sortWithinPartitions("anchor")
-    found = usual.mapInArrow(partial(_sorted_collections, length=length), schema)
+    usual = usual.repartition("anchor").sortWithinPartitions("anchor", "data")
+    found = usual.mapInArrow(partial(_sorted_collections, length=length), _RUNS)
     found = found.unionByName(rest) if rest is not None else found
-    found = materialize(found, "repeats")
-    hits = cut.join(found, "name").where(F.col("first") < F.col("key"))
-    span = F.struct((F.col("start") + F.col("at")).alias("start"), F.col("n").alias("n"))
-    spans = hits.groupBy("key", "sha").agg(F.collect_set(span).alias("spans"))
-    verdict = rows.join(spans, ["key", "sha"], "left")
-    verdict = verdict.select(*[F.col(c).alias(name[c]) for c in ("key", "sha", "copy", "spans")])
-    joined = docs.join(verdict, [name["key"], name["sha"]])
-    added = {"kept": "binary", "n_bytes": "long", "n_removed": "long", "n_spans": "long"}
-    joined = joined.select(*df.columns, name["copy"], name["spans"])
-    out = StructType(list(joined.schema.fields))
+    places = cut.where("data is null").select("slice", "key", "mark", "idxs", "starts")
+    spans = places.groupBy("slice").cogroup(found.groupBy("slice"))
+    spans = spans.applyInArrow(_spans, "key long, mark long, spans array<int>")
+    # Rows that are alike in id and text have the same spans, once each.
+    spans = spans.groupBy("key", "mark").agg(F.first("spans").alias("spans"))
+    verdict = rows.join(spans, ["key", "mark"], "left")
+    verdict = verdict.select(*[F.col(c).alias(name[c]) for c in ("key", "mark", "copy", "spans")])
+    others = [c for c in df.columns if c != text_col]
+    whole = docs.select(*others, name["key"], name["mark"], F.col(text_col).cast("string").alias("text"))
+    packed_schema = StructType([*whole.schema.fields[:-1], StructField(name["packed"], BinaryType())])
+
+    def pack(batch: pa.RecordBatch) -> pa.RecordBatch:
+        done = _packed(batch)
+        return pa.RecordBatch.from_arrays(done.columns, packed_schema.names)
+
+    joined = map_texts(whole, "text", packed_schema, lambda: pack).join(verdict, [name["key"], name["mark"]])
+    joined = joined.select(*others, name["packed"], name["copy"], name["spans"])
+    out = StructType([f for f in joined.schema.fields if f.name in others])
+    out = out.add(text_col, "string")
     for c, kind in added.items():
         out = out.add(name[c], kind)
+    result = joined.mapInArrow(partial(_apply_spans, name=name, others=others, names=out.names, length=length), out)
+    return result.select(*df.columns, *[name[c] for c in added]), name
 
-    def apply(batch: pa.RecordBatch) -> pa.RecordBatch:
+
+def _apply_spans(batches, name: dict[str, str], others: list[str], names: list[str], length: int):
+    """Texts and what stays of them."""
+    for batch in _parts(batches):
         results = []
-        copies, spans = (batch.column(name[c]).to_pylist() for c in ("copy", "spans"))
-        for data, copy, found in zip(texts(batch, text_col), copies, spans):
+        packed, copies, spans = (batch.column(name[c]).to_pylist() for c in ("packed", "copy", "spans"))
+        for data, raw, copy, found in zip(_opened(packed), packed, copies, spans):
+            text = None if raw is None else data.decode()
             if copy:
-                results.append((b"", len(data), len(data), 1))
+                results.append((text, b"", len(data), len(data), 1))
             elif not found:
-                results.append((data, len(data), 0, 0))
+                results.append((text, data, len(data), 0, 0))
             else:
-                kept, removed, n = _cut(data, [(s["start"], s["n"]) for s in found], length)
-                results.append((kept, len(data), removed, n))
-        columns = list(zip(*results)) or [[]] * 4
-        kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int64()]
-        values = [pa.array(c, k) for c, k in zip(columns, kinds)]
-        return pa.RecordBatch.from_arrays([*batch.columns, *values], [*batch.schema.names, *(name[c] for c in added)])
-
-    result = map_texts(joined, text_col, out, lambda: apply).drop(name["copy"], name["spans"])
-    return result, name
+                kept, removed, n = _cut(data, list(zip(found[::2], found[1::2])), length)
+                results.append((text, kept, len(data), removed, n))
+        kinds = [pa.string(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
+        values = [pa.array(c, k) for c, k in zip(list(zip(*results)) or [[]] * 5, kinds)]
+        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), *values], names)
 
 
 def without_repeats(df: DataFrame, text_col: str = "text", **options) -> DataFrame:
