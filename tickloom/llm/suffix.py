@@ -4,7 +4,7 @@ A byte goes if it lies in a ``LENGTH``-byte string that also starts in a documen
 Equal strings of that length have the same smallest hash of their ``ANCHOR``-byte parts, their
 anchor. So documents are cut into fragments, runs of strings with one anchor; fragments whose anchor
 occurs in one document alone are dropped, and the others meet by anchor. Equal fragments are one,
-with the smallest id; one that is alone with its anchor needs no sorting.
+with the smallest id; one that shares its anchor's surroundings with none needs no sorting.
 
 A task sorts the suffixes of its fragments column by column: each round inserts one symbol of every
 fragment, from the last to the first, into the collection's Burrows-Wheeler transform and updates
@@ -19,6 +19,7 @@ id go entirely. Other columns stay as they are.
 
 import os
 import tempfile
+from collections import Counter
 from functools import partial
 
 import numpy as np
@@ -169,17 +170,29 @@ def _shared_anchors(batches):
 
 
 def fragments(text: bytes, wanted: np.ndarray, length: int = LENGTH, anchor: int = ANCHOR):
-    """(anchor, start, bytes) of the runs with a wanted anchor; long runs in pieces."""
+    """(anchor, start, bytes, place of the anchor) of the runs with a wanted anchor.
+
+    Long runs come in pieces. The place is -1 where the anchor is in the run more than once.
+    """
     anchors, starts = runs(text, length, anchor)
     stops = np.append(starts[1:], max(0, len(text) - length + 1))
-    for i in np.flatnonzero(np.isin(anchors, wanted)).tolist():
-        for at in range(int(starts[i]), int(stops[i]), FRAGMENT_STRINGS):
-            last = min(at + FRAGMENT_STRINGS, int(stops[i]))
-            yield int(anchors[i]), at, text[at : last + length - 1]
+    chosen = np.flatnonzero(np.isin(anchors, wanted))
+    if not len(chosen):
+        return
+    anchors, starts, stops = anchors[chosen], starts[chosen], stops[chosen]
+    hashes = _part_hashes(np.frombuffer(text, np.uint8), anchor)
+    width = length - anchor + 1
+    at = starts[:, None] + np.arange(2 * width)
+    last = np.minimum(stops - 1 + width, len(hashes))
+    there = (hashes[np.minimum(at, len(hashes) - 1)] == anchors[:, None]) & (at < last[:, None])
+    place = np.where((there.sum(axis=1) == 1) & (stops - starts <= width), there.argmax(axis=1), -1)
+    for a, begin, stop, p in zip(anchors.tolist(), starts.tolist(), stops.tolist(), place.tolist()):
+        for at in range(begin, stop, FRAGMENT_STRINGS):
+            yield a, at, text[at : min(at + FRAGMENT_STRINGS, stop) + length - 1], p
 
 
 _CUT = (
-    "slice long, idx int, anchor long, data binary, least long, most long, "
+    "slice long, idx int, anchor long, data binary, place int, least long, most long, "
     "key long, mark long, idxs array<int>, starts array<int>"
 )
 
@@ -209,10 +222,10 @@ def _fragment_rows(batches, length: int, anchor: int):
 
     def close(found: dict, rows: list[tuple]) -> pa.RecordBatch:
         number = int.from_bytes(os.urandom(8), "little") >> 1
-        out = [(number, i, a, data, least, most, None, None, None, None) for (a, data), (i, least, most) in found.items()]
-        out += [(number, None, None, None, None, None, *r) for r in rows]
+        out = [(number, i, a, data, *rest, None, None, None, None) for (a, data), (i, *rest) in found.items()]
+        out += [(number, *[None] * 6, *r) for r in rows]
         ints = pa.list_(pa.int32())
-        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), *[pa.int64()] * 4, ints, ints]
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int32(), *[pa.int64()] * 4, ints, ints]
         columns = [pa.array(c, k) for c, k in zip(zip(*out), kinds)]
         return pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in _CUT.split(", ")])
 
@@ -221,9 +234,9 @@ def _fragment_rows(batches, length: int, anchor: int):
         columns = (batch.column(c).to_pylist() for c in ("key", "mark", "anchors"))
         for text, key, mark, lists in zip(_opened(batch.column("packed").to_pylist()), *columns):
             idxs, starts = [], []
-            for a, at, data in fragments(text, np.unique(_unpack(b"".join(lists))), length, anchor):
-                i, least, most = found.get((a, data), (len(found), key, key))
-                found[a, data] = i, min(least, key), max(most, key)
+            for a, at, data, place in fragments(text, np.unique(_unpack(b"".join(lists))), length, anchor):
+                i, _, least, most = found.get((a, data), (len(found), place, key, key))
+                found[a, data] = i, place, min(least, key), max(most, key)
                 idxs.append(i)
                 starts.append(at)
             if idxs:
@@ -369,11 +382,12 @@ def first_ids(strings: list[bytes], ids: np.ndarray, length: int = LENGTH) -> li
 _RUNS = "slice long, idx int, at int, n int, first long"
 
 
-def _sorted_collections(batches, length: int):
+def _sorted_collections(batches, length: int, anchor_size: int):
     """Runs of strings of the slices' fragments and the smallest id that has them.
 
     Rows come by anchor and bytes. Equal fragments of several slices are one member of a collection.
-    A fragment that has its anchor to itself needs no sorting: no other has any of its strings.
+    A string reaches over its anchor's left or right by half of its other bytes, or more. So a
+    fragment whose surroundings on both sides are its own shares no string and needs no sorting.
     """
 
     def runs_of(member: tuple, least: np.ndarray, out: list[tuple]) -> None:
@@ -396,22 +410,35 @@ def _sorted_collections(batches, length: int):
         columns = [pa.array(c, k) for c, k in zip(list(zip(*out)) or [[]] * 5, kinds)]
         return pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in _RUNS.split(", ")])
 
-    # A member: bytes, smallest id, its places (slice, idx, largest id), whether others share its anchor.
+    # A member: bytes, smallest id, its slices (slice, idx, largest id), whether to sort, anchor's place.
+    half = (length - anchor_size) // 2
     group: list[list] = []
     held, size, present = [], 0, None
 
+    def sides(data: bytes, place: int) -> list[tuple[int, bytes]]:
+        """What stands to the left and to the right of the anchor, where the fragment has so much."""
+        left, right = data[max(0, place - half) : place], data[place + anchor_size : place + anchor_size + half]
+        return [(k, side) for k, side in enumerate((left, right)) if len(side) == half]
+
     def leave():
-        for m in group:
-            m[3] = len(group) > 1
+        if len(group) > 1:
+            if any(m[4] < 0 for m in group):
+                for m in group:
+                    m[3] = True
+            else:
+                keys = [sides(m[0], m[4]) for m in group]
+                count = Counter(k for found in keys for k in found)
+                for m, found in zip(group, keys):
+                    m[3] = any(count[k] > 1 for k in found)
         held.extend(group)
-        group.clear()
 
     for batch in batches:
-        columns = (batch.column(c).to_pylist() for c in ("anchor", "data", "slice", "idx", "least", "most"))
-        for anchor, data, number, i, least, most in zip(*columns):
+        columns = (batch.column(c).to_pylist() for c in ("anchor", "data", "place", "slice", "idx", "least", "most"))
+        for anchor, data, place, number, i, least, most in zip(*columns):
             if anchor != present:
-                size += sum(len(m[0]) for m in group) if len(group) > 1 else 0
                 leave()
+                size += sum(len(m[0]) for m in group if m[3])
+                group.clear()
                 if size >= COLLECTION_BYTES or len(held) > 4 * GROUP_FRAGMENTS:
                     yield close(held)
                     held, size = [], 0
@@ -419,7 +446,7 @@ def _sorted_collections(batches, length: int):
             if group and group[-1][0] == data:
                 group[-1][1] = min(group[-1][1], least)
             else:
-                group.append([data, least, [], False])
+                group.append([data, least, [], False, place])
             group[-1][2].append((number, i, most))
     leave()
     if held:
@@ -508,7 +535,7 @@ def remove_repeats(
     packed = map_texts(plain, "text", "key long, mark long, packed binary", lambda: _packed)
     cut = packed.join(wanted, "key").mapInArrow(partial(_fragment_rows, length=length, anchor=anchor), _CUT)
     cut = materialize(cut, "fragments", compression="zstd")
-    classes = cut.where("data is not null").select("slice", "idx", "anchor", "data", "least", "most")
+    classes = cut.where("data is not null").select("slice", "idx", "anchor", "data", "place", "least", "most")
     large = classes.groupBy("anchor").count().where(F.col("count") > group_fragments)
     large = materialize(large.select("anchor"), "large-anchors")
     usual, rest = classes, None
@@ -516,7 +543,7 @@ def remove_repeats(
         usual = classes.join(large, "anchor", "left_anti")
         rest = _by_whole_strings(classes.join(large, "anchor", "left_semi"), length)
     usual = usual.repartition("anchor").sortWithinPartitions("anchor", "data")
-    found = usual.mapInArrow(partial(_sorted_collections, length=length), _RUNS)
+    found = usual.mapInArrow(partial(_sorted_collections, length=length, anchor_size=anchor), _RUNS)
     found = found.unionByName(rest) if rest is not None else found
     places = cut.where("data is null").select("slice", "key", "mark", "idxs", "starts")
     spans = places.groupBy("slice").cogroup(found.groupBy("slice"))
