@@ -18,22 +18,23 @@ from pyspark.sql.window import Window
 
 from tickloom.sources.stage import materialize
 
-SPACES = r"[\x20\x09-\x0D]+"
+# What parts words, next to the space.
+SPACES = "\t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 # Character classes of non-space characters; what is left over is the last class.
-CLASSES = ["[aeiou]+", "[b-df-hj-np-tv-z]+", "[A-Z]+", "[0-9]+", r"[^\x00-\x7F]+"]
+CLASSES = ["[a-z]+", "[A-Z]+", "[0-9]+", r"[^\x00-\x7F]+"]
 
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
-COMMON_WORDS = 40
-COMMON_CHARS = 8
+COMMON_WORDS = 24
+COMMON_CHARS = 6
 LANGUAGES = 64
 CLASS_LIMIT = 0.30
 CLASS_GUARD = 200  # characters
 WORD_LIMIT = 0.37
 WORD_GUARD = 100  # words
 
-_LETTERS = "".join(chr(0x100 + i) for i in range(COMMON_WORDS + 1))
+_PLACE_BITS = 20
 _POOLED = "\x00pooled"
 
 
@@ -44,17 +45,23 @@ def _total(array: Column) -> Column:
 def _words(df: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = df.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), text.alias("text"))
-    return rows.withColumn("w", F.filter(F.split("text", SPACES), lambda x: x != ""))
+    spaced = F.col("text")
+    for c in SPACES:
+        spaced = F.replace(spaced, F.lit(c), F.lit(" "))
+    return rows.withColumn("w", F.array_remove(F.split(spaced, " "), ""))
 
 
 def _with_class_counts(df: DataFrame) -> DataFrame:
-    """Step by step, so that no pattern runs twice."""
-    df = df.withColumn("rest0", F.regexp_replace("text", SPACES, ""))
+    """Step by step, so that no pattern runs twice; each works on what the ones before have left."""
+    df = df.withColumn("rest0", F.array_join("w", ""))
     for i, pattern in enumerate(CLASSES):
         df = df.withColumn(f"rest{i + 1}", F.regexp_replace(f"rest{i}", pattern, ""))
     steps = [F.length(f"rest{i}").cast("long") for i in range(len(CLASSES) + 1)]
     counts = [a - b for a, b in zip(steps, steps[1:])] + [steps[-1]]
-    return df.withColumns({"class_counts": F.array(*counts), "word_chars": steps[0]}).drop(
+    rest = F.col(f"rest{len(CLASSES)}")
+    symbols = F.length(rest) - F.length(F.translate(rest, SYMBOLS, ""))
+    added = {"class_counts": F.array(*counts), "word_chars": steps[0], "n_symbols": symbols.cast("long")}
+    return df.withColumns(added).drop(
         *[f"rest{i}" for i in range(len(CLASSES) + 1)]
     )
 
@@ -62,36 +69,33 @@ def _with_class_counts(df: DataFrame) -> DataFrame:
 def base_counts(df: DataFrame) -> DataFrame:
     """Adds the base counts to rows with ``text`` and its words ``w``."""
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    df = _with_class_counts(df).withColumns(
-        {
-            "n_words": F.size("w").cast("long"),
-            "lines": lines,
-            "triples": F.when(
-                F.size("w") >= 3,
-                F.transform(
-                    F.slice("w", 1, F.greatest(F.size("w") - 2, F.lit(0))),
-                    lambda x, i: F.concat_ws(" ", x, F.get("w", i + 1), F.get("w", i + 2)),
-                ),
-            ).otherwise(F.array().cast("array<string>")),
-        }
+    df = _with_class_counts(df).withColumns({"n_words": F.size("w").cast("long"), "lines": lines})
+    last = F.slice("w", 1, F.greatest(F.size("w") - 2, F.lit(0)))
+    triple = lambda x, i: (x, F.get("w", i + 1), F.get("w", i + 2))
+    # Equal triples stand side by side once sorted: by hash above and place below in one number,
+    # with the words compared after; texts with more places than fit sort by the words themselves.
+    marked = F.transform(
+        last, lambda x, i: F.shiftleft(F.xxhash64(*triple(x, i)), _PLACE_BITS).bitwiseOR(i.cast("long"))
     )
-    # Equal triples stand side by side once sorted; most texts without any skip the sort.
-    placed = F.transform("triples", lambda x, i: F.struct(x.alias("triple"), i.alias("at")))
-    df = df.withColumn(
-        "sorted",
-        F.when(F.size(F.array_distinct("triples")) < F.size("triples"), F.sort_array(placed)).otherwise(
-            F.array().cast("array<struct<triple:string,at:int>>")
-        ),
-    ).drop("triples")
-    again = F.filter(
-        "sorted",
-        lambda x, i: (x["triple"] == F.get("sorted", i - 1)["triple"]) | (x["triple"] == F.get("sorted", i + 1)["triple"]),
-    )
-    df = df.withColumn("places", F.sort_array(F.transform(again, lambda x: x["at"]))).drop("sorted")
+    few = F.size("w") < 1 << _PLACE_BITS
+    places = F.transform(F.sort_array(marked), lambda x: x.bitwiseAND((1 << _PLACE_BITS) - 1).cast("int"))
+    exact = F.sort_array(F.transform(last, lambda x, i: F.struct(F.concat_ws(" ", *triple(x, i)).alias("t"), i.alias("at"))))
+    ordered = F.when(few, places).otherwise(F.transform(exact, lambda x: x["at"]))
+    df = df.withColumn("ordered", F.when(F.size("w") >= 3, ordered).otherwise(F.array().cast("array<int>")))
+
+    def same(p: Column, other: Column) -> Column:
+        q = F.get("ordered", other)
+        return (
+            (F.get("w", p) == F.get("w", q))
+            & (F.get("w", p + 1) == F.get("w", q + 1))
+            & (F.get("w", p + 2) == F.get("w", q + 2))
+        )
+
+    again = F.filter("ordered", lambda p, i: same(p, i - 1) | same(p, i + 1))
+    df = df.withColumn("places", F.sort_array(again)).drop("ordered")
     fresh_words = F.transform("places", lambda p, i: F.least(F.lit(3), F.coalesce(F.get("places", i + 1) - p, F.lit(3))))
     return df.withColumns(
         {
-            "n_symbols": (F.length("text") - F.length(F.translate("text", SYMBOLS, ""))).cast("long"),
             "n_dup_lines": (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long"),
             "n_repeat_words": _total(F.transform(fresh_words, lambda x: x.cast("long"))),
         }
@@ -110,13 +114,16 @@ def references(
 
     Histograms of all documents; at most ``languages + 1`` rows of ``common_words`` short words.
     """
-    rows = _words(df, id_col, text_col, lang_col).where(F.size("w") >= MIN_WORDS)
+    # Short texts count for nothing; a filter would split all texts a second time.
+    rows = _words(df, id_col, text_col, lang_col)
+    long_enough = F.size("w") >= MIN_WORDS
     size = len(CLASSES) + 1
-    sums = [F.sum(F.col("class_counts")[i]).alias(f"class{i}") for i in range(size)]
+    sums = [F.sum(F.when(long_enough, F.col("class_counts")[i])).alias(f"class{i}") for i in range(size)]
     per_language = (
         _with_class_counts(rows)
         .groupBy("lang")
-        .agg(F.count(F.lit(1)).alias("documents"), F.sum(F.size("w")).alias("all_words"), *sums)
+        .agg(F.count_if(long_enough).alias("documents"), F.sum(F.when(long_enough, F.size("w"))).alias("all_words"), *sums)
+        .where("documents > 0")
     )
     per_language = materialize(per_language, "language-sums")
     # One row per language; the languages beyond the first few only count for the pool.
@@ -125,8 +132,7 @@ def references(
     pool = per_language.agg(*totals).where("documents is not null").select(F.lit(_POOLED).alias("lang"), "*")
     wide = named.unionByName(pool)
     counts = (
-        rows.select("lang", F.explode("w").alias("word"))
-        .where(F.length("word") <= COMMON_CHARS)
+        rows.select("lang", F.explode(F.when(long_enough, F.filter("w", lambda x: F.length(x) <= COMMON_CHARS))).alias("word"))
         .groupBy("lang", "word")
         .count()
     )
@@ -167,24 +173,24 @@ def _against_references(df: DataFrame, found: DataFrame) -> DataFrame:
     # Bounded: LANGUAGES + 1 rows of COMMON_WORDS words of COMMON_CHARS characters.
     refs = found.collect()
     spark = df.sparkSession
-    schema = "lang string, classes array<double>, words array<string>, word_shares array<double>"
-    named = spark.createDataFrame([tuple(r) for r in refs if r["lang"] is not None], schema)
+    schema = "lang string, classes array<double>, words array<string>, word_shares array<double>, widest int"
+    widest = lambda words: max((len(w.encode()) for w in words), default=0)
+    named = spark.createDataFrame([(*r, widest(r["words"])) for r in refs if r["lang"] is not None], schema)
     pool = next((r for r in refs if r["lang"] is None), None)
     pool = pool or {"classes": [1.0] + [0.0] * len(CLASSES), "words": [], "word_shares": [1.0]}
-    pooled = {c: F.lit(pool[c]).cast(schema.split(f"{c} ")[1].split(",")[0]) for c in ("classes", "words", "word_shares")}
+    pool = {**(pool if isinstance(pool, dict) else pool.asDict()), "widest": widest(pool["words"])}
+    pooled = {c: F.lit(pool[c]).cast(schema.split(f"{c} ")[1].split(",")[0]) for c in ("classes", "words", "word_shares", "widest")}
     df = df.join(F.broadcast(named), "lang", "left").withColumns({c: F.coalesce(c, v) for c, v in pooled.items()})
-    # Common words become one letter each by rank, others the first letter, which is then left out.
-    letter = lambda rank: F.substring(F.lit(_LETTERS), rank + 1, 1)
-    marks = F.transform("w", lambda x: letter(F.array_position("words", x).cast("int")))
-    df = df.withColumn("marks", F.translate(F.concat_ws("", marks), _LETTERS[0], "")).drop("w")
-    common = F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size("words"), F.lit(1))),
-        lambda r: F.length("marks") - F.length(F.replace("marks", letter(r))),
-    )
-    df = df.withColumn("common", F.slice(common, 1, F.size("words")))
+    # Common words are counted by what taking each out of the joined short words leaves.
+    short = F.filter("w", lambda x: F.octet_length(x) <= F.col("widest"))
+    df = df.withColumn("joined", F.concat(F.lit(" "), F.array_join(short, "  "), F.lit(" "))).drop("w", "widest")
+    size = F.octet_length("joined")
+    without = lambda x: F.octet_length(F.replace("joined", F.concat(F.lit(" "), x, F.lit(" ")), F.lit("")))
+    common = F.transform("words", lambda x: F.floor((size - without(x)) / (F.octet_length(x) + 2)))
+    df = df.withColumn("common", common).drop("joined")
     word_shares = F.concat(
         F.transform("common", lambda n: n / F.col("n_words")),
-        F.array((F.col("n_words") - F.length("marks")) / F.col("n_words")),
+        F.array((F.col("n_words") - _total(F.col("common"))) / F.col("n_words")),
     )
     class_shares = F.transform("class_counts", lambda n: n / F.col("word_chars"))
     return df.withColumns(
