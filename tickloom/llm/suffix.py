@@ -37,7 +37,7 @@ ANCHOR = 16
 FRAGMENT_STRINGS = 64
 # Fragments of one anchor, and bytes of one collection, that a task sorts.
 GROUP_FRAGMENTS = 20_000
-COLLECTION_BYTES = 2_000_000
+COLLECTION_BYTES = 500_000
 _LAST = (1 << 63) - 1
 _END = 0xFF  # in no UTF-8 text
 _MASK = np.uint64((1 << 48) - 1)
@@ -295,6 +295,11 @@ class Collection:
         self.ends = np.cumsum(self.sizes)
         self.flat = np.frombuffer(b"".join(strings), np.uint8)
         self.count = len(strings)
+        # Two generations of files, mapped so that a round reads one and writes the other in order.
+        room = int(self.sizes.sum()) + self.count
+        names = [(f"{folder}/symbols{k}", f"{folder}/common{k}") for k in range(2)]
+        self.files = [tuple(np.memmap(n, np.uint8, "w+", shape=room) for n in pair) for pair in names]
+        self.now, self.rows_now = 0, 0
         # Round 0: the ends of all strings, before which their last symbols stand.
         self._write(self.flat[self.ends - 1], np.zeros(self.count, np.uint8))
         self.rows = np.arange(self.count)
@@ -302,11 +307,12 @@ class Collection:
             self._insert(step)
 
     def _write(self, symbols: np.ndarray, common: np.ndarray) -> None:
-        symbols.tofile(f"{self.folder}/symbols")
-        common.tofile(f"{self.folder}/common")
+        self.now, self.rows_now = 1 - self.now, len(symbols)
+        for file, values in zip(self.files[self.now], (symbols, common)):
+            file[: len(values)] = values
 
     def read(self) -> tuple[np.ndarray, np.ndarray]:
-        return np.fromfile(f"{self.folder}/symbols", np.uint8), np.fromfile(f"{self.folder}/common", np.uint8)
+        return tuple(np.asarray(f[: self.rows_now]) for f in self.files[self.now])
 
     def _insert(self, step: int) -> None:
         """Insert the suffixes of ``step`` symbols; ``rows`` has where those of one less stand."""
@@ -330,11 +336,12 @@ class Collection:
             return out
 
         before = order[np.maximum(new - 1, 0)]
-        lcp = shared_with(before, rows, (new > 0) & (symbols[before] == mine))
         follows = np.minimum(new + 1, len(order) - 1)
         after = order[follows]
         next_same = (new + 1 < total) & (symbols[after] == mine)
-        lcp_next = shared_with(rows, after, next_same)
+        same = np.concatenate([(new > 0) & (symbols[before] == mine), next_same])
+        both = shared_with(np.concatenate([before, rows]), np.concatenate([rows, after]), same)
+        lcp, lcp_next = both[: len(rows)], both[len(rows) :]
         size = self.count + total
         fresh_rows = np.zeros(size, bool)
         fresh_rows[self.count + new] = True
@@ -386,8 +393,9 @@ def _sorted_collections(batches, length: int, anchor_size: int):
     """Runs of strings of the slices' fragments and the smallest id that has them.
 
     Rows come by anchor and bytes. Equal fragments of several slices are one member of a collection.
-    A string reaches over its anchor's left or right by half of its other bytes, or more. So a
-    fragment whose surroundings on both sides are its own shares no string and needs no sorting.
+    A string reaches over its anchor by two thirds of its other bytes on the left or on the right,
+    or else by a third on both sides. So a fragment of whose surroundings all of these are its own
+    shares no string and needs no sorting.
     """
 
     def runs_of(member: tuple, least: np.ndarray, out: list[tuple]) -> None:
@@ -411,14 +419,19 @@ def _sorted_collections(batches, length: int, anchor_size: int):
         return pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in _RUNS.split(", ")])
 
     # A member: bytes, smallest id, its slices (slice, idx, largest id), whether to sort, anchor's place.
-    half = (length - anchor_size) // 2
+    others = length - anchor_size
+    wide = 2 * others // 3 + 1
+    narrow = others - wide + 1
     group: list[list] = []
     held, size, present = [], 0, None
 
     def sides(data: bytes, place: int) -> list[tuple[int, bytes]]:
-        """What stands to the left and to the right of the anchor, where the fragment has so much."""
-        left, right = data[max(0, place - half) : place], data[place + anchor_size : place + anchor_size + half]
-        return [(k, side) for k, side in enumerate((left, right)) if len(side) == half]
+        """The anchor's surroundings of either size, where the fragment has so much."""
+        left, right = data[:place], data[place + anchor_size :]
+        found = [(0, left[-wide:])] if len(left) >= wide else []
+        found += [(1, right[:wide])] if len(right) >= wide else []
+        both = len(left) >= narrow and len(right) >= narrow
+        return [*found, (2, left[-narrow:] + right[:narrow])] if both else found
 
     def leave():
         if len(group) > 1:
