@@ -242,7 +242,7 @@ def _fragment_rows(batches, length: int, anchor: int):
             if idxs:
                 rows.append((key, mark, idxs, starts))
             size += len(text)
-            if size >= SLICE_BYTES:
+            if size >= SLICE_BYTES // 4:
                 if rows:
                     yield close(found, rows)
                 found, rows, size = {}, [], 0
@@ -404,18 +404,15 @@ def _sorted_collections(batches, length: int, anchor_size: int):
             first = int(least[a])
             out += [(number, i, a, b - a, first) for number, i, most in member[2] if first < most]
 
-    def close(collection: list[tuple]) -> pa.RecordBatch:
-        out: list[tuple] = []
-        together = [m for m in collection if m[3]]
-        for m in collection:
-            if not m[3]:
-                runs_of(m, np.full(len(m[0]) - length + 1, m[1], np.int64), out)
-        if together:
-            ids = np.array([m[1] for m in together], np.int64)
-            for m, least in zip(together, first_ids([m[0] for m in together], ids, length)):
+    def close() -> pa.RecordBatch:
+        if held:
+            ids = np.array([m[1] for m in held], np.int64)
+            for m, least in zip(held, first_ids([m[0] for m in held], ids, length)):
                 runs_of(m, least, out)
+            held.clear()
         kinds = [pa.int64(), *[pa.int32()] * 3, pa.int64()]
         columns = [pa.array(c, k) for c, k in zip(list(zip(*out)) or [[]] * 5, kinds)]
+        out.clear()
         return pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in _RUNS.split(", ")])
 
     # A member: bytes, smallest id, its slices (slice, idx, largest id), whether to sort, anchor's place.
@@ -423,7 +420,9 @@ def _sorted_collections(batches, length: int, anchor_size: int):
     wide = 2 * others // 3 + 1
     narrow = others - wide + 1
     group: list[list] = []
-    held, size, present = [], 0, None
+    held: list[list] = []
+    out: list[tuple] = []
+    size, present = 0, None
 
     def sides(data: bytes, place: int) -> list[tuple[int, bytes]]:
         """The anchor's surroundings of either size, where the fragment has so much."""
@@ -443,7 +442,11 @@ def _sorted_collections(batches, length: int, anchor_size: int):
                 count = Counter(k for found in keys for k in found)
                 for m, found in zip(group, keys):
                     m[3] = any(count[k] > 1 for k in found)
-        held.extend(group)
+        for m in group:
+            if m[3]:
+                held.append(m)
+            else:
+                out.extend((number, i, 0, len(m[0]) - length + 1, m[1]) for number, i, most in m[2] if m[1] < most)
 
     for batch in batches:
         columns = (batch.column(c).to_pylist() for c in ("anchor", "data", "place", "slice", "idx", "least", "most"))
@@ -452,9 +455,9 @@ def _sorted_collections(batches, length: int, anchor_size: int):
                 leave()
                 size += sum(len(m[0]) for m in group if m[3])
                 group.clear()
-                if size >= COLLECTION_BYTES or len(held) > 4 * GROUP_FRAGMENTS:
-                    yield close(held)
-                    held, size = [], 0
+                if size >= COLLECTION_BYTES or len(out) > GROUP_FRAGMENTS:
+                    yield close()
+                    size = 0
                 present = anchor
             if group and group[-1][0] == data:
                 group[-1][1] = min(group[-1][1], least)
@@ -462,8 +465,8 @@ def _sorted_collections(batches, length: int, anchor_size: int):
                 group.append([data, least, [], False, place])
             group[-1][2].append((number, i, most))
     leave()
-    if held:
-        yield close(held)
+    if held or out:
+        yield close()
 
 
 def _by_whole_strings(classes: DataFrame, length: int) -> DataFrame:
