@@ -206,7 +206,9 @@ def read_records(index: DataFrame, gap: int = GAP_BYTES, most: int = READ_BYTES)
     """
     stretch = F.floor(F.col("offset") / F.lit(4 * most))
     rows = index.select("archive", "offset", "length")
-    rows = rows.repartition(F.col("archive"), stretch).sortWithinPartitions("archive", "offset")
+    # As many tasks as a shuffle has: the rows are small, but what they point to is not.
+    tasks = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(tasks, F.col("archive"), stretch).sortWithinPartitions("archive", "offset")
     schema = (
         "page_id string, url string, payload_bytes long, payload_digest string, record_type string, "
         "refers_to string, payload binary"
