@@ -12,7 +12,9 @@ are left out. The vocabulary file is named by its path and read in the tasks.
 import json
 from functools import partial
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +24,7 @@ from tickloom.llm.text import map_texts, texts, two_columns
 # Fixed value: the public pattern that parts text before the merges.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Distinct words kept with their encodings in a task before starting anew.
-CACHE_WORDS = 1 << 20
+CACHE_WORDS = 1 << 18
 _NEVER = 1 << 60
 
 
@@ -136,7 +138,7 @@ class Encoder:
         special = self.vocabulary.special
         longest_first = sorted(special, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if special else None
-        self.known: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
 
     def _pieces(self, text: str) -> list[str]:
         if self.special is None or not self.special.search(text):
@@ -146,24 +148,26 @@ class Encoder:
             out += [part] if part in self.vocabulary.special else self.split(part)
         return out
 
-    def encode(self, batch: list[str]) -> list[list[int]]:
+    def encode(self, batch: list[str]) -> list[np.ndarray]:
+        """Ids of each text; a word's ids are kept as packed numbers, so a text is one join."""
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
         pieces = [self._pieces(t) for t in batch]
         special = self.vocabulary.special
         new = {w for w in set().union(*pieces) if w not in self.known and w not in special}
         coded = self.vocabulary.encode_words({w.encode() for w in new})
-        self.known.update((w, coded[w.encode()]) for w in new)
-        self.known.update((w, [i]) for w, i in special.items())
-        known = self.known
-        return [[i for p in words for i in known[p]] for words in pieces]
+        pack = lambda ids: np.array(ids, "<i4").tobytes()
+        self.known.update((w, pack(coded[w.encode()])) for w in new)
+        self.known.update((w, pack([i])) for w, i in special.items())
+        of = self.known.__getitem__
+        return [np.frombuffer(b"".join(map(of, words)), "<i4") for words in pieces]
 
 
 def _encode(batch: pa.RecordBatch, encoder: Encoder) -> pa.RecordBatch:
     found = encoder.encode([t.decode() for t in texts(batch, "text")])
-    return pa.RecordBatch.from_arrays(
-        [batch.column("doc_id"), pa.array(found, pa.list_(pa.int32()))], ["doc_id", "ids"]
-    )
+    ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+    ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found) if found else [], pa.int32()))
+    return pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], ["doc_id", "ids"])
 
 
 def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -182,10 +186,12 @@ def decode(df: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
-                found = [
-                    b"".join([table[i] for i in ids or ()]).decode("utf-8", "replace")
-                    for ids in part.column("ids").to_pylist()
-                ]
+                ids = part.column("ids")
+                sizes = pa.compute.fill_null(pa.compute.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+                ends = np.cumsum([0, *sizes]).tolist()
+                flat = ids.flatten().to_numpy(zero_copy_only=False).tolist()
+                raw = (b"".join(map(table.__getitem__, flat[a:b])) for a, b in zip(ends, ends[1:]))
+                found = [r.decode("utf-8", "replace") for r in raw]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), part.column("ids"), pa.array(found, pa.string())],
                     ["doc_id", "ids", "text"],

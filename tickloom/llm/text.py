@@ -13,7 +13,7 @@ SPACE = b" \t\n\x0b\x0c\r"
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 # Bytes of text that are worked on at once; one longer text is a slice of its own.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 3 << 20
 
 
 def held_out(id_col: str, modulo: int, rest: int) -> Column:
