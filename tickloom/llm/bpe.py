@@ -102,6 +102,7 @@ class Vocabulary:
         """Encodings of distinct words; sorted order visits their trie depth first."""
         ids, sizes = self.ids, [len(t) for t in self.bytes]
         stands, follows, longest = self.stands, self.follows, self.longest
+        standing, following = self._stands.get, self._follows.get  # most are known by then
         path: list[int] = []  # last token of each prefix on the way to the present node
         out, before = {}, b""
         for word in sorted(words):
@@ -115,11 +116,18 @@ class Vocabulary:
             for end in range(shared + 1, len(word) + 1):
                 for start in range(max(0, end - longest), end):
                     token = ids.get(word[start:end])
-                    if token is None or not stands(token):
+                    if token is None:
                         continue
-                    if start == 0 or follows(path[start - 1], token):
-                        path.append(token)
-                        break
+                    alone = standing(token)
+                    if not (stands(token) if alone is None else alone):
+                        continue
+                    if start:
+                        before_it = path[start - 1]
+                        fits = following(before_it << 32 | token)
+                        if not (follows(before_it, token) if fits is None else fits):
+                            continue
+                    path.append(token)
+                    break
             found, end = [], len(word)
             while end:
                 found.append(path[end - 1])
