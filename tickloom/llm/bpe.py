@@ -24,7 +24,7 @@ from tickloom.llm.text import map_texts, texts, two_columns
 # Fixed value: the public pattern that parts text before the merges.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Distinct words kept with their encodings in a task before starting anew.
-CACHE_WORDS = 1 << 18
+CACHE_WORDS = 1 << 19
 _NEVER = 1 << 60
 
 
