@@ -124,16 +124,69 @@ def test_streamed_book_equals_batch_book_wherever_batches_end(spark, replay, cut
     )
 
 
-def test_events_behind_their_contract_come_out_as_late(spark, replay):
-    make = lambda s: late_rows(book_stream(normalize(s)))
-    replay.add(timed(events(spark, [{"event_time": T0 + 10 * SECOND, "sequence": 5}])))
-    late = [{"event_time": T0 + t, "sequence": s} for t, s in
-            ((10 * SECOND, 4), (9 * SECOND, 9), (10 * SECOND, 6))]
-    replay.add(timed(events(spark, late)))
-    found = replay.run(make).collect()
-    assert sorted((r["event_time"] - T0, r["sequence"]) for r in found) == [
-        (9 * SECOND, 9), (10 * SECOND, 4)
-    ]
+@pytest.mark.parametrize("parts", [2, 3])
+def test_book_takes_back_disorder_within_the_delay(spark, replay, parts):
+    rows = numbered(rows_over(6, step=3))
+    for at in range(parts):  # each part spans the whole time
+        replay.add(events(spark, rows).where(F.col("sequence") % parts == at))
+    replay.add(closing_row(events(spark, rows)))
+    found = replay.run(lambda s: book_stream(normalize(s)))
+    assert found.where("kind = 'late'").count() == 0
+    norm = normalize(events(spark, rows))
+    want = book.book_top(norm).join(bars(norm).select("contract_id", "bucket_ns", "event_count"),
+                                    ["contract_id", "bucket_ns"])
+    columns = ["contract_id", "bucket_ns", "best_bid", "best_ask", "event_count"]
+    assert sorted(map(str, found.select(columns).collect())) == sorted(
+        map(str, want.select(columns).collect())
+    )
+
+
+def test_events_behind_the_watermark_come_out_whole_as_late(spark, replay):
+    replay.add(events(spark, [{"event_time": T0 + 3600 * SECOND}]))
+    late = [{"event_time": T0, "sequence": 9, "price": 60.0, "size": 7}]
+    replay.add(events(spark, [*late, {"event_time": T0 + 3100 * SECOND}]))
+    replay.add(closing_row(events(spark, late)))
+    found = replay.run(lambda s: book_stream(normalize(s)))
+    assert found.where("kind = 'bar'").agg(F.sum("event_count")).first()[0] == 2
+    row = late_rows(found).first()
+    assert (row["event_time"], row["sequence"], row["price"], row["size"]) == (T0, 9, 60.0, 7)
+    assert late_rows(found).count() == 1
+
+
+def test_lagging_arrival_does_not_wipe_the_book(spark, replay):
+    def at(seconds, price, contract="C1"):
+        rows = [{"event_time": T0 + seconds * SECOND, "price": price, "contract_id": contract}]
+        stamp = F.timestamp_micros(F.floor(F.col("event_time") / 1000)) + F.expr("INTERVAL 1 DAY")
+        return events(spark, rows).withColumn("enqueued_time", stamp)
+
+    for part in (at(0, 99.0), at(5, 1.0, "C2"), at(10, 1.0, "C2"), at(15, 40.0)):
+        replay.add(part)
+    replay.add(closing_row(at(0, 1.0)))
+    found = replay.run(lambda s: stream_primitives(book_stream(normalize(s))))
+    last = found.where("contract_id = 'C1'").orderBy(F.desc("bucket_ns")).first()
+    assert last["best_bid"] == 99.0
+
+
+def test_old_dead_letters_are_kept(spark, tmp_path):
+    root, start = str(tmp_path), datetime(2024, 1, 2, tzinfo=timezone.utc)
+    body = events(spark, [{}]).select(F.to_json(F.struct("*"))).first()[0].encode()
+    old = start - timedelta(days=1)
+    for row in [(body, start, 0, 0), (body, start, 1, 0), (b"broken", old, 2, 0)]:
+        spark.createDataFrame([row], BROKER).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    source = table_stream(stateful_session(spark, 2), f"{root}/in", max_files=1)
+    finish(stream.broker_to_bronze(source, f"{root}/ok", f"{root}/dead", f"{root}/mark"), TIMEOUT)
+    assert read_batches(spark, f"{root}/ok").count() == 1
+    assert read_batches(spark, f"{root}/dead").select("source_offset").first()[0] == "2"
+
+
+def test_bars_far_behind_still_give_vectors(spark, replay):
+    def part(at):
+        rows = [{"event_time": T0 + at * SECOND, "price": 50.0}]
+        return feature_primitives(bars(normalize(events(spark, rows))))
+
+    for at in (3600, 7200, 0):
+        replay.add(part(at))
+    assert replay.run(gold_stream).count() == 3
 
 
 def test_silent_contract_starts_again_empty(spark, replay):
@@ -155,8 +208,12 @@ def test_state_is_dropped_when_the_watermark_passes_the_idle_time(spark, replay)
     replay.add(timed(events(spark, [{"event_time": T0 + 7200 * SECOND, "contract_id": "C2"}])))
     replay.run(make)
     spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
-    state = spark.read.format("statestore").option("stateVarName", "book").load(replay.mark)
-    assert {r["key"]["contract_id"] for r in state.select("key").collect()} == {"C2"}
+    def contracts(name):
+        state = spark.read.format("statestore").option("stateVarName", name).load(replay.mark)
+        return {r["key"]["contract_id"] for r in state.select("key").collect()}
+
+    assert contracts("book") == set()  # C1 is past its idle time
+    assert contracts("pending") == {"C2"}
 
 
 def test_gold_stream_carries_the_last_mid_over_batches(spark, replay):

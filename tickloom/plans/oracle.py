@@ -243,6 +243,12 @@ mbo AS (
     expiry = _with(paused, NORM, LEVELS.format(**seg), TOP.format(**seg))
     kept = "WHERE rtype = 160 AND symbol IS NOT NULL AND symbol NOT LIKE '%-%'"
     mid_day = "session_date = '2024-01-15'"
+    streamed = top.rstrip() + "," + BAR_5S + """
+SELECT session_date, underlier, instrument_type, contract_id, bucket_ns, bucket_ts,
+  bar.event_count, size_total, buy_size, sell_size, vwap, ofi, ofi_ratio,
+  (top.best_ask + top.best_bid) / 2.0 AS mid, top.best_ask - top.best_bid AS spread,
+  top.best_bid, top.best_ask
+FROM bar JOIN top USING (contract_id, bucket_ns)"""
     return {
         "src_envelope_decode": steady + f"""
 SELECT {ENVELOPE}, make_timestamp(ingest_time // 1000) AS enqueued_time,
@@ -338,26 +344,20 @@ SELECT 'bronze' AS sink, CAST(order_id AS VARCHAR) AS source_offset, CAST(NULL A
 FROM mbo WHERE order_id % 19 <> 0
 UNION ALL SELECT 'dead', source_offset, error_message FROM ({DEAD})""",
         "bar_stream": bar + "SELECT * FROM bar",
-        "book_stream": top.rstrip() + "," + BAR_5S + """
-SELECT session_date, underlier, instrument_type, contract_id, bucket_ns, bucket_ts,
-  bar.event_count, size_total, buy_size, sell_size, vwap, ofi, ofi_ratio,
-  (top.best_ask + top.best_bid) / 2.0 AS mid, top.best_ask - top.best_bid AS spread,
-  top.best_bid, top.best_ask
-FROM bar JOIN top USING (contract_id, bucket_ns)""",
-        # Late: behind the latest event of the contract in an earlier turn.
+        "book_stream": streamed,
+        "book_stream_unordered": streamed,
+        # Late: in a bucket that ended ten minutes before the latest event of an earlier turn.
         "late_rows": _with(STEADY, """
-turns AS (
-  SELECT contract_id, order_id % 4 AS turn, max(event_time) AS latest FROM mbo GROUP BY ALL
-),
+turns AS (SELECT order_id % 4 AS turn, max(event_time) AS latest FROM mbo GROUP BY ALL),
 seen AS (
-  SELECT later.contract_id, later.turn, max(earlier.latest) AS latest
-  FROM turns later JOIN turns earlier
-    ON earlier.contract_id = later.contract_id AND earlier.turn < later.turn
+  SELECT later.turn, max(earlier.latest) // 1000000 * 1000000 - 600000000000 AS watermark
+  FROM turns later JOIN turns earlier ON earlier.turn < later.turn
   GROUP BY ALL
 )""") + """
-SELECT mbo.contract_id, event_time, sequence
-FROM mbo JOIN seen ON seen.contract_id = mbo.contract_id AND seen.turn = mbo.order_id % 4
-WHERE event_time < latest""",
+SELECT contract_id, underlier, instrument_type, event_time, sequence, order_id, action, side,
+  price, size
+FROM mbo JOIN seen ON seen.turn = mbo.order_id % 4
+WHERE event_time < watermark // 5000000000 * 5000000000""",
         "state_expiry": expiry
         + "SELECT contract_id, bucket_ns, event_count, best_bid, best_ask FROM top",
         "gold_stream": vec + f"""

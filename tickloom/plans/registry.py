@@ -46,7 +46,6 @@ MID_DAY = Slice("2024-01-15", "SYN", "FUT")
 RAW = {"venue": "SYNTH", "underlier": "SYN", "instrument_type": "FUT", "price_scale": 1e9}
 WEIGHTS = [0.8, -0.05, 0.1, 0.0005, -0.2]
 BIAS = -1.5
-NEVER = "3650 days"
 HOUR_NS = 3600 * SECOND_NS
 
 _REGISTRY: dict[str, Query] = {}
@@ -410,7 +409,7 @@ def _collect_stream(spark: SparkSession, rows: DataFrame) -> DataFrame:
     out, mark = shared_dir(spark, "out"), shared_dir(spark, "checkpoint")
     finish(append_stream(rows, out, mark), TIMEOUT_S)
     found = spark.read.parquet(out)
-    return found.where(F.col("contract_id") != FAR_FUTURE_KEY)
+    return found.where(~F.col("contract_id").eqNullSafe(FAR_FUTURE_KEY))
 
 
 @_query
@@ -428,7 +427,10 @@ def dedup_stream(spark, sf_dir):
 @_query
 def stream_fanout(spark, sf_dir):
     session = stateful_session(spark, STATE_PARTITIONS)
-    broker = fx.broker_rows(spark, sf_dir)
+    # Broken rows are a day old, far behind the watermark.
+    broken = F.col("offset") % fx.BROKEN_EVERY == 0
+    age = F.when(broken, F.expr("INTERVAL 1 DAY")).otherwise(F.expr("INTERVAL 0 DAY"))
+    broker = fx.broker_rows(spark, sf_dir).withColumn("timestamp", F.col("timestamp") - age)
     source = table_stream(session, stage_slices(broker, "offset"), max_files=1)
     bronze, dead = shared_dir(spark, "bronze"), shared_dir(spark, "dead")
     mark = shared_dir(spark, "checkpoint")
@@ -448,30 +450,37 @@ def bar_stream(spark, sf_dir):
     return _plain_time(_collect_stream(spark, b.stream_bars(rows)))
 
 
-@_query
-def book_stream_q(spark, sf_dir):
-    rows = b.normalize(_bronze_stream(spark, sf_dir, closing=True))
-    found = _collect_stream(spark, stream_primitives(book_stream(rows)))
-    return _plain_time(found).select(
+def _plain_book(rows: DataFrame) -> DataFrame:
+    return _plain_time(rows).select(
         *SERIES_KEYS, "bucket_ns", "bucket_ts", "event_count", "size_total", "buy_size",
         "sell_size", "vwap", "ofi", "ofi_ratio", "mid", "spread", "best_bid", "best_ask",
     )
 
 
+@_query
+def book_stream_q(spark, sf_dir):
+    rows = b.normalize(_bronze_stream(spark, sf_dir, closing=True))
+    return _plain_book(_collect_stream(spark, stream_primitives(book_stream(rows))))
+
+
+@_query
+def book_stream_unordered(spark, sf_dir):
+    """Events arrive up to 400 seconds late and so in other micro-batches than their neighbours."""
+    lag = F.col("order_id") % 3 * 200 * SECOND_NS
+    rows = fx.mbo(spark, sf_dir).withColumn("arrival", F.col("event_time") + lag)
+    session = stateful_session(spark, STATE_PARTITIONS)
+    source = table_stream(session, stage_slices(rows, "arrival", closing=True), max_files=1)
+    found = _collect_stream(spark, stream_primitives(book_stream(b.normalize(source))))
+    return _plain_book(found)
+
+
 @_query
 def late_rows_q(spark, sf_dir):
-    rows = fx.mbo(spark, sf_dir).withColumns(
-        {
-            "enqueued_time": F.timestamp_micros(
-                F.call_function("div", "ingest_time", F.lit(1000))
-            ),
-            "turn": F.col("order_id") % 4,
-        }
-    )
+    """Four turns over the whole time span; what the ones before left over ten minutes behind."""
+    rows = fx.mbo(spark, sf_dir).withColumn("turn", F.col("order_id") % 4)
     session = stateful_session(spark, STATE_PARTITIONS)
     source = table_stream(session, stage_slices(rows, "turn"), max_files=1)
-    found = late_rows(book_stream(b.normalize(source), delay=NEVER))
-    return _collect_stream(spark, found)
+    return _collect_stream(spark, late_rows(book_stream(b.normalize(source))))
 
 
 @_query
@@ -480,9 +489,7 @@ def state_expiry(spark, sf_dir):
     rows = fx.mbo(spark, sf_dir)
     half = rows.agg(((F.min("event_time") + F.max("event_time")) / 2).cast("long")).scalar()
     shifted = F.col("event_time") + F.when(F.col("event_time") > half, HOUR_NS).otherwise(0)
-    rows = rows.withColumn("event_time", shifted).withColumn(
-        "enqueued_time", F.timestamp_micros(F.call_function("div", "event_time", F.lit(1000)))
-    )
+    rows = rows.withColumn("event_time", shifted)
     session = stateful_session(spark, STATE_PARTITIONS)
     source = table_stream(session, stage_slices(rows, "event_time", closing=True), max_files=1)
     found = _collect_stream(spark, stream_primitives(book_stream(b.normalize(source))))

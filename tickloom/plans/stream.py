@@ -7,6 +7,7 @@ however many sinks there are. Sinks own one folder per batch and can be read wit
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.functions.vectors import message
@@ -33,6 +34,10 @@ def _messages(target: str | dict[str, str], columns: list[str]) -> Sink:
     return write
 
 
+def _stamped(decoded: DataFrame) -> DataFrame:
+    return valid_rows(decoded).withColumn("bronze_ingest_time", F.current_timestamp())
+
+
 def broker_to_bronze(
     broker: DataFrame,
     bronze: str,
@@ -44,7 +49,7 @@ def broker_to_bronze(
 ) -> StreamingQuery:
     """Decode, split and de-duplicate; usable rows to bronze, the rest to the dead-letter table."""
     decoded = dedup_decoded(decode_envelope(broker), delay=delay)
-    sinks = [_cut(valid_rows, append_batches(bronze)), _cut(dead_letters, append_batches(dead))]
+    sinks = [_cut(_stamped, append_batches(bronze)), _cut(dead_letters, append_batches(dead))]
     return fan_out(decoded, sinks, checkpoint, every=every)
 
 

@@ -22,17 +22,9 @@ def dedup_stream(
 
 
 def dedup_decoded(decoded: DataFrame, *, delay: str = DELAY) -> DataFrame:
-    """De-duplicate decoded rows while every unusable row passes, so both can share one query.
-
-    An unusable row is told apart by its source position, which no other row has.
-    """
+    """De-duplicate usable rows; unusable ones pass beside the watermark, so none is ever late."""
     reason = reject_reason()
-    position = F.concat_ws(":", F.col("source_partition"), F.col("source_offset"))
-    keyed = decoded.withColumns(
-        {
-            **{f"_{k}": F.when(reason.isNull(), F.col(f"data.{k}")) for k in DEDUP_KEYS},
-            "_dead": F.when(reason.isNotNull(), position),
-        }
-    )
-    keys = [f"_{k}" for k in DEDUP_KEYS] + ["_dead"]
-    return dedup_stream(keyed, keys, delay=delay).drop(*keys)
+    keys = {f"_{k}": F.col(f"data.{k}") for k in DEDUP_KEYS}
+    usable = decoded.where(reason.isNull()).withColumns(keys)
+    fresh = dedup_stream(usable, list(keys), delay=delay).drop(*keys)
+    return fresh.unionByName(decoded.where(reason.isNotNull()))

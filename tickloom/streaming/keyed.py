@@ -1,9 +1,7 @@
 """Keyed streaming operators on Spark's state store.
 
 Within a micro-batch a key's rows are put in order and handled column-wise; what must outlive the
-batch is in typed state. A key's share of one batch is bounded by the source's intake cap per
-trigger (``maxFilesPerTrigger``, ``maxOffsetsPerTrigger``). Rows that arrive behind what was already
-handled for their key come out marked as late instead of vanishing.
+batch is in typed state. No row is lost to a watermark: rows behind it come out as late ones.
 """
 
 from collections.abc import Iterator
@@ -11,26 +9,34 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tickloom.functions.clock import BAR_NS, ns_to_timestamp, local_day
+from tickloom.functions.clock import BAR_NS, bucket_floor, local_day, ns_to_timestamp
 from tickloom.functions.vectors import FEATURES, feature_vector
 from tickloom.operators.book import book_delta, is_trade
 from tickloom.schemas import DOUBLE, LONG, STREAM_BAR, STREAM_VECTOR, STRING, struct
 
 IDLE_MS = 600_000
 DELAY = "10 minutes"
+# Wall-clock time after which the last mid of a contract without new bars is forgotten.
+KEEP_MS = 7 * 86_400_000
 
 BAR, LATE = "bar", "late"
+MS_NS = 1_000_000
 
 
 class _BookProcessor(StatefulProcessor):
-    """Book and open bar of one contract."""
+    """Book of one contract, and the packed events of its buckets that may still grow."""
 
-    # kind tells bars from late events; late events carry their position instead of measures.
+    LATE_EVENT = dict(
+        event_time=LONG, sequence=LONG, order_id=LONG, action=STRING, side=STRING, price=DOUBLE,
+        size=LONG,
+    )
+    # kind tells bars from late events.
     OUTPUT = struct(
         kind=STRING,
         bucket_ns=LONG,
@@ -43,76 +49,89 @@ class _BookProcessor(StatefulProcessor):
         notional=DOUBLE,
         best_bid=DOUBLE,
         best_ask=DOUBLE,
-        event_time=LONG,
-        sequence=LONG,
+        **LATE_EVENT,
         contract_id=STRING,
     )
-    OPEN = ["bucket_ns", "underlier", "instrument_type", "event_count", "size_total", "buy_size",
-            "sell_size", "notional"]
 
     def __init__(self, width_ns: int, idle_ms: int) -> None:
-        self.width_ns, self.idle_ms = width_ns, idle_ms
+        self.width_ns, self.idle_ns = width_ns, idle_ms * MS_NS
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
+        self.pending = handle.getMapState("pending", "bucket_ns LONG", "packs ARRAY<BINARY>")
         self.book = handle.getMapState("book", "side INT, price DOUBLE", "size LONG")
-        self.position = handle.getValueState("position", "event_time LONG, sequence LONG")
+        self.last = handle.getValueState("last", "event_time LONG")
         self.trades = handle.getValueState(
             "trades", "price DOUBLE, size LONG, total_volume LONG"
         )
-        self.open_bar = handle.getValueState(
-            "open_bar",
-            "bucket_ns LONG, underlier STRING, instrument_type STRING, event_count LONG,"
-            " size_total LONG, buy_size LONG, sell_size LONG, notional DOUBLE",
-        )
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        pdf = _unpack(rows)
-        pdf = pdf.sort_values(["event_time", "sequence"], kind="stable", ignore_index=True)
-        if self.position.exists():
-            time, sequence = self.position.get()
-            behind = (pdf["event_time"] < time) | (
-                (pdf["event_time"] == time) & (pdf["sequence"] < sequence)
-            )
-            late, pdf = pdf[behind], pdf[~behind].reset_index(drop=True)
-            if len(late):
-                yield self._late(key[0], late)
-        if len(pdf):
-            bars = self._advance(pdf)
-            if bars:
-                yield self._frame(key[0], bars)
-            last = pdf.iloc[-1]
-            self.position.update((int(last["event_time"]), int(last["sequence"])))
-            self._set_timers(int(last["event_time"]), timerValues)
+        closed = self._closed(timerValues)
+        late, arrived = [], {}
+        for frame in rows:
+            for bucket, pack in zip(frame["bucket_ns"].tolist(), frame["events"]):
+                if bucket < closed:
+                    late.append(bytes(pack))
+                else:
+                    arrived.setdefault(bucket, []).append(bytes(pack))
+        if late:
+            out = _events(late).assign(kind=LATE, contract_id=key[0])
+            out["bucket_ns"] = out["event_time"] // self.width_ns * self.width_ns
+            yield _typed(out, self.OUTPUT)
+        for bucket, packs in arrived.items():
+            held = self.pending.getValue((bucket,)) if self.pending.containsKey((bucket,)) else None
+            self.pending.updateValue((bucket,), ([*(held[0] if held else []), *packs],))
+        yield from self._release(key[0], closed)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        yield from self._release(key[0], self._closed(timerValues))
+
+    def _closed(self, timer_values) -> int:
+        """Start of the first bucket that the watermark has not passed whole."""
+        return timer_values.getCurrentWatermarkInMs() * MS_NS // self.width_ns * self.width_ns
+
+    def _release(self, contract: str, closed: int) -> Iterator[pd.DataFrame]:
+        """Apply the buckets before ``closed`` in order, then set the next timer."""
+        waiting = sorted(k[0] for k in self.pending.keys())
+        due = [b for b in waiting if b < closed]
+        if due:
+            packs = [bytes(p) for b in due for p in self.pending.getValue((b,))[0]]
+            bars = self._advance(_events(packs))
+            for bucket in due:
+                self.pending.removeKey((bucket,))
+            yield _typed(pd.DataFrame(bars).assign(kind=BAR, contract_id=contract), self.OUTPUT)
+        last = self.last.get()[0] if self.last.exists() else None
+        # Whatever comes later is at or after ``closed``, so it would find a silent contract.
+        if last is not None and closed >= last + self.idle_ns:
+            for state in (self.book, self.last, self.trades):
+                state.clear()
+            last = None
+        for t in list(self.handle.listTimers()):
+            self.handle.deleteTimer(t)
+        if len(waiting) > len(due):
+            self._set_timer(waiting[len(due)] + self.width_ns)
+        elif last is not None:
+            self._set_timer(-(-(last + self.idle_ns) // self.width_ns) * self.width_ns)
+
+    def _set_timer(self, at_ns: int) -> None:
+        self.handle.registerTimer(-(-at_ns // MS_NS))
 
     def _advance(self, pdf: pd.DataFrame) -> list[dict]:
-        """Apply ordered rows; return the bars they close."""
+        """Apply ordered events of whole buckets; return their bars."""
         pdf["bucket_ns"] = pdf["event_time"] // self.width_ns * self.width_ns
         stored = {(k[0], k[1]): v[0] for k, v in self.book.iterator()}
         book = dict(stored)
-        open_bar = (
-            dict(zip(self.OPEN, self.open_bar.get())) if self.open_bar.exists() else None
-        )
         trades = self.trades.get() if self.trades.exists() else None
-        previous = self.position.get()[0] if self.position.exists() else None
         gap = pdf["event_time"].diff()
-        if previous is not None:
-            gap.iloc[0] = pdf["event_time"].iloc[0] - previous
-        silent = gap >= self.idle_ms * 1_000_000
-        closed = []
+        if self.last.exists():
+            gap.iloc[0] = pdf["event_time"].iloc[0] - self.last.get()[0]
+        silent = gap >= self.idle_ns
+        bars = []
         for _, run in pdf.groupby(silent.cumsum(), sort=True):
             if silent[run.index[0]]:
-                if open_bar is not None:
-                    closed.append({**open_bar, **_top(book)})
-                book, open_bar, trades = {}, None, None
+                book, trades = {}, None
             changes = self._level_changes(run)
             for bar in self._bar_parts(run):
-                if open_bar is not None and open_bar["bucket_ns"] == bar["bucket_ns"]:
-                    open_bar = _merge_bars(open_bar, bar)
-                else:
-                    if open_bar is not None:
-                        closed.append({**open_bar, **_top(book)})
-                    open_bar = bar
                 for level, total, low in changes.get(bar["bucket_ns"], []):
                     size = book.get(level, 0)
                     size = size + total - min(0, size + low)
@@ -120,12 +139,13 @@ class _BookProcessor(StatefulProcessor):
                         book[level] = size
                     else:
                         book.pop(level, None)
+                bars.append({**bar, **_top(book)})
             trades = _add_trades(trades, run)
-        self._store(stored, book, open_bar, trades)
-        return closed
+        self._store(stored, book, trades)
+        self.last.update((int(pdf["event_time"].iloc[-1]),))
+        return bars
 
-    def _store(self, stored: dict, book: dict, open_bar: dict, trades: tuple | None) -> None:
-        self.open_bar.update(tuple(open_bar[c] for c in self.OPEN))
+    def _store(self, stored: dict, book: dict, trades: tuple | None) -> None:
         for level in stored.keys() - book.keys():
             self.book.removeKey(level)
         for level, size in book.items():
@@ -179,35 +199,6 @@ class _BookProcessor(StatefulProcessor):
             for r in parts.to_dict("records")
         ]
 
-    def _set_timers(self, event_ns: int, timer_values) -> None:
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
-        now = timer_values.getCurrentWatermarkInMs()
-        bar_end = (event_ns // self.width_ns + 1) * self.width_ns // 1_000_000
-        self.handle.registerTimer(max(bar_end, now + 1))
-        self.handle.registerTimer(max(event_ns // 1_000_000 + self.idle_ms, now + 2))
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        if self.open_bar.exists():
-            bar = dict(zip(self.OPEN, self.open_bar.get()))
-            book = {(k[0], k[1]): v[0] for k, v in self.book.iterator()}
-            self.open_bar.clear()
-            # What still arrives for the closed bar is late.
-            self.position.update((bar["bucket_ns"] + self.width_ns, -1))
-            yield self._frame(key[0], [{**bar, **_top(book)}])
-        expiry = expiredTimerInfo.getExpiryTimeInMs()
-        if all(t <= expiry for t in self.handle.listTimers()):  # the last one is the idle timer
-            for state in (self.book, self.position, self.trades):
-                state.clear()
-
-    def _frame(self, contract: str, bars: list[dict]) -> pd.DataFrame:
-        out = pd.DataFrame(bars).assign(kind=BAR, contract_id=contract)
-        return _typed(out, self.OUTPUT)
-
-    def _late(self, contract: str, late: pd.DataFrame) -> pd.DataFrame:
-        out = late[["event_time", "sequence"]].assign(kind=LATE, contract_id=contract)
-        return _typed(out, self.OUTPUT)
-
     def close(self) -> None:
         pass
 
@@ -227,11 +218,6 @@ def _add_trades(trades: tuple | None, pdf: pd.DataFrame) -> tuple | None:
     return float(last["price"]), int(last["size"]), volume + int(rows["size"].sum())
 
 
-def _merge_bars(a: dict, b: dict) -> dict:
-    sums = ["event_count", "size_total", "buy_size", "sell_size", "notional"]
-    return {**b, **{c: a[c] + b[c] for c in sums}}
-
-
 def _typed(pdf: pd.DataFrame, schema: T.StructType) -> pd.DataFrame:
     """Columns in schema order, with missing ones null and longs that may be null."""
     out = pdf.reindex(columns=schema.fieldNames())
@@ -245,81 +231,96 @@ def _typed(pdf: pd.DataFrame, schema: T.StructType) -> pd.DataFrame:
     return out
 
 
-def _clock(df: DataFrame, clock: str, delay: str) -> DataFrame:
-    return df.withWatermark(clock, delay)
-
-
-# What the book needs of an event, with the numpy type it has in the processor.
-_EVENT = {
-    "event_time": ("LONG", "int64"),
-    "sequence": ("LONG", "int64"),
-    "side_sign": ("INT", "int32"),
-    "price": ("DOUBLE", "float64"),
-    "size": ("LONG", "int64"),
-    "delta": ("LONG", "int64"),
-    "is_trade": ("BOOLEAN", "bool"),
-}
-# The same for most of a contract's events, so packs are split by them instead of listing them.
-_SHARED = ["underlier", "instrument_type"]
-
-
-def _pack(clock: str):
-    """Turn each Arrow batch into a row per contract and shared values, with a list per column."""
-    keys = ["contract_id", *_SHARED]
-
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                groups = pa.Table.from_batches([batch]).group_by(keys, use_threads=False)
-                packed = groups.aggregate([(clock, "max"), *[(c, "list") for c in _EVENT]])
-                columns = {
-                    **{c: packed[c] for c in keys},
-                    clock: packed[f"{clock}_max"],
-                    **{c: packed[f"{c}_list"] for c in _EVENT},
-                }
-                yield from pa.table(columns).to_batches()
-
-    return pack
+# What the book and the late table need of an event.
+_EVENT = pa.schema(
+    [
+        ("underlier", pa.string()),
+        ("instrument_type", pa.string()),
+        ("event_time", pa.int64()),
+        ("sequence", pa.int64()),
+        ("order_id", pa.int64()),
+        ("action", pa.string()),
+        ("side", pa.string()),
+        ("price", pa.float64()),
+        ("size", pa.int64()),
+        ("side_sign", pa.int32()),
+        ("delta", pa.int64()),
+        ("is_trade", pa.bool_()),
+    ]
+)
+_CLOCK = "event_clock"
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row per contract and bucket of each Arrow batch, and one that only carries the clock."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch]).sort_by(
+            [("contract_id", "ascending"), ("bucket_ns", "ascending")]
+        )
+        names, buckets = table["contract_id"].to_pylist(), table["bucket_ns"].to_pylist()
+        starts = [
+            i for i in range(len(names))
+            if i == 0 or names[i] != names[i - 1] or buckets[i] != buckets[i - 1]
+        ]
+        rows = table.select(_EVENT.names).cast(_EVENT).combine_chunks().to_batches()[0]
+        packs = [
+            rows.slice(at, end - at).serialize().to_pybytes()
+            for at, end in zip(starts, [*starts[1:], len(names)])
+        ]
+        clock = [None] * len(starts) + [pc.max(table[_CLOCK]).as_py()]
+        yield pa.RecordBatch.from_pydict(
+            {
+                "contract_id": pa.array([names[i] for i in starts] + [None], pa.string()),
+                "bucket_ns": pa.array([buckets[i] for i in starts] + [None], pa.int64()),
+                _CLOCK: pa.array(clock, table[_CLOCK].type),
+                "events": pa.array([*packs, None], pa.binary()),
+            }
+        )
 
 
-def _unpack(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    packs = pd.concat(list(rows), ignore_index=True)
-    events = {c: np.concatenate(packs[c].to_numpy()).astype(t) for c, (_, t) in _EVENT.items()}
-    lengths = packs["event_time"].map(len).to_numpy()
-    shared = {c: np.repeat(packs[c].to_numpy(dtype=object), lengths) for c in _SHARED}
-    return pd.DataFrame({**events, **shared})
+def _events(packs: list[bytes]) -> pd.DataFrame:
+    """The events of packs in order."""
+    parts = [pa.ipc.read_record_batch(pa.py_buffer(p), _EVENT) for p in packs]
+    pdf = pa.Table.from_batches(parts).to_pandas(
+        types_mapper={pa.string(): pd.StringDtype("python")}.get, integer_object_nulls=True
+    )
+    return pdf.sort_values(["event_time", "sequence"], kind="stable", ignore_index=True)
 
 
 def book_stream(
-    df: DataFrame,
-    *,
-    clock: str = "enqueued_time",
-    delay: str = DELAY,
-    width_ns: int = BAR_NS,
-    idle_ms: int = IDLE_MS,
+    df: DataFrame, *, delay: str = DELAY, width_ns: int = BAR_NS, idle_ms: int = IDLE_MS
 ) -> DataFrame:
-    """Closed bars with the book's top at their end, and late events, from normalised events.
+    """Bars with the book's top at their end, and late events, from normalised events.
 
-    A bar closes when its contract moves on to a later bucket, or when the watermark of ``clock``
-    passes its end. A contract that stays silent for ``idle_ms`` loses its state. ``clock`` is
-    arrival time, so an event that is old by its own time still gets here and is marked late.
+    The only clock is event time. A bucket's events wait in state until the watermark, ``delay``
+    behind the latest event of earlier micro-batches, has passed the bucket's end; then they are
+    applied in order. So disorder within ``delay`` changes nothing, wherever micro-batches end.
+    Events of a bucket that the watermark has already passed come out as late, with all that is
+    needed to apply them again. A contract that stays silent for ``idle_ms`` loses its state.
 
-    Spark hands a stateful processor its rows one by one. Events are therefore packed into lists
-    per contract before the shuffle, in the tasks that read them: a contract with many events then
-    costs its one state task a few array operations, not a pass over its rows.
+    Events are packed per contract and bucket before the shuffle, in the tasks that read them, and
+    stay packed in state until their bucket is due. Rows without contract or event time are dropped.
+    A missing sequence or size counts as zero.
     """
-    columns = [*_SHARED, "event_time", "side_sign", "price"]
-    # Longs with nulls would reach pandas as doubles and lose digits.
     whole = [F.coalesce(c, F.lit(0)).alias(c) for c in ("sequence", "size")]
     whole += [F.coalesce(book_delta(), F.lit(0)).alias("delta"), is_trade().alias("is_trade")]
+    plain = ["underlier", "instrument_type", "event_time", "order_id", "action", "side", "price",
+             F.coalesce("side_sign", F.lit(0)).cast("int").alias("side_sign")]
     events = df.where(F.col("contract_id").isNotNull() & F.col("event_time").isNotNull()).select(
-        "contract_id", F.col(clock).cast("timestamp").alias(clock), *columns, *whole
+        "contract_id",
+        bucket_floor("event_time", width_ns).alias("bucket_ns"),
+        ns_to_timestamp("event_time").alias(_CLOCK),
+        *plain,
+        *whole,
     )
-    lists = ", ".join(f"{c} ARRAY<{kind}>" for c, (kind, _) in _EVENT.items())
-    shared = ", ".join(f"{c} STRING" for c in ["contract_id", *_SHARED])
-    packed = events.mapInArrow(_pack(clock), f"{shared}, {clock} TIMESTAMP, {lists}")
+    layout = f"contract_id STRING, bucket_ns LONG, {_CLOCK} TIMESTAMP, events BINARY"
+    # Spark drops rows behind the watermark ahead of a processor. Packs have no clock, so it keeps
+    # them; the rows that have one end here, after they have moved the watermark.
+    packed = events.mapInArrow(_pack, layout).withWatermark(_CLOCK, delay)
     return (
-        _clock(packed, clock, delay)
+        packed.where(F.col(_CLOCK).isNull())
         .groupBy("contract_id")
         .transformWithStateInPandas(
             _BookProcessor(width_ns, idle_ms),
@@ -353,14 +354,17 @@ def stream_primitives(book: DataFrame) -> DataFrame:
 
 
 def late_rows(book: DataFrame) -> DataFrame:
-    return book.where(F.col("kind") == LATE).select("contract_id", "event_time", "sequence")
+    """Late events, with what it takes to apply them again."""
+    return book.where(F.col("kind") == LATE).select(
+        "contract_id", "underlier", "instrument_type", *_BookProcessor.LATE_EVENT
+    )
 
 
 class _ChangeProcessor(StatefulProcessor):
     """Last mid of one contract."""
 
-    def __init__(self, idle_ms: int) -> None:
-        self.idle_ms = idle_ms
+    def __init__(self, idle_ms: int, keep_ms: int) -> None:
+        self.idle_ms, self.keep_ms = idle_ms, keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -389,8 +393,8 @@ class _ChangeProcessor(StatefulProcessor):
             self.last.update((int(final["bucket_ns"]), mid))
             for t in list(self.handle.listTimers()):
                 self.handle.deleteTimer(t)
-            idle_at = int(final["bucket_ns"]) // 1_000_000 + self.idle_ms
-            self.handle.registerTimer(max(idle_at, timerValues.getCurrentWatermarkInMs() + 1))
+            now = timerValues.getCurrentProcessingTimeInMs()
+            self.handle.registerTimer(now + self.keep_ms)
         yield pdf.assign(mid_change=change.astype("float64"))[self.OUTPUT.fieldNames()]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
@@ -418,25 +422,26 @@ def gold_stream(
     df: DataFrame,
     *,
     model_id: str = "ES_MODEL",
-    clock: str = "bucket_ts",
-    delay: str = DELAY,
     idle_ms: int = IDLE_MS,
+    keep_ms: int = KEEP_MS,
 ) -> DataFrame:
     """Feature vectors of streamed bars; a contract's first bar has a change of zero.
 
+    Every bar gives one row: one that comes behind a later bar of its contract, however late, has
+    no known predecessor and a change of null. There is no watermark to lose it. A contract's state
+    is one row, and is kept for ``keep_ms`` of wall-clock time after its last bar.
     Measures stay null where the bar has none; the vector holds zeros there.
     """
     columns = ["contract_id", "bucket_ns", "session_date", "underlier", "instrument_type",
                "ofi_ratio", "spread", "mid", "vwap", "event_count"]
     changed = (
-        _clock(df, clock, delay)
-        .select(*columns, clock)
+        df.select(*columns)
         .groupBy("contract_id")
         .transformWithStateInPandas(
-            _ChangeProcessor(idle_ms),
+            _ChangeProcessor(idle_ms, keep_ms),
             outputStructType=_ChangeProcessor.OUTPUT,
             outputMode="append",
-            timeMode="EventTime",
+            timeMode="ProcessingTime",
         )
     )
     return (
