@@ -22,8 +22,6 @@ from tickloom.schemas import DOUBLE, LONG, STREAM_BAR, STREAM_VECTOR, STRING, st
 
 IDLE_MS = 600_000
 DELAY = "10 minutes"
-# Wall-clock time after which the last mid of a contract without new bars is forgotten.
-KEEP_MS = 7 * 86_400_000
 
 BAR, LATE = "bar", "late"
 MS_NS = 1_000_000
@@ -363,8 +361,8 @@ def late_rows(book: DataFrame) -> DataFrame:
 class _ChangeProcessor(StatefulProcessor):
     """Last mid of one contract."""
 
-    def __init__(self, idle_ms: int, keep_ms: int) -> None:
-        self.idle_ms, self.keep_ms = idle_ms, keep_ms
+    def __init__(self, idle_ms: int) -> None:
+        self.idle_ms = idle_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -391,16 +389,8 @@ class _ChangeProcessor(StatefulProcessor):
         if bucket is None or final["bucket_ns"] > bucket:
             mid = None if pd.isna(final["mid"]) else float(final["mid"])
             self.last.update((int(final["bucket_ns"]), mid))
-            for t in list(self.handle.listTimers()):
-                self.handle.deleteTimer(t)
-            now = timerValues.getCurrentProcessingTimeInMs()
-            self.handle.registerTimer(now + self.keep_ms)
         yield pdf.assign(mid_change=change.astype("float64"))[self.OUTPUT.fieldNames()]
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        self.last.clear()
-        return iter([])
-
     def close(self) -> None:
         pass
 
@@ -423,13 +413,12 @@ def gold_stream(
     *,
     model_id: str = "ES_MODEL",
     idle_ms: int = IDLE_MS,
-    keep_ms: int = KEEP_MS,
 ) -> DataFrame:
     """Feature vectors of streamed bars; a contract's first bar has a change of zero.
 
     Every bar gives one row: one that comes behind a later bar of its contract, however late, has
     no known predecessor and a change of null. There is no watermark to lose it. A contract's state
-    is one row, and is kept for ``keep_ms`` of wall-clock time after its last bar.
+    is one row and is kept, since a run-once query with wall-clock timers would not end.
     Measures stay null where the bar has none; the vector holds zeros there.
     """
     columns = ["contract_id", "bucket_ns", "session_date", "underlier", "instrument_type",
@@ -438,10 +427,10 @@ def gold_stream(
         df.select(*columns)
         .groupBy("contract_id")
         .transformWithStateInPandas(
-            _ChangeProcessor(idle_ms, keep_ms),
+            _ChangeProcessor(idle_ms),
             outputStructType=_ChangeProcessor.OUTPUT,
             outputMode="append",
-            timeMode="ProcessingTime",
+            timeMode="None",
         )
     )
     return (
