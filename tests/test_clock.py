@@ -61,5 +61,5 @@ def test_session_bounds():
     assert end - start == 7_200 * 1_000_000_000
     start, end = clock.session_bounds("2025-03-09", "01:00", "04:00")
     assert end - start == 7_200 * 1_000_000_000
-    with pytest.raises(ValueError, match="after start"):
+    with pytest.raises(ValueError, match="not later than"):
         clock.session_bounds("2025-10-01", "11:30", "11:30")

@@ -84,7 +84,7 @@ def test_raw_to_envelope_scales_prices_and_packs_nulls(spark):
         '{"instrument_id":11,"publisher_id":12,"flags":null,"channel_id":14,"ts_in_delta":15,'
         '"rtype":160}'
     )
-    with pytest.raises(ValueError, match="Missing payload fields"):
+    with pytest.raises(ValueError, match="Missing raw columns"):
         raw_to_envelope(df.drop("flags"), **options)
 
 
@@ -92,7 +92,7 @@ def test_guards(spark):
     empty = spark.createDataFrame([], "label INT")
     with pytest.raises(ValueError, match="No bronze rows"):
         guard_nonempty(empty, "bronze")
-    with pytest.raises(ValueError, match="at least 10 rows"):
+    with pytest.raises(ValueError, match="minimum of 10"):
         guard_training_set(empty)
     with pytest.raises(ValueError, match="two|2 label classes"):
         guard_training_set(spark.range(20).select(F.lit(1).alias("label")))

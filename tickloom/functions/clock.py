@@ -75,5 +75,5 @@ def session_bounds(
         for t in (start_time, end_time)
     )
     if end <= start:
-        raise ValueError("End time must be after start time")
+        raise ValueError(f"Empty session: {end_time} is not later than {start_time}")
     return start, end

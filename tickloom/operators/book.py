@@ -131,6 +131,12 @@ def _node(index: Column, depth: str) -> Column:
     return F.call_function("shiftright", index, F.col(depth) * _FAN_BITS)
 
 
+def _deepest(length: Column) -> Column:
+    """Depth of the largest nodes that a span of this many buckets can hold."""
+    bits = F.length(F.bin(length)) - 1
+    return F.least(F.lit(_DEPTHS - 1), F.floor(bits / _FAN_BITS).cast("int"))
+
+
 def _cover(spans: DataFrame) -> DataFrame:
     """Cut each span ``[a, b)`` of bucket numbers into whole nodes of the bucket tree.
 
@@ -138,8 +144,7 @@ def _cover(spans: DataFrame) -> DataFrame:
     the logarithm of its length, whereas pairing it with its buckets would grow with the length.
     """
     fan = F.lit(_FAN).cast("long")
-    length_bits = F.length(F.bin(F.col("b") - F.col("a"))) - 1
-    deepest = F.least(F.lit(_DEPTHS - 1), F.floor(length_bits / _FAN_BITS).cast("int"))
+    deepest = _deepest(F.col("b") - F.col("a"))
     at_depth = (
         spans.withColumn("depth", F.explode(F.sequence(F.lit(0), deepest)))
         .withColumn("lo", _node(F.col("a") + _cell("depth") - 1, "depth"))
@@ -164,8 +169,11 @@ def book_top(
 ) -> DataFrame:
     """Best bid and ask of the reconstructed book at the end of every bucket with an event."""
     by_level = Window.partitionBy(*LEVEL).orderBy("bucket_ns")
-    # One row: the end of the data closes the spans of levels that are never touched again.
-    horizon = df.agg(F.max(bucket_index("event_time", width_ns)) + 1).scalar()
+    # One row: the end of the data closes the spans of levels that are never touched again, and
+    # its whole length bounds the depth at which a bar has to look.
+    index = bucket_index("event_time", width_ns)
+    horizon = df.agg(F.max(index) + 1).scalar()
+    deepest = df.agg(F.coalesce(_deepest(F.max(index) - F.min(index) + 1), F.lit(0))).scalar()
     spans = (
         level_closes(df, width_ns, piece_ns=piece_ns)
         .withColumn("a", bucket_index("bucket_ns", width_ns))
@@ -184,8 +192,9 @@ def book_top(
     buckets = df.select(
         "contract_id", bucket_floor("event_time", width_ns).alias("bucket_ns")
     ).distinct()
-    paths = buckets.withColumn(
-        "depth", F.explode(F.sequence(F.lit(0), F.lit(_DEPTHS - 1)))
+    depths = buckets.withColumn("deepest", deepest)
+    paths = depths.withColumn(
+        "depth", F.explode(F.sequence(F.lit(0), F.col("deepest")))
     ).withColumn("node", _node(bucket_index("bucket_ns", width_ns), "depth"))
     top = (
         paths.join(best, ["contract_id", "depth", "node"], "left")

@@ -15,6 +15,11 @@ from tickloom.schemas import LABEL_COLUMNS, SERIES_KEYS, SETUP_COLUMNS
 
 LABEL_STEPS = 24
 
+# Lineage of training vectors.
+MODEL_SUFFIX = "_MODEL"
+LOOKBACK_SPEC = "5s"
+DATA_VERSION = "silver.feature_primitives"
+
 
 def _series(keys: Sequence[str]):
     return Window.partitionBy(*keys).orderBy("bucket_ns")
@@ -90,9 +95,9 @@ def hashes(df: DataFrame, *, canonical: bool = False) -> DataFrame:
 def setup_vectors(
     df: DataFrame,
     *,
-    model_suffix: str = "_MODEL",
-    lookback_spec: str = "5s",
-    data_version: str = "silver.feature_primitives",
+    model_suffix: str = MODEL_SUFFIX,
+    lookback_spec: str = LOOKBACK_SPEC,
+    data_version: str = DATA_VERSION,
     n: int = LABEL_STEPS,
     by: str = "rows",
     strict: bool = False,

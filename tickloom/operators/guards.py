@@ -29,9 +29,9 @@ def guard_training_set(
     )
     row = stats.first()
     if row["record_count"] < min_records:
-        raise ValueError(f"Need at least {min_records} rows, found {row['record_count']}")
+        raise ValueError(f"{row['record_count']} rows are under the minimum of {min_records}")
     if row["class_count"] < min_classes:
-        raise ValueError(f"Need at least {min_classes} label classes, found {row['class_count']}")
+        raise ValueError(f"{row['class_count']} of {min_classes} label classes present")
     return df.sparkSession.createDataFrame([row], stats.schema)
 
 

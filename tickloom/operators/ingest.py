@@ -12,6 +12,7 @@ from tickloom.sources.broker import CORRUPT
 # Fixed value: record type of market-by-order records.
 MBO_RTYPE = 160
 
+# Reasons in the dead-letter table.
 PARSE_FAILURE = "JSON parse failure"
 MISSING_FIELD = "Missing required field"
 REQUIRED = ["event_time", "contract_id", "action"]

@@ -13,6 +13,10 @@ from tickloom.schemas import SCORE_RESULT
 # Takes a list of vectors, returns predictions and per-class probabilities, one entry per vector.
 Scorer = Callable[[Sequence[np.ndarray]], tuple[Sequence, Sequence]]
 
+# Error texts of the scores table.
+TIMED_OUT = "Timeout on attempt {}/{}: {}"
+FAILED_WITH = "Error on attempt {}/{}: {}"
+
 VECTOR_SIZE = 5
 FAILED = -1
 
@@ -59,9 +63,9 @@ def _score_batch(scorer: Scorer, batch: Sequence[np.ndarray], attempts: int) ->
         try:
             return _score_once(scorer, batch)
         except TimeoutError as e:
-            error = f"Timeout on attempt {attempt}/{attempts}: {e}"
+            error = TIMED_OUT.format(attempt, attempts, e)
         except Exception as e:
-            error = f"Error on attempt {attempt}/{attempts}: {e}"
+            error = FAILED_WITH.format(attempt, attempts, e)
     return pd.DataFrame(
         {"prediction": FAILED, "prob_0": 0.0, "prob_1": 0.0, "error_message": error},
         index=range(len(batch)),

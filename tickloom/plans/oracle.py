@@ -158,6 +158,10 @@ FROM_RECORD = (
     " 'FUT' AS instrument_type, 'SYN' AS underlier, symbol AS contract_id, action, order_id, side,"
     " price, size, sequence, packed_payload AS payload, '2024-01-01' AS session_date"
 )
+SCORED = (
+    "contract_id, event_time, price, CAST(size AS DOUBLE) AS size, true AS sums_to_one,"
+    " true AS likelier_class"
+)
 ORDERBOOK = (
     "session_date, underlier, instrument_type, contract_id, bucket_ns, bucket_ts, best_bid,"
     " best_ask, mid, spread, buy_size, sell_size"
@@ -336,6 +340,11 @@ SELECT contract_id, bucket_ns, best_bid, best_ask, best_ask - best_bid AS spread
 SELECT contract_id, side_sign, price, level_size FROM (
   SELECT contract_id, side_sign, price, arg_max(level_size, sequence) AS level_size
   FROM levels GROUP BY ALL) WHERE level_size > 0""",
+        "book_snapshot_at": levels + """
+SELECT contract_id, side_sign, price, level_size FROM (
+  SELECT contract_id, side_sign, price, arg_max(level_size, sequence) AS level_size
+  FROM levels WHERE event_time <= (SELECT (min(event_time) + max(event_time)) // 2 FROM norm)
+  GROUP BY ALL) WHERE level_size > 0""",
         "dedup_batch": steady + f"SELECT {ENVELOPE}, session_date FROM mbo",
         "dedup_stream": steady + f"""
 SELECT {ENVELOPE}, session_date, order_id AS source_sequence FROM mbo WHERE order_id % 19 <> 0""",
@@ -370,7 +379,23 @@ SELECT contract_id, bucket_ns AS vector_time, 'ES_MODEL' AS model_id, ofi_ratio,
         "score_stream": vec.rstrip() + _scores(_STREAM_X),
         "msg_score_json": "SELECT * EXCLUDE (session_date) FROM ("
         + vec.rstrip() + _scores(_STREAM_X) + ")",
-        "pipe_raw_to_bronze": records + f"SELECT {FROM_RECORD} FROM packed {kept}",
+        # What training gives is fixed in count and form, not in value.
+        "train_model": steady + """
+SELECT count(*) AS record_count, CAST(2 AS INTEGER) AS feature_count, true AS finite_weights
+FROM mbo""",
+        "model_accuracy": steady
+        + "SELECT count(*) AS record_count, true AS accuracy_is_share FROM mbo",
+        "model_registry": steady + """
+SELECT count(*) AS record_count, true AS accuracy_is_share, true AS names_model, true AS has_time
+FROM mbo""",
+        "score_table": steady + f"SELECT {SCORED} FROM mbo",
+        "pipe_train_score": steady + f"SELECT {SCORED} FROM mbo WHERE order_id % 19 <> 0",
+        "pipe_raw_to_bronze": records + f"""
+SELECT {FROM_RECORD} FROM packed {kept}
+  AND make_timestamp(ts_event // 1000) >= timezone('UTC',
+    timezone('America/New_York', TIMESTAMP '2024-01-01 13:01:00'))
+  AND make_timestamp(ts_event // 1000) < timezone('UTC',
+    timezone('America/New_York', TIMESTAMP '2024-01-01 13:40:00'))""",
         "pipe_bronze_to_silver": bar + "SELECT * FROM bar WHERE session_date = '2024-01-01'",
         "pipe_silver_to_gold": vec + "SELECT * FROM setup WHERE session_date = '2024-01-01'",
     }

@@ -4,6 +4,7 @@ Timestamps come out as UTC wall clock (``TIMESTAMP_NTZ``) and vectors as plain c
 result reads the same in any engine and session zone.
 """
 
+import math
 import uuid
 from collections.abc import Callable
 
@@ -40,7 +41,8 @@ from tickloom.streaming.settings import stateful_session
 Query = Callable[[SparkSession, str], DataFrame]
 
 TIMEOUT_S = 900
-STATE_PARTITIONS = 4
+# Files of a replayed span; a micro-batch takes one span.
+REPLAY_FILES = 4
 FIRST_DAY = Slice("2024-01-01", "SYN", "FUT")
 MID_DAY = Slice("2024-01-15", "SYN", "FUT")
 RAW = {"venue": "SYNTH", "underlier": "SYN", "instrument_type": "FUT", "price_scale": 1e9}
@@ -86,6 +88,10 @@ def _utc_wall(instant: str) -> F.Column:
     return ns_to_utc(F.unix_micros(instant) * 1000)
 
 
+def _staged(df: DataFrame, by: str, **options) -> str:
+    return stage_slices(df, by, files=REPLAY_FILES, **options)
+
+
 # Sources
 
 
@@ -97,9 +103,9 @@ def src_envelope_decode(spark, sf_dir):
 
 @_query
 def src_table_stream(spark, sf_dir):
-    source = stage_slices(fx.mbo(spark, sf_dir), "event_time")
+    source = _staged(fx.mbo(spark, sf_dir), "event_time")
     out, mark = shared_dir(spark, "out"), shared_dir(spark, "checkpoint")
-    rows = table_stream(spark, source, max_files=1).select("contract_id", "event_time", "size")
+    rows = table_stream(spark, source, max_files=REPLAY_FILES).select("contract_id", "event_time", "size")
     finish(append_stream(rows, out, mark), TIMEOUT_S)
     return spark.read.parquet(out)
 
@@ -145,11 +151,11 @@ def sink_replace_slice(spark, sf_dir):
 
 @_query
 def sink_stream_append(spark, sf_dir):
-    source = stage_slices(fx.mbo(spark, sf_dir), "event_time")
+    source = _staged(fx.mbo(spark, sf_dir), "event_time")
     out, mark = shared_dir(spark, "out"), shared_dir(spark, "checkpoint")
-    finish(append_stream(table_stream(spark, source, max_files=1), out, mark), TIMEOUT_S)
+    finish(append_stream(table_stream(spark, source, max_files=REPLAY_FILES), out, mark), TIMEOUT_S)
     # A second run from the same checkpoint finds nothing new.
-    finish(append_stream(table_stream(spark, source, max_files=1), out, mark), TIMEOUT_S)
+    finish(append_stream(table_stream(spark, source, max_files=REPLAY_FILES), out, mark), TIMEOUT_S)
     return spark.read.parquet(out)
 
 
@@ -389,6 +395,14 @@ def book_snapshot(spark, sf_dir):
     return book.book_snapshot(_norm(spark, sf_dir))
 
 
+@_query
+def book_snapshot_at(spark, sf_dir):
+    """The book half-way through the data."""
+    rows = _norm(spark, sf_dir)
+    low, high = rows.agg(F.min("event_time"), F.max("event_time")).first()
+    return book.book_snapshot(rows, at_ns=(low + high) // 2)
+
+
 @_query
 def dedup_batch(spark, sf_dir):
     return ingest.dedup_batch(fx.with_duplicates(fx.mbo(spark, sf_dir)))
@@ -401,8 +415,8 @@ def _bronze_stream(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     rows = fx.mbo(spark, sf_dir).withColumn(
         "enqueued_time", F.timestamp_micros(F.call_function("div", "ingest_time", F.lit(1000)))
     )
-    session = stateful_session(spark, STATE_PARTITIONS)
-    return table_stream(session, stage_slices(rows, "event_time", **options), max_files=1)
+    session = stateful_session(spark)
+    return table_stream(session, _staged(rows, "event_time", **options), max_files=REPLAY_FILES)
 
 
 def _collect_stream(spark: SparkSession, rows: DataFrame) -> DataFrame:
@@ -416,8 +430,8 @@ def _collect_stream(spark: SparkSession, rows: DataFrame) -> DataFrame:
 def dedup_stream(spark, sf_dir):
     broker = fx.broker_rows(spark, sf_dir)
     twice = broker.unionByName(broker.where(F.col("offset") % 10 == 0))
-    session = stateful_session(spark, STATE_PARTITIONS)
-    source = table_stream(session, stage_slices(twice, "offset"), max_files=1)
+    session = stateful_session(spark)
+    source = table_stream(session, _staged(twice, "offset"), max_files=REPLAY_FILES)
     rows = ingest.valid_rows(dedup_decoded(decode_envelope(source)))
     out, mark = shared_dir(spark, "out"), shared_dir(spark, "checkpoint")
     finish(append_stream(rows, out, mark), TIMEOUT_S)
@@ -426,12 +440,12 @@ def dedup_stream(spark, sf_dir):
 
 @_query
 def stream_fanout(spark, sf_dir):
-    session = stateful_session(spark, STATE_PARTITIONS)
+    session = stateful_session(spark)
     # Broken rows are a day old, far behind the watermark.
     broken = F.col("offset") % fx.BROKEN_EVERY == 0
     age = F.when(broken, F.expr("INTERVAL 1 DAY")).otherwise(F.expr("INTERVAL 0 DAY"))
     broker = fx.broker_rows(spark, sf_dir).withColumn("timestamp", F.col("timestamp") - age)
-    source = table_stream(session, stage_slices(broker, "offset"), max_files=1)
+    source = table_stream(session, _staged(broker, "offset"), max_files=REPLAY_FILES)
     bronze, dead = shared_dir(spark, "bronze"), shared_dir(spark, "dead")
     mark = shared_dir(spark, "checkpoint")
     finish(stream.broker_to_bronze(source, bronze, dead, mark), TIMEOUT_S)
@@ -468,8 +482,8 @@ def book_stream_unordered(spark, sf_dir):
     """Events arrive up to 400 seconds late and so in other micro-batches than their neighbours."""
     lag = F.col("order_id") % 3 * 200 * SECOND_NS
     rows = fx.mbo(spark, sf_dir).withColumn("arrival", F.col("event_time") + lag)
-    session = stateful_session(spark, STATE_PARTITIONS)
-    source = table_stream(session, stage_slices(rows, "arrival", closing=True), max_files=1)
+    session = stateful_session(spark)
+    source = table_stream(session, _staged(rows, "arrival", closing=True), max_files=REPLAY_FILES)
     found = _collect_stream(spark, stream_primitives(book_stream(b.normalize(source))))
     return _plain_book(found)
 
@@ -478,8 +492,8 @@ def book_stream_unordered(spark, sf_dir):
 def late_rows_q(spark, sf_dir):
     """Four turns over the whole time span; what the ones before left over ten minutes behind."""
     rows = fx.mbo(spark, sf_dir).withColumn("turn", F.col("order_id") % 4)
-    session = stateful_session(spark, STATE_PARTITIONS)
-    source = table_stream(session, stage_slices(rows, "turn"), max_files=1)
+    session = stateful_session(spark)
+    source = table_stream(session, _staged(rows, "turn"), max_files=REPLAY_FILES)
     return _collect_stream(spark, late_rows(book_stream(b.normalize(source))))
 
 
@@ -490,16 +504,16 @@ def state_expiry(spark, sf_dir):
     half = rows.agg(((F.min("event_time") + F.max("event_time")) / 2).cast("long")).scalar()
     shifted = F.col("event_time") + F.when(F.col("event_time") > half, HOUR_NS).otherwise(0)
     rows = rows.withColumn("event_time", shifted)
-    session = stateful_session(spark, STATE_PARTITIONS)
-    source = table_stream(session, stage_slices(rows, "event_time", closing=True), max_files=1)
+    session = stateful_session(spark)
+    source = table_stream(session, _staged(rows, "event_time", closing=True), max_files=REPLAY_FILES)
     found = _collect_stream(spark, stream_primitives(book_stream(b.normalize(source))))
     return found.select("contract_id", "bucket_ns", "event_count", "best_bid", "best_ask")
 
 
 def _bar_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    session = stateful_session(spark, STATE_PARTITIONS)
+    session = stateful_session(spark)
     return table_stream(
-        session, stage_slices(_primitives(spark, sf_dir), "bucket_ns"), max_files=1
+        session, _staged(_primitives(spark, sf_dir), "bucket_ns"), max_files=REPLAY_FILES
     )
 
 
@@ -573,10 +587,10 @@ def score_failures(spark, sf_dir):
 
 
 def _run_scores(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    source = stage_slices(_gold(spark, sf_dir), "vector_time")
+    source = _staged(_gold(spark, sf_dir), "vector_time")
     scores, topic = shared_dir(spark, "scores"), shared_dir(spark, "topic")
     mark = shared_dir(spark, "checkpoint")
-    vectors = table_stream(spark, source, max_files=1)
+    vectors = table_stream(spark, source, max_files=REPLAY_FILES)
     finish(stream.gold_to_scores(vectors, _scorer, scores, topic, mark), TIMEOUT_S)
     return scores, topic
 
@@ -604,19 +618,24 @@ def _trained(spark: SparkSession, sf_dir: str):
 
 @_query
 def train_model(spark, sf_dir):
-    """Score input rows next to the weights of the fitted model."""
+    """Rows trained on, and whether the fitted model has a finite weight for each input."""
     model, rows, _ = _trained(spark, sf_dir)
     fitted = model.stages[-1]
-    weights = {n: F.lit(float(w)) for n, w in zip(("w_price", "w_size"), fitted.coefficients)}
+    finite = all(math.isfinite(w) for w in (*fitted.coefficients, fitted.intercept))
     return rows.agg(F.count(F.lit(1)).alias("record_count")).withColumns(
-        {**weights, "intercept": F.lit(float(fitted.intercept))}
+        {"feature_count": F.lit(len(fitted.coefficients)), "finite_weights": F.lit(finite)}
     )
 
 
+def _is_share(column: str) -> F.Column:
+    return F.col(column).between(0, 1)
+
+
 @_query
 def model_accuracy(spark, sf_dir):
     model, rows, _ = _trained(spark, sf_dir)
-    return training.model_accuracy(model, rows)
+    measured = training.model_accuracy(model, rows)
+    return measured.select("record_count", _is_share("accuracy").alias("accuracy_is_share"))
 
 
 @_query
@@ -625,13 +644,31 @@ def model_registry(spark, sf_dir):
     name = f"tickloom_models_{uuid.uuid4().hex}"
     row = training.registry_row(spark, path, training.model_accuracy(model, rows))
     append_table(row, name, shared_dir(spark, name))
-    return spark.table(name)
+    return spark.table(name).select(
+        "record_count",
+        _is_share("accuracy").alias("accuracy_is_share"),
+        (F.col("model_path") == path).alias("names_model"),
+        (F.col("trained_at") > fx.BASE_NS).alias("has_time"),
+    )
+
+
+def _checked_scores(scored: DataFrame) -> DataFrame:
+    """Keys and inputs as scored, and whether prediction and probabilities belong together."""
+    p = F.col("probability")
+    return scored.select(
+        "contract_id",
+        "event_time",
+        "price",
+        "size",
+        (F.abs(p[0] + p[1] - 1) < 1e-9).alias("sums_to_one"),
+        (F.col("prediction") == (p[1] > 0.5).cast("int")).alias("likelier_class"),
+    )
 
 
 @_query
 def score_table(spark, sf_dir):
     _, rows, path = _trained(spark, sf_dir)
-    return training.score_table(rows, path)
+    return _checked_scores(training.score_table(rows, path))
 
 
 # Jobs
@@ -654,7 +691,7 @@ def pipe_raw_to_bronze(spark, sf_dir):
     lake = _lake(spark)
     batch.raw_to_bronze(
         fx.raw_records(spark, sf_dir), lake, FIRST_DAY, venue="SYNTH", price_scale=1e9,
-        start_time="13:00", end_time="23:00",
+        start_time="13:01", end_time="13:40",
     )
     rows = read_slice(spark, lake.path(batch.BRONZE), FIRST_DAY)
     return rows.select(*ENVELOPE_COLUMNS, "session_date")
@@ -683,7 +720,7 @@ def pipe_silver_to_gold(spark, sf_dir):
 
 @_query
 def pipe_train_score(spark, sf_dir):
-    source = stage_slices(fx.broker_rows(spark, sf_dir), "offset")
+    source = _staged(fx.broker_rows(spark, sf_dir), "offset")
     run = uuid.uuid4().hex
     tables = {f"{t}_table": f"tickloom_{t}_{run}" for t in ("events", "registry", "scores")}
     batch.train_and_score(
@@ -694,5 +731,5 @@ def pipe_train_score(spark, sf_dir):
         timeout_s=TIMEOUT_S,
         **tables,
     )
-    return spark.table(tables["scores_table"]).drop("scored_at")
+    return _checked_scores(spark.table(tables["scores_table"]))
 

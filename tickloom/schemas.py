@@ -1,4 +1,7 @@
-"""Column layouts of the tables and messages the operators exchange."""
+"""Column layouts of the tables and messages the operators exchange.
+
+All names, types and orders below are fixed values: tables and messages of other writers have them.
+"""
 
 from pyspark.sql import types as T
 

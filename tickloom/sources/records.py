@@ -22,7 +22,7 @@ def raw_to_envelope(
     price_scale: float = 1.0,
 ) -> DataFrame:
     """Envelope rows; a fixed-point price needs ``price_scale=1e9``."""
-    require_columns(df, PAYLOAD_FIELDS, "payload fields")
+    require_columns(df, PAYLOAD_FIELDS, "raw columns")
     out = df.select(
         F.col("ts_event").cast("long").alias("event_time"),
         F.col("ts_recv").cast("long").alias("ingest_time"),

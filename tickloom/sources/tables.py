@@ -1,7 +1,9 @@
 """Batch and streaming scans of the partitioned tables."""
 
+import re
 from dataclasses import asdict, dataclass, fields
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +26,17 @@ class Slice:
         day, underlier, kind = (F.col(k) == v for k, v in asdict(self).items())
         return day & underlier & kind
 
+    def folder(self) -> str | None:
+        """Where a table keeps the slice, below its root; None for values that Spark escapes."""
+        parts = asdict(self)
+        if not all(re.fullmatch(r"[A-Za-z0-9_.-]+", v) for v in parts.values()):
+            return None
+        return "/".join(f"{k}={v}" for k, v in parts.items())
+
+
+# Spark's error conditions for a missing and for an empty folder.
+_NO_FILES = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
 
 # Spark guesses the type of a partition value ("1" becomes an int); the keys are strings.
 def _string_keys(schema: T.StructType) -> T.StructType:
@@ -49,7 +62,20 @@ def read_table(
 def read_slice(
     spark: SparkSession, path: str, part: Slice, schema: T.StructType | None = None
 ) -> DataFrame:
-    """Partition-pruned scan: only the slice's own files are read."""
+    """Scan of one slice; its own folder is listed, not the whole table.
+
+    The table is listed where the folder cannot be named or is missing or empty.
+    """
+    folder = part.folder()
+    if "/" in path and folder:
+        reader = spark.read.option("basePath", path)
+        own = f"{path.rstrip('/')}/{folder}"
+        try:
+            known = _string_keys(schema or reader.parquet(own).schema)
+            return reader.schema(known).parquet(own).where(part.predicate())
+        except AnalysisException as e:
+            if e.getCondition() not in _NO_FILES:
+                raise
     return read_table(spark, path, schema).where(part.predicate())
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.sources.stage import shared_dir
+from tickloom.sources.stage import materialize, shared_dir
 
 # Key of a closing row that only moves the watermark; drop it from the output.
 FAR_FUTURE_KEY = "__end__"
@@ -38,8 +38,9 @@ def stage_slices(
     """Write equal spans of ``by`` one after another, each as ``files`` files.
 
     A file stream takes files by age, so with ``maxFilesPerTrigger`` set to ``files`` every
-    micro-batch is one span. The spans' bounds are one row of the table.
+    micro-batch is one span. The spans' bounds are one row of the table, which is evaluated once.
     """
+    df = materialize(df, "replay-input")
     low, high = df.agg(F.min(by), F.max(by)).first()
     path = shared_dir(df.sparkSession, "replay")
     step = (high - low) // slices + 1
@@ -47,6 +48,10 @@ def stage_slices(
         start = low + i * step
         part = df.where((F.col(by) >= start) & (F.col(by) < start + step))
         part.repartition(files).write.mode("append").parquet(path)
+        written = len(df.sparkSession.read.schema(df.schema).parquet(path).inputFiles())
+        # A span with few rows or none gives fewer files; empty ones keep micro-batches whole.
+        for _ in range(files * (i + 1) - written):
+            df.limit(0).coalesce(1).write.mode("append").parquet(path)
     if closing:
         closing_row(df).coalesce(1).write.mode("append").parquet(path)
     return path
