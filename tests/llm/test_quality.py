@@ -70,6 +70,20 @@ def test_odd_text_goes_and_usual_text_stays(spark):
     assert kept[98] == (False, None)
 
 
+def test_vowels_and_consonants_are_told_apart(spark):
+    usual = [(i, PASSAGE * 3) for i in range(20)]
+    mashed = (99, " ".join("bcdfghjklm"[k % 5 :] for k in range(150)))
+    got = quality.quality(frame(spark, [*usual, mashed]))
+    row = got.where("doc_id = 99").first()
+    assert row["class_distance"] > quality.CLASS_LIMIT and not row["kept"]
+
+
+def test_references_have_forty_words_of_up_to_eight_characters(spark):
+    text = " ".join(f"{'x' * 5}{k:03d} {'y' * 6}{k:03d}" for k in range(50))
+    row = quality.references(frame(spark, [(1, text)])).where("lang = 'en'").first()
+    assert len(row["words"]) == 40 and {len(w) for w in row["words"]} == {8} and len(row["classes"]) == 6
+
+
 def test_clean_documents_stay(spark, sf_dir):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1")
     rows = op1_quality(spark, sf_dir).join(labels, "doc_id").where("not base_failed")

@@ -22,12 +22,12 @@ from tickloom.sources.stage import materialize
 SPACES = "\t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 # Character classes of non-space characters; what is left over is the last class.
-CLASSES = ["[a-z]+", "[A-Z]+", "[0-9]+", r"[^\x00-\x7F]+"]
+CLASSES = ["[aeiou]+", "[b-df-hj-np-tv-z]+", "[A-Z]+", "[0-9]+", r"[^\x00-\x7F]+"]
 
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
-COMMON_WORDS = 24
-COMMON_CHARS = 6
+COMMON_WORDS = 40
+COMMON_CHARS = 8
 LANGUAGES = 64
 CLASS_LIMIT = 0.30
 CLASS_GUARD = 200  # characters
