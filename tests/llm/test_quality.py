@@ -84,6 +84,20 @@ def test_references_have_forty_words_of_up_to_eight_characters(spark):
     assert len(row["words"]) == 40 and {len(w) for w in row["words"]} == {8} and len(row["classes"]) == 6
 
 
+def test_every_language_has_its_reference(spark):
+    # 80 languages; the last has one document, in another script.
+    rows = [(2 * k + j, PASSAGE * 3, f"l{k:02d}") for k in range(79) for j in range(2)]
+    rows += [(1000 + k, PASSAGE * 3, "l00") for k in range(40)] + [(2000, PASSAGE * 3, None)]
+    greek = " ".join("".join(chr(0x3B1 + (7 * k + 3 * j + k * j) % 24) for j in range(3 + k % 5)) for k in range(150))
+    df = spark.createDataFrame([*rows, (3000, greek, "zz")], "doc_id long, text string, lang string")
+    assert quality.references(df).count() == 81
+    columns = ["doc_id", "kept", "class_distance", "word_distance"]
+    got = by_id(quality.quality(df), *columns)
+    assert got == by_id(quality.quality(df, broadcast_languages=1), *columns)
+    rare = next(r for r in got if r[0] == 3000)
+    assert rare[1] and rare[2] < 1e-6 and rare[3] < 1e-6 and len(got) == len(df.collect())
+
+
 def test_clean_documents_stay(spark, sf_dir):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1")
     rows = op1_quality(spark, sf_dir).join(labels, "doc_id").where("not base_failed")

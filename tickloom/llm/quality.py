@@ -4,8 +4,9 @@ References are histograms over all documents of a language: character classes of
 characters, and the language's most common short words with one bin for all others. A document
 fails where the Jensen-Shannon distance of either histogram to the reference of its language is
 over its limit; texts too short for a stable histogram are not judged by it. A document without a
-language, or of one that is not among the ``languages`` with most documents, is held against the
-pooled reference.
+language, or of one without any document long enough to count, is held against the pooled reference.
+References are a table of one row per language, joined by language: broadcast where it is small, else
+dealt by language and, for languages with a large share of the documents, by a salt.
 
 All is DataFrame functions. A null or empty text has no words, fails the base rules and is not
 kept. Repeated rows each keep their row. Other columns are left out. Without documents there are no
@@ -28,12 +29,15 @@ MIN_WORDS = 50
 REPEAT_PERCENT = 50
 COMMON_WORDS = 40
 COMMON_CHARS = 8
-LANGUAGES = 64
+LANGUAGES = 64  # only the SQL twin stops at so many; the operator has references for all
 CLASS_LIMIT = 0.30
 CLASS_GUARD = 200  # characters
 WORD_LIMIT = 0.37
 WORD_GUARD = 100  # words
 
+BROADCAST_LANGUAGES = 4096
+HOT_PARTS = 64  # a language with over this part of all documents is dealt by as many salts
+
 _PLACE_BITS = 20
 _POOLED = "\x00pooled"
 
@@ -42,9 +46,13 @@ def _total(array: Column) -> Column:
     return F.aggregate(array, F.lit(0).cast("long"), lambda a, x: a + x)
 
 
-def _words(df: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+def _texts(df: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = df.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), text.alias("text"))
+    return df.select(F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), text.alias("text"))
+
+
+def _words(rows: DataFrame) -> DataFrame:
+    """Adds the words ``w``."""
     spaced = F.col("text")
     for c in SPACES:
         spaced = F.replace(spaced, F.lit(c), F.lit(" "))
@@ -107,15 +115,14 @@ def references(
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
-    languages: int = LANGUAGES,
     common_words: int = COMMON_WORDS,
 ) -> DataFrame:
-    """Per language (null for the pooled one): ``classes``, ``words`` and ``word_shares``.
+    """Per language (null for the pooled one): ``documents``, ``classes``, ``words`` and ``word_shares``.
 
-    Histograms of all documents; at most ``languages + 1`` rows of ``common_words`` short words.
+    Histograms of all documents; one row of ``common_words`` short words per language, and the pool's.
     """
     # Short texts count for nothing; a filter would split all texts a second time.
-    rows = _words(df, id_col, text_col, lang_col)
+    rows = _words(_texts(df, id_col, text_col, lang_col))
     long_enough = F.size("w") >= MIN_WORDS
     size = len(CLASSES) + 1
     sums = [F.sum(F.when(long_enough, F.col("class_counts")[i])).alias(f"class{i}") for i in range(size)]
@@ -126,8 +133,7 @@ def references(
         .where("documents > 0")
     )
     per_language = materialize(per_language, "language-sums")
-    # One row per language; the languages beyond the first few only count for the pool.
-    named = per_language.where("lang is not null").orderBy(F.desc("documents"), "lang").limit(languages)
+    named = per_language.where("lang is not null")
     totals = [F.sum(c).alias(c) for c in ("documents", "all_words", *(f"class{i}" for i in range(size)))]
     pool = per_language.agg(*totals).where("documents is not null").select(F.lit(_POOLED).alias("lang"), "*")
     wide = named.unionByName(pool)
@@ -149,6 +155,7 @@ def references(
     shares = F.transform(best, lambda x: x["count"] / F.col("all_words"))
     return joined.select(
         F.when(F.col("lang") != _POOLED, F.col("lang")).alias("lang"),
+        "documents",
         F.array(*[F.col(f"class{i}") / chars for i in range(size)]).alias("classes"),
         F.transform(best, lambda x: x["word"]).alias("words"),
         F.concat(
@@ -168,19 +175,29 @@ def divergence(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda a, x: a + x) / 2, F.lit(0.0)))
 
 
-def _against_references(df: DataFrame, found: DataFrame) -> DataFrame:
+def _with_references(rows: DataFrame, found: DataFrame, broadcast: int) -> DataFrame:
+    """Adds the reference of each row's language, or else the pooled one."""
+    pool = found.where("lang is null").first()
+    pool = pool or {"classes": [1.0] + [0.0] * len(CLASSES), "words": [], "word_shares": [1.0], "widest": 0}
+    kinds = {"classes": "array<double>", "words": "array<string>", "word_shares": "array<double>", "widest": "int"}
+    pooled = {c: F.lit(pool[c]).cast(kind) for c, kind in kinds.items()}
+    named = found.where("lang is not null").select("lang", "documents", *kinds)
+    if named.count() <= broadcast:
+        joined = rows.join(F.broadcast(named.drop("documents")), "lang", "left")
+    else:
+        # Bounded: fewer than HOT_PARTS languages can have over that part of the documents.
+        hot = [r["lang"] for r in named.where(F.col("documents") * HOT_PARTS > pool["documents"]).collect()]
+        is_hot = F.col("lang").isin(hot)
+        salts = F.when(is_hot, F.sequence(F.lit(0), F.lit(HOT_PARTS - 1))).otherwise(F.array(F.lit(0)))
+        parts = named.drop("documents").withColumn("salt", F.explode(salts))
+        salt = F.pmod(F.xxhash64("doc_id", "text"), F.lit(HOT_PARTS)).cast("int")
+        spread = rows.withColumn("salt", F.when(F.col("lang").isNull() | is_hot, salt).otherwise(0))
+        joined = spread.join(parts, ["lang", "salt"], "left").drop("salt")
+    return joined.withColumns({c: F.coalesce(c, v) for c, v in pooled.items()})
+
+
+def _against_references(df: DataFrame) -> DataFrame:
     """Adds ``class_distance`` and ``word_distance``, null where the guards do not hold."""
-    # Bounded: LANGUAGES + 1 rows of COMMON_WORDS words of COMMON_CHARS characters.
-    refs = found.collect()
-    spark = df.sparkSession
-    schema = "lang string, classes array<double>, words array<string>, word_shares array<double>, widest int"
-    widest = lambda words: max((len(w.encode()) for w in words), default=0)
-    named = spark.createDataFrame([(*r, widest(r["words"])) for r in refs if r["lang"] is not None], schema)
-    pool = next((r for r in refs if r["lang"] is None), None)
-    pool = pool or {"classes": [1.0] + [0.0] * len(CLASSES), "words": [], "word_shares": [1.0]}
-    pool = {**(pool if isinstance(pool, dict) else pool.asDict()), "widest": widest(pool["words"])}
-    pooled = {c: F.lit(pool[c]).cast(schema.split(f"{c} ")[1].split(",")[0]) for c in ("classes", "words", "word_shares", "widest")}
-    df = df.join(F.broadcast(named), "lang", "left").withColumns({c: F.coalesce(c, v) for c, v in pooled.items()})
     # Common words are counted by what taking each out of the joined short words leaves.
     short = F.filter("w", lambda x: F.octet_length(x) <= F.col("widest"))
     df = df.withColumn("joined", F.concat(F.lit(" "), F.array_join(short, "  "), F.lit(" "))).drop("w", "widest")
@@ -208,10 +225,15 @@ def quality(
     lang_col: str = "lang",
     class_limit: float = CLASS_LIMIT,
     word_limit: float = WORD_LIMIT,
+    broadcast_languages: int = BROADCAST_LANGUAGES,
 ) -> DataFrame:
     """Base counts, both distances and the verdict ``kept`` of every document."""
-    found = references(df, id_col, text_col, lang_col)
-    rows = _against_references(base_counts(_words(df, id_col, text_col, lang_col)), found)
+    # The longest word in bytes is written as well, or each of a text's words would find it again.
+    widest = F.aggregate("words", F.lit(0), lambda a, x: F.greatest(a, F.octet_length(x)))
+    found = references(df, id_col, text_col, lang_col).withColumn("widest", widest)
+    found = materialize(found, "references")
+    rows = _with_references(_texts(df, id_col, text_col, lang_col), found, broadcast_languages)
+    rows = _against_references(base_counts(_words(rows)))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     near = (F.coalesce("class_distance", F.lit(0.0)) <= class_limit) & (
         F.coalesce("word_distance", F.lit(0.0)) <= word_limit
