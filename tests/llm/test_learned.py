@@ -177,6 +177,12 @@ def test_weak_labels(spark):
     assert weaklabel.classify(empty(spark)).collect() == []
 
 
+def test_weak_labels_reject_bad_rows(spark):
+    labels = load(spark, SF, "labels").where("quality = 0")
+    bad = [r["kept"] for r in op6_weak_labels(spark, SF).join(labels, "doc_id").collect()]
+    assert len(bad) > 50 and 1 - np.mean(bad) > 0.45
+
+
 def test_toxicity_of_held_out_documents(spark):
     labels = {r["doc_id"]: r["toxic"] for r in load(spark, SF, "labels").collect()}
     rows = [r for r in op10_toxicity(spark, SF).collect() if r["held_out"] and r["doc_id"] in labels]

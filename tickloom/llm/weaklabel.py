@@ -24,7 +24,7 @@ from tickloom.sources.stage import materialize
 
 SAMPLE = 6_000
 SHAPES = 1 << 15
-THRESHOLD = 0.15
+THRESHOLD = 0.5
 GOOD, BAD, ABSTAIN = 1, 0, -1
 _SYMBOLS = b"#*$%&|<>"
 _CACHE = 1 << 18
