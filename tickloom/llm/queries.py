@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import bpe, decontam, hmm, langid, quality, simhash, suffix, toxicity, warc, weaklabel
+from tickloom.llm import bpe, convtrie, decontam, hmm, langid, quality, simhash, suffix, toxicity, urlfilter, warc, weaklabel, whitening
 from tickloom.llm.sql import ORACLE_SQL  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,22 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.fit(docs, load(spark, sf_dir, "labels")))
 
 
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return convtrie.conversation_trie(load(spark, sf_dir, "conversations"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(load(spark, sf_dir, "embeddings"))
+
+
+def op13_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urlfilter.judge(load(spark, sf_dir, "pages")).drop("score")
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op1_quality, op2_language, op3_bpe, op4_hmm, op5_simhash, op6_weak_labels, op7_suffix, op8_decontamination, op9_warc, op10_toxicity)
+    f.__name__: f
+    for f in (
+        op1_quality, op2_language, op3_bpe, op4_hmm, op5_simhash, op6_weak_labels, op7_suffix,
+        op8_decontamination, op9_warc, op10_toxicity, op11_conversations, op12_whitening, op13_urls,
+    )
 }

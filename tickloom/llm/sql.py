@@ -1,6 +1,6 @@
 """SQL twins of the text operators that SQL can express."""
 
-from tickloom.llm import decontam, quality
+from tickloom.llm import decontam, quality, urlfilter
 
 _SPACE = "[\\x20\\x09-\\x0D]+"
 
@@ -124,4 +124,98 @@ j AS (
 SELECT page_id, url, CAST(size AS BIGINT) AS payload_bytes, digest AS payload_digest,
   CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to FROM j"""
 
-ORACLE_SQL = {"op1_quality": _quality(), "op8_decontamination": DECONTAMINATION, "op9_warc": ARCHIVE}
+# CRC-32 of a number's decimal digits, bit by bit.
+_BITS = "list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))"
+_CODES = "list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))"
+_CRC = f"xor(list_reduce(list_prepend(4294967295, {_CODES}), lambda a, b: {_BITS}), 4294967295)"
+
+CONVERSATIONS = f"""
+WITH t AS (
+  SELECT conv_id, turn, length(coalesce(text, '')) AS n,
+    sha256(concat_ws(':', length(coalesce(role, '')), coalesce(role, ''), coalesce(text, ''))) AS k
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, k) AS pos FROM t
+), c AS (
+  SELECT conv_id, conv_id - conv_id % 100 AS base_id, {_CRC} % 6 AS h FROM (SELECT DISTINCT conv_id FROM t) x
+), whole AS (
+  SELECT c.conv_id, 0 AS part, o.pos, o.k, o.n FROM c JOIN own o ON o.conv_id = c.base_id AND o.pos <= c.h
+  UNION ALL SELECT c.conv_id, 1, o.pos, o.k, o.n FROM c JOIN own o ON o.conv_id = c.conv_id AND o.pos > c.h
+), path AS (
+  SELECT conv_id, 0 AS depth, '' AS node, 0 AS n FROM c UNION ALL
+  SELECT conv_id, row_number() OVER w AS depth, array_to_string(list(k) OVER w, ',') AS node, n FROM whole
+  WINDOW w AS (PARTITION BY conv_id ORDER BY part, pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+), nodes AS (
+  SELECT depth, node, min(conv_id) AS conv_id, count(*) AS n_convs, min(n) AS n FROM path GROUP BY depth, node
+), up AS (
+  SELECT y.depth, y.node, p.node AS parent FROM nodes y JOIN path p ON p.conv_id = y.conv_id AND p.depth = y.depth - 1
+), kids AS (SELECT parent AS node, count(*) AS n_children FROM up GROUP BY parent
+), below AS (
+  SELECT a.node, sum((y.n_convs - 1) * y.n) AS saved, sum(CASE WHEN k.node IS NULL THEN 1 ELSE 0 END) AS n_leaves
+  FROM nodes y LEFT JOIN kids k ON k.node = y.node JOIN path a ON a.conv_id = y.conv_id AND a.depth <= y.depth GROUP BY a.node
+), ends AS (
+  SELECT node, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) AS names FROM (
+    SELECT conv_id, node, row_number() OVER (PARTITION BY conv_id ORDER BY depth DESC) AS last FROM path) x
+  WHERE last = 1 GROUP BY node
+)
+SELECT y.conv_id, CAST(y.depth AS BIGINT) AS depth, q.conv_id AS parent_conv_id, y.n_convs,
+  CAST(coalesce(k.n_children, 0) AS BIGINT) AS n_children, CAST(b.n_leaves AS BIGINT) AS n_leaves,
+  CAST(b.saved AS BIGINT) AS saved_tokens, sha256(coalesce(e.names, '')) AS ends_sha256
+FROM nodes y JOIN below b USING (node) LEFT JOIN up u USING (node) LEFT JOIN nodes q ON q.node = u.parent
+LEFT JOIN kids k ON k.node = y.node LEFT JOIN ends e ON e.node = y.node"""
+
+
+def _urls() -> str:
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    lower = f"translate(host || path, '{upper}', '{upper.lower()}')"
+    plain = f"regexp_replace({lower}, '[^a-z0-9./?=&_%-]', chr(127), 'g')"
+    symbols = f"translate({plain}, '{urlfilter._PUNCTUATION}', '{urlfilter._STANDS_FOR}')"
+    rules = urlfilter.ordered(urlfilter.RULES)
+    fits = [f"(host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}')" for r in rules]
+    rule = "CASE " + " ".join(f"WHEN {f} THEN '{r.text}'" for f, r in zip(fits, rules)) + " END"
+    ruled = "CASE " + " ".join(f"WHEN {f} THEN '{r.verdict}'" for f, r in zip(fits, rules)) + " END"
+    bits = urlfilter.BITS
+    code = " + ".join(
+        ["sym"] + [f"coalesce(lag(sym, {k}) OVER w, 0) * {1 << bits * k}" for k in range(1, urlfilter.ORDER + 1)]
+    )
+    levels = []
+    for k in range(urlfilter.ORDER + 1):
+        low = {c: f"s.p{c}" if k else str(1 / urlfilter.SYMBOLS) for c in "ar"}
+        mixed = ", ".join(
+            f"CASE WHEN sum(t.{c}) OVER w > 0 THEN (t.{c} + count_if(t.{c} > 0) OVER w * {low[c]}) / "
+            f"(sum(t.{c}) OVER w + count_if(t.{c} > 0) OVER w) ELSE {low[c]} END AS p{c}"
+            for c in "ar"
+        )
+        shorter = f"JOIN level{k - 1} s ON s.code = t.code & {(1 << bits * k) - 1}" if k else ""
+        levels.append(f"""level{k} AS (
+  SELECT t.code, {mixed} FROM (
+    SELECT code & {(1 << bits * (k + 1)) - 1} AS code, sum(a) AS a, sum(r) AS r FROM occurring GROUP BY ALL) t {shorter}
+  WINDOW w AS (PARTITION BY t.code >> {bits})
+)""")
+    return f"""
+WITH parts AS (
+  SELECT row_number() OVER () AS row_id, page_id, substr(sha256(coalesce(url, '')), 1, 1) < '{urlfilter.CALIBRATION}' AS held,
+    translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1), '{upper}', '{upper.lower()}') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path
+  FROM pages
+), d AS (SELECT *, {rule} AS rule, {ruled} AS ruled FROM parts
+), chars AS (
+  SELECT row_id, held, ruled, ascii(unnest(string_split({symbols}, ''))) & {urlfilter.SYMBOLS - 1} AS sym,
+    generate_subscripts(string_split({symbols}, ''), 1) AS pos FROM d WHERE host || path <> ''
+), codes AS (
+  SELECT row_id, held, ruled, {code} AS code FROM chars WINDOW w AS (PARTITION BY row_id ORDER BY pos)
+), occurring AS (
+  SELECT code, count_if(NOT held AND ruled = 'allow') AS a, count_if(NOT held AND ruled = 'block') AS r FROM codes GROUP BY code
+), {", ".join(levels)},
+scored AS (
+  SELECT c.row_id, any_value(c.held) AS held, any_value(c.ruled) AS ruled, sum(ln(l.pa / l.pr)) / count(*) AS score
+  FROM codes c JOIN level{urlfilter.ORDER} l USING (code) GROUP BY c.row_id
+), spread AS (
+  SELECT avg(score) FILTER (ruled = 'allow') AS ma, stddev_pop(score) FILTER (ruled = 'allow') AS sa,
+    avg(score) FILTER (ruled = 'block') AS mr, stddev_pop(score) FILTER (ruled = 'block') AS sr FROM scored WHERE held
+), bound AS (SELECT CASE WHEN sa + sr > 0 THEN (ma * sr + mr * sa) / (sa + sr) ELSE (ma + mr) / 2 END AS bound FROM spread)
+SELECT d.page_id, d.host, d.path, d.rule,
+  coalesce(d.ruled, CASE WHEN s.score < (SELECT bound FROM bound) THEN 'block' ELSE 'allow' END) AS verdict
+FROM d LEFT JOIN scored s USING (row_id)"""
+
+
+ORACLE_SQL = {"op1_quality": _quality(), "op8_decontamination": DECONTAMINATION, "op9_warc": ARCHIVE, "op11_conversations": CONVERSATIONS, "op13_urls": _urls()}
