@@ -1,5 +1,7 @@
 """Streaming operators over files that arrive one per micro-batch."""
 
+import random
+import time
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -20,9 +22,14 @@ from tickloom.sources import (
     table_stream,
 )
 from tickloom.streaming.ingest import dedup_stream
-from tickloom.streaming.keyed import book_stream, gold_stream, late_rows, stream_primitives
+from tickloom.streaming.book import book_stream, late_rows, stream_primitives
+from tickloom.streaming.gold import gold_stream
+from tickloom.streaming.late import bars_with_late, dedup_with_late
+from tickloom.streaming.levels import LevelIndex
+from tickloom.streaming.packs import unpack
 from tickloom.streaming.replay import closing_row
 from tickloom.streaming.settings import stateful_session
+from tickloom.streaming.state import state_variable
 
 TIMEOUT = 120
 
@@ -207,13 +214,12 @@ def test_state_is_dropped_when_the_watermark_passes_the_idle_time(spark, replay)
     replay.add(timed(events(spark, [{"event_time": T0, "price": 50.0}])))
     replay.add(timed(events(spark, [{"event_time": T0 + 7200 * SECOND, "contract_id": "C2"}])))
     replay.run(make)
-    spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+
     def contracts(name):
-        state = spark.read.format("statestore").option("stateVarName", name).load(replay.mark)
-        return {r["key"]["contract_id"] for r in state.select("key").collect()}
+        return {r["contract_id"] for r in state_variable(spark, replay.mark, name).collect()}
 
-    assert contracts("book") == set()  # C1 is past its idle time
-    assert contracts("pending") == {"C2"}
+    assert contracts("levels") == contracts("last") == set()  # C1 is past its idle time
+    assert contracts("packs") == contracts("held") == {"C2"}
 
 
 def test_gold_stream_carries_the_last_mid_over_batches(spark, replay):
@@ -294,3 +300,112 @@ def test_streaming_jobs_chain(spark, tmp_path):
     assert read_batches(spark, f"{root}/scores").where("prediction >= 0").count() == n
     message = spark.read.text(f"{root}/out2").first()["value"]
     assert message.startswith('{"contract_id":"C')
+
+
+@pytest.mark.parametrize("n", [1_000, 10_000])
+def test_level_index_equals_a_scan(n):
+    rng = random.Random(n)
+    index, sizes = LevelIndex((side, float(p), 1) for p in range(n // 2) for side in (1, -1)), {}
+    sizes.update({(side, float(p)): 1 for p in range(n // 2) for side in (1, -1)})
+    for step in range(2_000):
+        level = (rng.choice([1, -1]), float(rng.randrange(n)))
+        total = rng.choice([-5, -1, 2, 9])
+        low = min(total, rng.choice([0, -3]))
+        index.apply(level, total, low)
+        size = sizes.get(level, 0)
+        size += total - min(0, size + low)
+        sizes[level] = size
+        if step % 50 == 0:
+            live = [k for k, v in sizes.items() if v > 0]
+            assert index.best(1) == max(p for s, p in live if s == 1)
+            assert index.best(-1) == min(p for s, p in live if s == -1)
+    assert {(s, p): v for s, p, v in index.rows()} == {k: v for k, v in sizes.items() if v > 0}
+    again = LevelIndex(index.rows())
+    assert (again.best(1), again.best(-1)) == (index.best(1), index.best(-1))
+
+
+def test_level_index_takes_no_scan_for_a_bar():
+    """Ten thousand bars, each taking away the best of ten thousand bids and adding a better one."""
+    def steps(levels):
+        index = LevelIndex((1, float(p), 1) for p in range(levels))
+        seen = CountedDict(index.sizes)
+        index.sizes = seen
+        for bar in range(10_000):
+            index.apply((1, index.best(1)), -1, -1)
+            index.apply((1, float(levels + bar)), 1, 0)
+            assert index.best(1) == levels + bar
+        return seen.lookups
+
+    # A scan would look at every level for every bar.
+    assert steps(10_000) < 10_000 * 20
+    assert steps(10_000) < 2 * steps(1_000)
+
+
+class CountedDict(dict):
+    lookups = 0
+
+    def __contains__(self, key):
+        self.lookups += 1
+        return super().__contains__(key)
+
+
+def test_a_busy_contract_spreads_over_tasks(spark, replay):
+    """Nine tenths of the events are of one contract; its levels are held by all partitions alike."""
+    rows = [
+        {
+            "event_time": T0 + i * SECOND // 10, "sequence": i, "price": 100.0 + i % 90, "side": "BS"[i % 2],
+            "contract_id": "BUSY" if i % 10 else f"C{i % 70}",
+        }
+        for i in range(4_000)
+    ]
+    replay.session.conf.set("spark.sql.shuffle.partitions", "4")
+    replay.add(events(spark, rows))
+    replay.run(lambda s: book_stream(normalize(s), shards=32))
+    packs = state_variable(spark, replay.mark, "packs").select("partition_id", "events").collect()
+    held = {}
+    for r in packs:
+        held[r["partition_id"]] = held.get(r["partition_id"], 0) + unpack([bytes(r["events"])]).num_rows
+    assert sum(held.values()) == 4_000 and len(held) == 4
+    assert max(held.values()) <= 3 * sorted(held.values())[1]
+
+
+def test_gold_state_expires_on_the_wall_clock(spark, replay):
+    def part(contract):
+        rows = [{"event_time": T0, "price": 50.0, "contract_id": contract}]
+        return feature_primitives(bars(normalize(events(spark, rows))))
+
+    replay.session = stateful_session(spark, 2, idle_batches=False)
+    make = lambda s: gold_stream(s, ttl_ms=1_500)
+
+    def contracts():
+        return {r["contract_id"] for r in state_variable(spark, replay.mark, "last").collect()}
+
+    replay.add(part("C1"))
+    replay.run(make)
+    assert contracts() == {"C1"}
+    time.sleep(2)
+    replay.add(part("C1").limit(0))  # a micro-batch without a row of any contract
+    assert replay.run(make).count() == 1
+    assert contracts() == set()
+
+
+def test_rows_behind_the_watermark_stay_whole_beside_native_operators(spark, replay):
+    def at(seconds, n):
+        return timed(events(spark, [{"event_time": T0 + seconds * SECOND, "sequence": n, "order_id": n}]))
+
+    for part in (at(0, 1), at(3603, 2), at(1, 3).unionByName(at(1, 3)).unionByName(at(3001, 4)), at(2, 5)):
+        replay.add(part)
+    replay.add(closing_row(at(0, 0)))
+    found = replay.run(lambda s: bars_with_late(normalize(s))).where("contract_id <> '__end__'")
+    late = found.where("late is not null").select("late.*")
+    assert sorted(r["order_id"] for r in late.collect()) == [3, 3, 5]
+    assert late.first().asDict().keys() >= {"event_time", "price", "size", "payload", "event_ts"}
+    kept = found.where("late is null").agg(F.sum("event_count")).first()[0]
+    assert kept == 3
+
+
+def test_a_missing_clock_is_late_and_not_lost(spark, replay):
+    rows = timed(events(spark, [{"order_id": 1}, {"order_id": 1}, {"order_id": 2}]))
+    replay.add(rows.withColumn("enqueued_time", F.when(F.col("order_id") == 1, F.col("enqueued_time"))))
+    found = replay.run(lambda s: dedup_with_late(s, ["order_id"]))
+    assert sorted((r["order_id"], r["late_row"] is not None) for r in found.collect()) == [(1, False), (2, True)]

@@ -219,6 +219,20 @@ _HOLED_X = ", ".join(
 )
 
 
+def _seen(number: str, clock: str) -> str:
+    """The watermark that each of four turns finds, ten minutes behind the turns before it."""
+    return f"""
+turns AS (SELECT {number} % 4 AS turn, max({clock}) AS latest FROM mbo GROUP BY ALL),
+seen AS (
+  SELECT later.turn, max(earlier.latest) // 1000000 * 1000000 - 600000000000 AS watermark
+  FROM turns later JOIN turns earlier ON earlier.turn < later.turn
+  GROUP BY ALL
+)"""
+
+
+_MESSAGE = ", ".join(f"{c} := {c}" for c in ENVELOPE.replace(" ", "").split(","))
+
+
 def _with(*parts: str) -> str:
     return "WITH " + ",".join(parts) + "\n"
 
@@ -356,17 +370,44 @@ UNION ALL SELECT 'dead', source_offset, error_message FROM ({DEAD})""",
         "book_stream": streamed,
         "book_stream_unordered": streamed,
         # Late: in a bucket that ended ten minutes before the latest event of an earlier turn.
-        "late_rows": _with(STEADY, """
-turns AS (SELECT order_id % 4 AS turn, max(event_time) AS latest FROM mbo GROUP BY ALL),
-seen AS (
-  SELECT later.turn, max(earlier.latest) // 1000000 * 1000000 - 600000000000 AS watermark
-  FROM turns later JOIN turns earlier ON earlier.turn < later.turn
-  GROUP BY ALL
-)""") + """
+        "late_rows": _with(STEADY, _seen("order_id", "event_time")) + """
 SELECT contract_id, underlier, instrument_type, event_time, sequence, order_id, action, side,
   price, size
 FROM mbo JOIN seen ON seen.turn = mbo.order_id % 4
 WHERE event_time < watermark // 5000000000 * 5000000000""",
+        # The watermark is ten minutes behind the last event; whole buckets before it are applied.
+        "book_state_snapshot": levels + """
+SELECT contract_id, side_sign, price, level_size FROM (
+  SELECT contract_id, side_sign, price, arg_max(level_size, sequence) AS level_size
+  FROM levels WHERE event_time < (SELECT (max(event_time) // 1000000 * 1000000 - 600000000000)
+    // 5000000000 * 5000000000 FROM norm)
+  GROUP BY ALL) WHERE level_size > 0""",
+        "dedup_late": _with(STEADY, _seen("order_id", "ingest_time")) + f"""
+, broker AS (
+  SELECT order_id AS "offset", CAST(order_id % 4 AS INTEGER) AS partition, ingest_time,
+    make_timestamp(ingest_time // 1000) AS timestamp, coalesce(ingest_time // 1000 <= watermark // 1000, false) AS late,
+    CAST(CASE WHEN order_id % 19 = 0 THEN octet_length(CAST(raw_record AS BLOB)) ELSE
+      strlen(CAST(to_json(struct_pack({_MESSAGE})) AS VARCHAR)) END AS INTEGER) AS value_bytes
+  FROM mbo LEFT JOIN seen ON seen.turn = order_id % 4
+  LEFT JOIN (SELECT raw_record, CAST(source_offset AS BIGINT) AS o FROM ({DEAD})) d ON d.o = order_id
+)
+SELECT partition, "offset", value_bytes, timestamp, late FROM broker
+UNION ALL SELECT partition, "offset", value_bytes, timestamp, late FROM broker WHERE late AND "offset" % 10 = 0""",
+        "bar_late": _with(STEADY, NORM, _seen("order_id", "event_time"), """
+marked AS (
+  SELECT norm.*, event_time - event_time % 5000000000 AS bucket_ns,
+    coalesce(event_time // 5000000000 * 5000000000 + 5000000000 <= watermark, false) AS late
+  FROM norm LEFT JOIN seen ON seen.turn = order_id % 4
+)""") + """
+SELECT contract_id, bucket_ns, count(*) AS event_count, CAST(sum(size) AS BIGINT) AS size_total,
+  sum(price * size) AS notional, arg_max(price, event_time) AS price_last,
+  max(CASE WHEN side_sign = 1 THEN price END) AS best_bid, min(CASE WHEN side_sign = -1 THEN price END) AS best_ask,
+  CAST(NULL AS BIGINT) AS order_id, CAST(NULL AS VARCHAR) AS action, CAST(NULL AS BIGINT) AS late_size
+FROM marked WHERE NOT late GROUP BY ALL
+UNION ALL
+SELECT contract_id, event_time, 1, size, price * size, price, CASE WHEN side_sign = 1 THEN price END,
+  CASE WHEN side_sign = -1 THEN price END, order_id, action, size
+FROM marked WHERE late""",
         "state_expiry": expiry
         + "SELECT contract_id, bucket_ns, event_count, best_bid, best_ask FROM top",
         "gold_stream": vec + f"""

@@ -34,9 +34,12 @@ from tickloom.sources import (
 )
 from tickloom.sources.records import payload_json
 from tickloom.streaming.ingest import dedup_decoded
-from tickloom.streaming.keyed import book_stream, gold_stream, late_rows, stream_primitives
+from tickloom.streaming.late import LATE_ROW, bars_with_late, dedup_with_late
+from tickloom.streaming.book import book_stream, late_rows, stream_primitives
+from tickloom.streaming.gold import gold_stream
 from tickloom.streaming.replay import FAR_FUTURE_KEY, stage_slices
 from tickloom.streaming.settings import stateful_session
+from tickloom.streaming.state import book_levels as stored_levels
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -497,6 +500,50 @@ def late_rows_q(spark, sf_dir):
     return _collect_stream(spark, late_rows(book_stream(b.normalize(source))))
 
 
+@_query
+def book_state_snapshot(spark, sf_dir):
+    """The live levels that the book stream holds in its state store after its last micro-batch."""
+    out, mark = shared_dir(spark, "out"), shared_dir(spark, "checkpoint")
+    finish(append_stream(book_stream(b.normalize(_bronze_stream(spark, sf_dir))), out, mark), TIMEOUT_S)
+    return stored_levels(spark, mark)
+
+
+def _in_turns(spark: SparkSession, rows: DataFrame, number: str, **options) -> DataFrame:
+    """Four turns over the whole time span, a micro-batch each."""
+    turns = rows.withColumn("turn", F.col(number) % 4)
+    return table_stream(stateful_session(spark), _staged(turns, "turn", **options), max_files=REPLAY_FILES)
+
+
+@_query
+def dedup_late(spark, sf_dir):
+    """Every tenth message twice: kept once where it is on time, each copy where it is late."""
+    broker = fx.broker_rows(spark, sf_dir)
+    twice = broker.unionByName(broker.where(F.col("offset") % 10 == 0))
+    source = _in_turns(spark, twice, "offset")
+    out, mark = shared_dir(spark, "out"), shared_dir(spark, "checkpoint")
+    kept = dedup_with_late(source, ["partition", "offset"], clock="timestamp")
+    finish(append_stream(kept, out, mark), TIMEOUT_S)
+    return spark.read.parquet(out).select(
+        "partition", "offset", F.length("value").alias("value_bytes"), _utc_wall("timestamp").alias("timestamp"),
+        F.col(LATE_ROW).isNotNull().alias("late"),
+    )
+
+
+@_query
+def bar_late(spark, sf_dir):
+    """Bars of the events on time, and each late event as it came."""
+    rows = _in_turns(spark, fx.mbo(spark, sf_dir), "order_id", closing=True)
+    found = _collect_stream(spark, bars_with_late(b.normalize(rows)))
+    late = F.col("late.order_id").isNotNull()
+    measures = ["event_count", "size_total", "notional", "price_last", "best_bid", "best_ask"]
+    # A late event's window is that of its stand-in clock; its own time is in the event.
+    bucket = F.when(late, F.col("late.event_time")).otherwise(F.col("bucket_ns"))
+    return found.select(
+        "contract_id", bucket.alias("bucket_ns"), *measures,
+        "late.order_id", "late.action", F.col("late.size").alias("late_size"),
+    )
+
+
 @_query
 def state_expiry(spark, sf_dir):
     """Every contract pauses for an hour half-way; its book starts again empty."""

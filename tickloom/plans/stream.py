@@ -19,7 +19,8 @@ from tickloom.schemas import SCORE_MESSAGE, VECTOR_MESSAGE
 from tickloom.sources.broker import decode_envelope
 from tickloom.sources.sinks import Sink, append_batches, append_stream, fan_out, write_messages
 from tickloom.streaming.ingest import DELAY, dedup_decoded
-from tickloom.streaming.keyed import book_stream, gold_stream, late_rows, stream_primitives
+from tickloom.streaming.book import book_stream, late_rows, stream_primitives
+from tickloom.streaming.gold import gold_stream
 
 
 def _cut(cut: Callable[[DataFrame], DataFrame], sink: Sink) -> Sink:

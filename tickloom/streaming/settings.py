@@ -11,14 +11,19 @@ STATE_STORE = {
 }
 
 
-def stateful_session(spark: SparkSession, partitions: int | None = None) -> SparkSession:
+def stateful_session(
+    spark: SparkSession, partitions: int | None = None, *, idle_batches: bool = True
+) -> SparkSession:
     """A session of the same application with a RocksDB state store.
 
     ``partitions`` is fixed for a query at its first start; unset, the session's own value holds.
+    Without ``idle_batches`` there is no micro-batch without input: state with a time to live needs
+    that to let a run-once query end, event-time operators need them to emit what is complete.
     """
     session = spark.newSession()
     for key, value in STATE_STORE.items():
         session.conf.set(key, value)
     partitions = partitions or spark.conf.get("spark.sql.shuffle.partitions")
     session.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    session.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", str(idle_batches).lower())
     return session
