@@ -1,5 +1,6 @@
 import hashlib
 
+import numpy as np
 import pytest
 from rows import EDGE, by_id, edge, empty
 from tokenizers import Tokenizer
@@ -40,13 +41,32 @@ def test_query_equals_the_library(spark, sf_dir, library):
 
 
 def test_odd_texts_and_round_trip(library):
-    encoder = bpe.Encoder(VOCABULARY)
-    found = [ids.tolist() for ids in encoder.encode(ODD)]
+    encoder = bpe.Encoder(bpe.Vocabulary(VOCABULARY))
+    pieces = encoder.encode(ODD)
+    found = [np.frombuffer(b"".join(map(encoder.known.get, words)), "<i4").tolist() for words in pieces]
     assert found == [library.encode(t, add_special_tokens=False).ids for t in ODD]
     table = encoder.vocabulary.bytes
     assert [b"".join(table[i] for i in ids).decode() for ids in found] == ODD
 
 
+def test_encode_and_decode_are_operators_of_their_own(spark, library):
+    rows = bpe.decode(bpe.encode(edge(spark), VOCABULARY), VOCABULARY).collect()
+    got = sorted(((r["doc_id"], r["ids"], r["text"]) for r in rows), key=str)
+    ids = lambda t: library.encode(t or "", add_special_tokens=False).ids
+    assert got == sorted(((r[0], ids(r[1]), r[1] or "") for r in EDGE), key=str)
+
+
+def test_starting_anew_changes_nothing(monkeypatch, library):
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 1_000)
+    encoder = bpe.Encoder(bpe.Vocabulary(VOCABULARY), bpe._decimals)
+    for text in ODD * 2:
+        (words,) = encoder.encode([text])
+        ids = library.encode(text, add_special_tokens=False).ids
+        assert b",".join(map(encoder.known.get, words)).decode() == ",".join(map(str, ids))
+        assert "".join(words) == text and not encoder.odd
+    assert encoder.size < 10_000
+
+
 def test_shared_prefixes_do_not_change_results():
     vocabulary = bpe.Vocabulary(VOCABULARY)
     words = {b" inter", b" international", b" internationally", b" internet", b" in", b"", b" into"}

@@ -9,7 +9,9 @@ Nulls count as empty text. Empty texts give no ids. Repeated rows give equal row
 are left out. The vocabulary file is named by its path and read in the tasks.
 """
 
+import hashlib
 import json
+from collections.abc import Callable
 from functools import partial
 
 import numpy as np
@@ -17,14 +19,15 @@ import pyarrow as pa
 import pyarrow.compute
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from tickloom.llm.text import map_texts, texts, two_columns
+from tickloom.llm.text import map_texts, once_a_worker, texts, two_columns
 
 # Fixed value: the public pattern that parts text before the merges.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-# Distinct words kept with their encodings in a task before starting anew.
-CACHE_WORDS = 1 << 19
+# Bytes, about, of distinct words with their encodings and of pairs of tokens that a task keeps
+# before starting anew; what one of either takes beside its characters.
+CACHE_BYTES = 96 << 20
+_WORD_BYTES, _PAIR_BYTES = 190, 110
 _NEVER = 1 << 60
 
 
@@ -93,8 +96,6 @@ class Vocabulary:
         key = a << 32 | b
         found = self._follows.get(key)
         if found is None:
-            if len(self._follows) > 4 * CACHE_WORDS:
-                self._follows.clear()
             found = self._follows[key] = self._unbroken(a, b, _NEVER)
         return found
 
@@ -137,16 +138,38 @@ class Vocabulary:
         return out
 
 
+def vocabulary(path: str) -> Vocabulary:
+    """Parsed once per worker process; what it has found out about pairs goes with each task."""
+    return once_a_worker(f"vocabulary {path}", lambda: Vocabulary(path))
+
+
+def _packed(ids: list[int]) -> bytes:
+    return np.array(ids, "<i4").tobytes()
+
+
+def _decimals(ids: list[int]) -> bytes:
+    return ",".join(map(str, ids)).encode()
+
+
 class Encoder:
-    """Encodes texts; keeps the encodings of the words seen so far."""
+    """Encodes texts; keeps the encodings of the words seen so far, in the ``form`` that is asked.
 
-    def __init__(self, path: str):
-        self.vocabulary = Vocabulary(path)
+    ``odd`` has what a word's ids decode to, where that is not the word.
+    """
+
+    def __init__(self, vocabulary: Vocabulary, form: Callable[[list[int]], bytes] = _packed):
+        self.vocabulary, self.form = vocabulary, form
         self.split = regex.compile(PATTERN).findall
-        special = self.vocabulary.special
+        special = vocabulary.special
         longest_first = sorted(special, key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(map(regex.escape, longest_first)) + ")") if special else None
+        self.forget()
+
+    def forget(self) -> None:
         self.known: dict[str, bytes] = {}
+        self.odd: dict[str, str] = {}
+        self.size = 0
+        self.vocabulary._follows.clear()
 
     def _pieces(self, text: str) -> list[str]:
         if self.special is None or not self.special.search(text):
@@ -156,33 +179,54 @@ class Encoder:
             out += [part] if part in self.vocabulary.special else self.split(part)
         return out
 
-    def encode(self, batch: list[str]) -> list[np.ndarray]:
-        """Ids of each text; a word's ids are kept as packed numbers, so a text is one join."""
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
+    def encode(self, batch: list[str]) -> list[list[str]]:
+        """Each text's words, all of them known by then."""
+        if self.size + _PAIR_BYTES * len(self.vocabulary._follows) > CACHE_BYTES:
+            self.forget()
         pieces = [self._pieces(t) for t in batch]
-        special = self.vocabulary.special
-        new = {w for w in set().union(*pieces) if w not in self.known and w not in special}
+        special, known, table = self.vocabulary.special, self.known, self.vocabulary.bytes
+        new = {w for w in set().union(*pieces) if w not in known and w not in special}
         coded = self.vocabulary.encode_words({w.encode() for w in new})
-        pack = lambda ids: np.array(ids, "<i4").tobytes()
-        self.known.update((w, pack(coded[w.encode()])) for w in new)
-        self.known.update((w, pack([i])) for w, i in special.items())
-        of = self.known.__getitem__
-        return [np.frombuffer(b"".join(map(of, words)), "<i4") for words in pieces]
+        for word in new:
+            raw = word.encode()
+            ids = coded[raw]
+            known[word] = self.form(ids)
+            decoded = b"".join(map(table.__getitem__, ids))
+            if decoded != raw:
+                self.odd[word] = decoded.decode("utf-8", "replace")
+            self.size += 6 * len(word) + _WORD_BYTES
+        known.update((w, self.form([i])) for w, i in special.items())
+        return pieces
 
 
 def _encode(batch: pa.RecordBatch, encoder: Encoder) -> pa.RecordBatch:
-    found = encoder.encode([t.decode() for t in texts(batch, "text")])
+    pieces = encoder.encode([t.decode() for t in texts(batch, "text")])
+    of = encoder.known.__getitem__
+    found = [np.frombuffer(b"".join(map(of, words)), "<i4") for words in pieces]
     ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
     ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found) if found else [], pa.int32()))
     return pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], ["doc_id", "ids"])
 
 
+def _digest(batch: pa.RecordBatch, encoder: Encoder) -> pa.RecordBatch:
+    sizes, ids, decoded = [], [], []
+    pieces = encoder.encode([t.decode() for t in texts(batch, "text")])
+    of, odd = encoder.known.__getitem__, encoder.odd
+    for words in pieces:
+        decimals = b",".join(map(of, words))
+        sizes.append(decimals.count(b",") + 1 if words else 0)
+        ids.append(hashlib.sha256(decimals).hexdigest())
+        back = [odd.get(w, w) for w in words] if odd else words
+        decoded.append(hashlib.sha256("".join(back).encode()).hexdigest())
+    columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())]
+    return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+
 def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id`` and ``ids`` of every whole text, as the file's own library would give."""
     rows = two_columns(df, id_col, text_col)
     schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>"
-    return map_texts(rows, "text", schema, lambda: partial(_encode, encoder=Encoder(path)))
+    return map_texts(rows, "text", schema, lambda: partial(_encode, encoder=Encoder(vocabulary(path))))
 
 
 def decode(df: DataFrame, path: str) -> DataFrame:
@@ -190,7 +234,7 @@ def decode(df: DataFrame, path: str) -> DataFrame:
     schema = f"doc_id {df.schema['doc_id'].dataType.simpleString()}, ids array<int>, text string"
 
     def run(batches):
-        table = Vocabulary(path).bytes
+        table = vocabulary(path).bytes
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
@@ -208,13 +252,12 @@ def decode(df: DataFrame, path: str) -> DataFrame:
     return df.select("doc_id", "ids").mapInArrow(run, schema)
 
 
-def digests(df: DataFrame, path: str, **columns: str) -> DataFrame:
-    """Token count and checksums of the ids and of the decoded text, per row of ``df``."""
-    rows = decode(encode(df, path, **columns), path)
-    joined = F.array_join(F.col("ids").cast("array<string>"), ",")
-    return rows.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(joined, 256).alias("ids_sha256"),
-        F.sha2("text", 256).alias("decoded_sha256"),
-    )
+def digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Token count and checksums of the ids and of the decoded text, per row of ``df``.
+
+    Encoded, decoded and digested in one step, so that no ids leave the task. A word's ids are
+    turned into decimals and decoded once; a text's are those of its words, joined.
+    """
+    rows = two_columns(df, id_col, text_col)
+    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    return map_texts(rows, "text", schema, lambda: partial(_digest, encoder=Encoder(vocabulary(path), _decimals)))

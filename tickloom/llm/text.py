@@ -1,5 +1,7 @@
 """Helpers that the text operators share: row mapping, words, folds and hold-out groups."""
 
+import sys
+import types
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -55,10 +57,25 @@ def map_texts(
         apply = start()
         for part in slices(batches, text_col):
             yield apply(part)
+        # What a task has held goes back before the worker's next one.
+        del apply
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 
 
+def once_a_worker(name: str, make: Callable[[], object]) -> object:
+    """What ``make`` gives, made once per worker process.
+
+    Code that travels with a plan has globals of its own in every task, so the value is kept by a
+    module that only lives in the process.
+    """
+    keeper = sys.modules.setdefault("_tickloom_kept", types.ModuleType("_tickloom_kept"))
+    if not hasattr(keeper, name):
+        setattr(keeper, name, make())
+    return getattr(keeper, name)
+
+
 def two_columns(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Only id and text, under fixed names, so that other columns cannot clash."""
     return df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
