@@ -1,6 +1,9 @@
 import hashlib
+import random
 import re
+import tracemalloc
 
+import numpy as np
 import pytest
 from rows import EDGE, PASSAGE, by_id, edge, empty
 
@@ -78,3 +81,43 @@ def test_clean_rows_stay_whole(spark):
 def test_empty_tables(spark):
     assert decontam.contamination(empty(spark), items(spark)).collect() == []
     assert {r["n_hit"] for r in decontam.contamination(edge(spark), items(spark, [])).collect()} == {0}
+
+
+def test_an_item_of_any_length_takes_memory_by_its_words():
+    """Distinct words, a copy of the whole in a document, and a part of it in another."""
+    text = " ".join(f"w{i}" for i in range(200_000))
+    tracemalloc.start()
+    index = decontam.Items([("long", text), ("same", text)], 10)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 400 * 200_000
+    docs = [decontam.words(t.encode()) for t in (text, "x " + " ".join(f"w{i}" for i in range(500, 540)) + " y", "w3 w4")]
+    covered, begins, longest = decontam.shard_matches(docs, index, 10)
+    assert [int(covered[b : b + len(d)].sum()) for b, d in zip(begins, docs)] == [200_000, 40, 0]
+    assert longest == [dict.fromkeys(("long", "same"), (200_000, 0)), dict.fromkeys(("long", "same"), (40, -1)), {}]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_shards_equal_a_plain_search(seed, monkeypatch):
+    """Few different words, so that matches overlap, repeat and go on from one another."""
+    monkeypatch.setattr(decontam, "_LOOKUPS", 7)
+    rng = random.Random(seed)
+    row = lambda n: [f"w{rng.randrange(3)}" for _ in range(n)]
+    tests = [(str(i), " ".join(row(rng.randrange(1, 40)))) for i in range(12)]
+    docs = [row(rng.randrange(0, 60)) for _ in range(20)]
+    raw = [[w.encode() for w in d] for d in docs]
+    covered, begins, longest = decontam.shard_matches(raw, decontam.Items(tests, 5), 5)
+    for d, begin, found in zip(docs, begins, longest):
+        want, hit = {}, set()
+        for name, text in tests:
+            w = text.split()
+            for p in range(max(1, len(w) - 5 + 1)):
+                for q in range(len(d)):
+                    n = 0
+                    while p + n < len(w) and q + n < len(d) and w[p + n] == d[q + n]:
+                        n += 1
+                    if n >= min(5, len(w)):
+                        want[name] = max(want.get(name, (0, 0)), (n, -q))
+                        hit |= set(range(q, q + min(5, len(w))))
+        assert found == want
+        assert np.flatnonzero(covered[begin : begin + len(d)]).tolist() == sorted(hit)

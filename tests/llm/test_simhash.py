@@ -83,11 +83,27 @@ def test_groups_dealt_again_lose_no_link(spark, group_rows):
     assert (label == roots(values)).all()
 
 
+def kept_of(rows):
+    """Places in the input of the rows that stay."""
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, rows[i][0] or 0, i))
+    found = plain_groups([(rank, rows[i][1]) for rank, i in enumerate(order)])
+    return sorted(order[rank] for rank, _, c in found if rank == c)
+
+
 def test_one_of_each_group_stays(spark):
     kept = simhash.keep_first(edge(spark))
     assert kept.columns == ["doc_id", "text", "ids", "score"]
-    want = [i for i, _, c in plain_groups([r[:2] for r in EDGE]) if i is None or i == c]
-    assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted(want, key=str)
+    want = [EDGE[i] for i in kept_of(EDGE)]
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted(want, key=str)
+
+
+def test_only_the_copy_goes_where_an_id_occurs_twice(spark):
+    x, y = "one two three four five six seven", "completely other words stand here for once"
+    rows = [(1, x, 0), (5, x, 1), (5, y, 2), (5, y, 3), (None, x, 4), (None, "last words of nobody in here", 5)]
+    kept = simhash.keep_first(spark.createDataFrame(rows, "doc_id long, text string, row int").coalesce(1))
+    assert kept.columns == ["doc_id", "text", "row"]
+    assert sorted(r["row"] for r in kept.collect()) == [0, 2, 5]
+    assert kept_of(rows) == [0, 2, 5]
 
 
 def test_empty_table(spark):

@@ -24,6 +24,8 @@ from tickloom.llm.text import fresh, map_texts, texts, two_columns
 
 WINDOW = 10
 BLOCK_BYTES = 32 << 20
+# Item suffixes that are looked up at once.
+_LOOKUPS = 1 << 16
 # Fixed value: letters, digits and all bytes of other scripts are words, A-Z in lower case.
 _WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256)
@@ -45,25 +47,33 @@ def words(text: bytes) -> list[bytes]:
 
 
 class Items:
-    """The suffixes of a block of test items that start a window, as rows of word numbers."""
+    """The suffixes of a block of test items that start a window, as places in one row of numbers.
+
+    Items of equal words are one with several names. A suffix is where it starts (``start``) and
+    how many words it has (``size``), so memory grows with the words and not with the suffixes'
+    lengths; a 0 parts items.
+    """
 
     def __init__(self, items: list[tuple[str, str]], window: int):
         self.vocabulary: dict[bytes, int] = {}
-        found = {}
+        found: dict[bytes, set[str]] = {}
         for item_id, text in items:
             number = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words(text.encode())]
-            for at in range(max(1, len(number) - window + 1) if number else 0):
-                found.setdefault(tuple(number[at:]), set()).add(item_id)
-        self.suffixes = sorted(found)
-        self.names = [sorted(found[s]) for s in self.suffixes]
-        sizes = [len(s) for s in self.suffixes]
-        self.need = np.array([min(window, n) for n in sizes], np.int64)
-        self.size = np.array(sizes, np.int64)
-        self.start = np.zeros(len(sizes) + 1, np.int64)
-        np.cumsum(sizes, out=self.start[1:])
-        flat = [n for s in self.suffixes for n in s]
-        self.flat = np.array([*flat, *[0] * window], np.int64)
-        self.shortest = int(self.need.min()) if sizes else 0
+            if number:
+                found.setdefault(np.array(number, np.int64).tobytes(), set()).add(item_id)
+        self.names = [sorted(ids) for ids in found.values()]
+        rows = [np.frombuffer(raw, np.int64) for raw in found]
+        sizes = np.array([len(r) for r in rows], np.int64)
+        ahead = np.zeros(1, np.int64)  # ahead of the first item, too
+        self.flat = np.concatenate([ahead, *[x for r in rows for x in (r, ahead)], np.zeros(window, np.int64)])
+        begin = 1 + np.concatenate([ahead, np.cumsum(sizes + 1)])[:-1]
+        windows = np.maximum(1, sizes - window + 1)
+        self.owner = np.repeat(np.arange(len(rows)), windows)
+        within = np.arange(len(self.owner)) - np.repeat(np.cumsum(windows) - windows, windows)
+        self.start = begin[self.owner] + within
+        self.size = sizes[self.owner] - within
+        self.need = np.minimum(self.size, window)
+        self.shortest = int(self.need.min()) if len(rows) else 0
 
 
 def suffix_array(numbers: np.ndarray, places: np.ndarray, depth: int) -> np.ndarray:
@@ -79,11 +89,13 @@ def suffix_array(numbers: np.ndarray, places: np.ndarray, depth: int) -> np.ndar
     return places[np.argsort(rank[places], kind="stable")]
 
 
-def _bounds(numbers: np.ndarray, order: np.ndarray, items: Items, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each item suffix the range of ``order`` whose suffixes start with its window."""
-    column = np.arange(width)
-    asked = column < items.need[:, None]
-    want = np.where(asked, items.flat[items.start[:-1, None] + np.minimum(column, items.need[:, None] - 1)], 0)
+def _bounds(
+    numbers: np.ndarray, order: np.ndarray, items: Items, some: slice, width: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """For some of the item suffixes the range of ``order`` whose suffixes start with its window."""
+    column, need = np.arange(width), items.need[some, None]
+    asked = column < need
+    want = np.where(asked, items.flat[items.start[some, None] + np.minimum(column, need - 1)], 0)
 
     def search(past_equal: bool) -> np.ndarray:
         low, high = np.zeros(len(want), np.int64), np.full(len(want), len(order), np.int64)
@@ -100,6 +112,18 @@ def _bounds(numbers: np.ndarray, order: np.ndarray, items: Items, width: int) ->
     return search(False), search(True)
 
 
+def _extended(numbers: np.ndarray, where: np.ndarray, items: Items, s: int) -> np.ndarray:
+    """Words from each place on that an item's suffix has as well, its window or more."""
+    size = np.full(len(where), int(items.need[s]))
+    start, most, growing = int(items.start[s]), int(items.size[s]), np.arange(len(where))
+    while len(growing):
+        growing = growing[size[growing] < most]
+        there = numbers[np.minimum(where[growing] + size[growing], len(numbers) - 1)]
+        growing = growing[there == items.flat[start + size[growing]]]
+        size[growing] += 1
+    return size
+
+
 def shard_matches(docs: list[list[bytes]], items: Items, window: int):
     """Hit words per document, and per document and item the longest match (place, length)."""
     sizes = np.array([len(d) + 1 for d in docs], np.int64)  # a 0 parts documents
@@ -117,23 +141,20 @@ def shard_matches(docs: list[list[bytes]], items: Items, window: int):
     if len(begin) and len(items.size):
         places = np.repeat(begin - np.concatenate([[0], np.cumsum(length)[:-1]]), length) + np.arange(length.sum())
         order = suffix_array(numbers, places, window)
-        low, high = _bounds(numbers, order, items, window)
-        for s in np.flatnonzero(high > low).tolist():
-            where, n = order[low[s] : high[s]], int(items.need[s])
-            np.add.at(hits, where, 1)
-            np.add.at(hits, where + n, -1)
-            size, suffix = np.full(len(where), n), items.flat[items.start[s] : items.start[s + 1]]
-            growing = np.arange(len(where))
-            while len(growing):
-                more = size[growing] < len(suffix)
-                growing = growing[more]
-                there = numbers[np.minimum(where[growing] + size[growing], len(numbers) - 1)]
-                growing = growing[there == suffix[size[growing]]]
-                size[growing] += 1
-            owner = np.searchsorted(ends, where, "right")
-            for d, place, n in zip(owner.tolist(), (where - (ends - sizes)[owner]).tolist(), size.tolist()):
-                for name in items.names[s]:
-                    longest[d][name] = max(longest[d].get(name, (0, 0)), (n, -place))
+        for first in range(0, len(items.size), _LOOKUPS):
+            low, high = _bounds(numbers, order, items, slice(first, first + _LOOKUPS), window)
+            for k in np.flatnonzero(high > low).tolist():
+                s, where = first + k, order[low[k] : high[k]]
+                np.add.at(hits, where, 1)
+                np.add.at(hits, where + int(items.need[s]), -1)
+                # A match that goes on from the word before is part of a longer one.
+                ahead = items.flat[items.start[s] - 1]
+                where = where[(numbers[where - 1] != ahead) | (ahead == 0)]
+                owner = np.searchsorted(ends, where, "right")
+                size = _extended(numbers, where, items, s)
+                for d, place, n in zip(owner.tolist(), (where - (ends - sizes)[owner]).tolist(), size.tolist()):
+                    for name in items.names[items.owner[s]]:
+                        longest[d][name] = max(longest[d].get(name, (0, 0)), (n, -place))
     covered = np.cumsum(hits)[: int(ends[-1]) if docs else 0] > 0
     return covered, ends - sizes, longest
 

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.components import connected_components
-from tickloom.llm.text import LOWER, map_texts, texts, two_columns
+from tickloom.llm.text import LOWER, fresh, map_texts, texts, two_columns
 from tickloom.sources.stage import materialize
 
 BITS = 4
@@ -216,9 +216,16 @@ def near_duplicates(
     )
 
 
-def keep_first(docs: DataFrame, **columns) -> DataFrame:
-    """Rows of ``docs`` whose id is the smallest of its near-duplicate group, or null."""
-    id_col = columns.get("id_col", "doc_id")
-    found = near_duplicates(docs, **columns)
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone.distinct(), docs[id_col] == F.col("_gone"), "left_anti")
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row of each near-duplicate group, that with the smallest id; all columns as they were.
+
+    Decided row by row: of rows with one id, only those go whose own text has a near copy in a row
+    ahead of them. Among equal ids the first in the input stays; rows without an id come last.
+    """
+    row = fresh(docs, "row")
+    # Written, so that numbers are the same however often a task is run.
+    numbered = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    place = F.struct(F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"), F.col(row).alias("row"))
+    found = near_duplicates(numbered.select(place.alias("doc_id"), F.col(text_col).alias("text")), **options)
+    gone = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id.row").alias(row))
+    return numbered.join(gone, row, "left_anti").select(*docs.columns)
