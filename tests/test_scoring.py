@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -73,3 +75,52 @@ def test_short_answer_counts_as_failure():
 def test_missing_probabilities_are_zero():
     found = run(lambda batch: ([1] * len(batch), [[], [0.4]]), 2)
     assert found[["prob_0", "prob_1"]].to_numpy().tolist() == [[0.0, 0.0], [0.4, 0.0]]
+
+
+class Slow:
+    """Sleeps on mini-batches that hold a marked vector; counts calls that are under way."""
+
+    def __init__(self, seconds, log):
+        self.seconds, self.log = seconds, log
+
+    def __call__(self, batch):
+        self.log.append(1)
+        try:
+            if any(v[0] == 1.0 for v in batch):
+                time.sleep(self.seconds)
+            return [int(v[1]) for v in batch], [[0.5, 0.5]] * len(batch)
+        finally:
+            self.log.append(-1)
+
+
+def numbered(n, marked=()):
+    return pd.Series([np.array([float(i in marked), float(i), 0, 0, 0]) for i in range(n)])
+
+
+@pytest.mark.parametrize("in_flight", [1, 3])
+def test_overrunning_calls_mark_only_their_mini_batch(in_flight):
+    made = []
+
+    def make():
+        made.append(Slow(1.5, []))
+        return made[-1]
+
+    udf = scoring.scoring_udf(make, batch=10, attempts=2, limit_s=0.3, in_flight=in_flight)
+    found = pd.concat(udf.func(iter([numbered(50, marked=(25,))])), ignore_index=True)
+    late = list(range(20, 30))
+    assert found.index[found["prediction"] == -1].tolist() == late
+    assert set(found.loc[late, "error_message"]) == {"Timeout on attempt 2/2: no answer within 0.3 s"}
+    others = [i for i in range(50) if i not in late]
+    assert found.loc[others, "prediction"].tolist() == others  # order is kept
+    # A scorer that may still be at work is not called again.
+    assert len(made) >= 3
+
+
+def test_mini_batches_are_under_way_together_but_no_more_than_allowed():
+    log = []
+    udf = scoring.scoring_udf(lambda: Slow(0.2, log), batch=1, limit_s=None, in_flight=4)
+    start = time.perf_counter()
+    found = pd.concat(udf.func(iter([numbered(12, marked=range(12))])), ignore_index=True)
+    assert time.perf_counter() - start < 12 * 0.2 * 0.6
+    assert found["prediction"].tolist() == list(range(12))
+    assert max(np.cumsum(log)) <= 4

@@ -4,6 +4,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tickloom.functions.clock import BAR_NS, EXCHANGE_TZ
 from tickloom.operators import training
@@ -141,9 +142,8 @@ def train_and_score(
     def at(table: str) -> str | None:
         return location and f"{location}/{table}"
 
-    intake = append_stream(
-        valid_rows(decode_envelope(broker)), events_table, checkpoint, location=at(events_table)
-    )
+    stamped = valid_rows(decode_envelope(broker)).withColumn("bronze_ingest_time", F.current_timestamp())
+    intake = append_stream(stamped, events_table, checkpoint, location=at(events_table))
     finish(intake, timeout_s)
     used = ["contract_id", "event_time", "sequence", *inputs]
     rows = training.training_rows(spark.table(events_table).select(*dict.fromkeys(used)))

@@ -158,10 +158,6 @@ FROM_RECORD = (
     " 'FUT' AS instrument_type, 'SYN' AS underlier, symbol AS contract_id, action, order_id, side,"
     " price, size, sequence, packed_payload AS payload, '2024-01-01' AS session_date"
 )
-SCORED = (
-    "contract_id, event_time, price, CAST(size AS DOUBLE) AS size, true AS sums_to_one,"
-    " true AS likelier_class"
-)
 ORDERBOOK = (
     "session_date, underlier, instrument_type, contract_id, bucket_ns, bucket_ts, best_bid,"
     " best_ask, mid, spread, buy_size, sell_size"
@@ -189,6 +185,51 @@ _VEC = (
 _P = "1.0 / (1.0 + exp(-z))"
 
 
+def _logistic(kept: str = "", rounds: int = 8) -> list[str]:
+    """Newton's method on price and size, a round per common table expression.
+
+    A round's three unknowns come from the ratios of determinants.
+    """
+    det = "{0}*({4}*{8}-{5}*{7}) - {1}*({3}*{8}-{5}*{6}) + {2}*({3}*{7}-{4}*{6})"
+    matrix = ["h00", "h01", "h02", "h01", "h11", "h12", "h02", "h12", "h22"]
+    solved = []
+    for k in range(3):
+        own = [f"g{i // 3}" if i % 3 == k else m for i, m in enumerate(matrix)]
+        solved.append(f"b{k} + ({det.format(*own)}) / ({det.format(*matrix)}) AS b{k}")
+    terms = {"g0": "y - p", "g1": "(y - p) * u1", "g2": "(y - p) * u2", "h00": "c", "h01": "c * u1", "h02": "c * u2",
+             "h11": "c * u1 * u1", "h12": "c * u1 * u2", "h22": "c * u2 * u2"}
+    sums = ", ".join(f"sum({t}) AS {n}" for n, t in terms.items())
+    steps = [
+        f"""
+step{i + 1} AS (
+  SELECT {", ".join(solved)} FROM step{i}, (
+    SELECT {sums} FROM (SELECT *, p * (1 - p) AS c FROM (
+      SELECT u.*, 1 / (1 + exp(-(b0 + b1 * u1 + b2 * u2))) AS p FROM u, step{i}) a) b) d
+)"""
+        for i in range(rounds)
+    ]
+    return [
+        f"""
+x AS (
+  SELECT contract_id, event_time, price, CAST(size AS DOUBLE) AS size, CAST(row_id % 2 AS DOUBLE) AS y
+  FROM (SELECT *, row_number() OVER (ORDER BY event_time, sequence) AS row_id FROM mbo {kept})
+),
+shape AS (SELECT avg(price) AS m1, stddev_pop(price) AS s1, avg(size) AS m2, stddev_pop(size) AS s2 FROM x),
+u AS (SELECT x.*, (price - m1) / s1 AS u1, (size - m2) / s2 AS u2 FROM x, shape),
+step0 AS (SELECT 0.0::DOUBLE AS b0, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2)""",
+        *steps,
+        f"""
+fitted AS (SELECT b1 / s1 AS w1, b2 / s2 AS w2, b0 - b1 / s1 * m1 - b2 / s2 * m2 AS w0 FROM step{rounds}, shape),
+scored AS (SELECT x.*, 1 / (1 + exp(-(w0 + w1 * price + w2 * size))) AS p FROM x, fitted)""",
+    ]
+
+
+_ACCURACY = "count(*) AS record_count, round(avg(CASE WHEN (p > 0.5) = (y = 1) THEN 1.0 ELSE 0.0 END), 9) AS accuracy"
+_MODEL_SCORES = """
+SELECT contract_id, event_time, price, size, CAST(CASE WHEN p > 0.5 THEN 1 ELSE 0 END AS INTEGER) AS prediction,
+  round(1 - p, 6) AS prob_0, round(p, 6) AS prob_1 FROM scored"""
+
+
 def _scores(z_source: str, prediction: str = None, error: str = None) -> str:
     """Logistic scores with the fixed weights of the registered scorer."""
     p1, p0 = f"round({_P}, 9)", f"round(1.0 - {_P}, 9)"
@@ -243,6 +284,7 @@ def oracle_sql() -> dict[str, str]:
     bar = _with(STEADY, NORM, BAR_5S)
     vec = _with(STEADY, NORM, BAR_5S, FEATURES)
     records = _with(STEADY, RECORDS)
+    model = _with(STEADY, *_logistic())
     one = {k: v.format(**ONE_SEGMENT) for k, v in {"levels": LEVELS, "top": TOP}.items()}
     levels = _with(STEADY, NORM, one["levels"])
     top = _with(STEADY, NORM, one["levels"], one["top"])
@@ -420,17 +462,13 @@ SELECT contract_id, bucket_ns AS vector_time, 'ES_MODEL' AS model_id, ofi_ratio,
         "score_stream": vec.rstrip() + _scores(_STREAM_X),
         "msg_score_json": "SELECT * EXCLUDE (session_date) FROM ("
         + vec.rstrip() + _scores(_STREAM_X) + ")",
-        # What training gives is fixed in count and form, not in value.
-        "train_model": steady + """
-SELECT count(*) AS record_count, CAST(2 AS INTEGER) AS feature_count, true AS finite_weights
-FROM mbo""",
-        "model_accuracy": steady
-        + "SELECT count(*) AS record_count, true AS accuracy_is_share FROM mbo",
-        "model_registry": steady + """
-SELECT count(*) AS record_count, true AS accuracy_is_share, true AS names_model, true AS has_time
-FROM mbo""",
-        "score_table": steady + f"SELECT {SCORED} FROM mbo",
-        "pipe_train_score": steady + f"SELECT {SCORED} FROM mbo WHERE order_id % 19 <> 0",
+        "train_model": model + """
+SELECT (SELECT count(*) FROM x) AS record_count, round(w1, 6) AS weight_price, round(w2, 6) AS weight_size,
+  round(w0, 6) AS intercept FROM fitted""",
+        "model_accuracy": model + f"SELECT {_ACCURACY} FROM scored",
+        "model_registry": model + f"SELECT {_ACCURACY}, true AS names_model, true AS has_time FROM scored",
+        "score_table": model + _MODEL_SCORES,
+        "pipe_train_score": _with(STEADY, *_logistic("WHERE order_id % 19 <> 0")) + _MODEL_SCORES,
         "pipe_raw_to_bronze": records + f"""
 SELECT {FROM_RECORD} FROM packed {kept}
   AND make_timestamp(ts_event // 1000) >= timezone('UTC',

@@ -4,7 +4,6 @@ Timestamps come out as UTC wall clock (``TIMESTAMP_NTZ``) and vectors as plain c
 result reads the same in any engine and session zone.
 """
 
-import math
 import uuid
 from collections.abc import Callable
 
@@ -665,24 +664,18 @@ def _trained(spark: SparkSession, sf_dir: str):
 
 @_query
 def train_model(spark, sf_dir):
-    """Rows trained on, and whether the fitted model has a finite weight for each input."""
+    """Rows trained on, and the fitted weights."""
     model, rows, _ = _trained(spark, sf_dir)
-    fitted = model.stages[-1]
-    finite = all(math.isfinite(w) for w in (*fitted.coefficients, fitted.intercept))
-    return rows.agg(F.count(F.lit(1)).alias("record_count")).withColumns(
-        {"feature_count": F.lit(len(fitted.coefficients)), "finite_weights": F.lit(finite)}
-    )
-
-
-def _is_share(column: str) -> F.Column:
-    return F.col(column).between(0, 1)
+    fitted = {f"weight_{c}": F.lit(round(w, 6)) for c, w in zip(model.inputs, model.weights)}
+    counted = rows.agg(F.count(F.lit(1)).alias("record_count"))
+    return counted.withColumns({**fitted, "intercept": F.lit(round(model.intercept, 6))})
 
 
 @_query
 def model_accuracy(spark, sf_dir):
     model, rows, _ = _trained(spark, sf_dir)
     measured = training.model_accuracy(model, rows)
-    return measured.select("record_count", _is_share("accuracy").alias("accuracy_is_share"))
+    return measured.select("record_count", F.round("accuracy", 9).alias("accuracy"))
 
 
 @_query
@@ -693,29 +686,24 @@ def model_registry(spark, sf_dir):
     append_table(row, name, shared_dir(spark, name))
     return spark.table(name).select(
         "record_count",
-        _is_share("accuracy").alias("accuracy_is_share"),
+        F.round("accuracy", 9).alias("accuracy"),
         (F.col("model_path") == path).alias("names_model"),
         (F.col("trained_at") > fx.BASE_NS).alias("has_time"),
     )
 
 
-def _checked_scores(scored: DataFrame) -> DataFrame:
-    """Keys and inputs as scored, and whether prediction and probabilities belong together."""
+def _plain_model_scores(scored: DataFrame) -> DataFrame:
     p = F.col("probability")
     return scored.select(
-        "contract_id",
-        "event_time",
-        "price",
-        "size",
-        (F.abs(p[0] + p[1] - 1) < 1e-9).alias("sums_to_one"),
-        (F.col("prediction") == (p[1] > 0.5).cast("int")).alias("likelier_class"),
+        "contract_id", "event_time", "price", "size", "prediction",
+        F.round(p[0], 6).alias("prob_0"), F.round(p[1], 6).alias("prob_1"),
     )
 
 
 @_query
 def score_table(spark, sf_dir):
     _, rows, path = _trained(spark, sf_dir)
-    return _checked_scores(training.score_table(rows, path))
+    return _plain_model_scores(training.score_table(rows, path))
 
 
 # Jobs
@@ -778,5 +766,5 @@ def pipe_train_score(spark, sf_dir):
         timeout_s=TIMEOUT_S,
         **tables,
     )
-    return _checked_scores(spark.table(tables["scores_table"]))
+    return _plain_model_scores(spark.table(tables["scores_table"]))
 
