@@ -23,10 +23,11 @@ def frame(spark, data):
     return spark.createDataFrame(data, "price double, size double, label int")
 
 
-def test_equals_the_library(spark, tmp_path):
+@pytest.mark.parametrize("ridge", [0.0, 0.05])
+def test_equals_the_library(spark, tmp_path, ridge):
     df = frame(spark, rows(4_000, (0.4, -1.1), 0.3)).cache()
-    model = fit_logistic(df, ("price", "size"))
-    other = training.train_pipeline(df, str(tmp_path / "m")).stages[-1]
+    model = fit_logistic(df, ("price", "size"), ridge=ridge)
+    other = training.train_pipeline(df, str(tmp_path / "m"), ridge=ridge).stages[-1]
     assert model.weights == pytest.approx(list(other.coefficients), rel=1e-3)
     assert model.intercept == pytest.approx(other.intercept, rel=1e-3)
     assert model.rounds < 12

@@ -59,10 +59,14 @@ def fit_logistic(
     inputs: Sequence[str],
     label: str = "label",
     *,
+    ridge: float = 0.0,
     rounds: int = ROUNDS,
     tolerance: float = TOLERANCE,
 ) -> LogisticModel:
-    """Fit without penalty; rows with a null among inputs and label are left out.
+    """Fit; rows with a null among inputs and label are left out.
+
+    ``ridge`` is the penalty on squared standardised weights, beside the mean loss of a row; the
+    intercept has none. Labels that a line parts have no finite fit without it.
 
     Inputs are standardised for the fit, so that their scales do not matter. One that is constant,
     or depends on others, shares its weight with them by least squares and changes no score. Where
@@ -92,6 +96,8 @@ def fit_logistic(
         curvature = np.zeros((size, size))
         for i, j in pairs:
             curvature[i, j] = curvature[j, i] = sums[f"h{i}_{j}"]
+        weight = ridge * shape["n"] * np.array([0.0, *[1.0] * len(names)])
+        gradient, curvature = gradient - weight * beta, curvature + np.diag(weight)
         step = np.linalg.lstsq(curvature, gradient, rcond=1e-12)[0]
         longest = np.abs(step).max()
         beta += step * min(1.0, LONGEST_STEP / longest) if longest > 0 else 0.0

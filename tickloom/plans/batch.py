@@ -19,6 +19,7 @@ from tickloom.operators.ingest import (
     valid_rows,
 )
 from tickloom.sources.broker import decode_envelope
+from tickloom.sources.publish import publish_slice, read_published
 from tickloom.sources.records import raw_to_envelope
 from tickloom.sources.sinks import (
     append_stream,
@@ -32,13 +33,23 @@ from tickloom.sources.tables import Slice, read_slice
 
 @dataclass(frozen=True)
 class Lake:
-    """Paths of the tables below one root."""
+    """The tables below one root, as partitioned folders or, ``published``, with manifests.
+
+    A reader of a published table sees a slice's replacement whole or not at all.
+    """
 
     root: str
+    published: bool = False
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
 
+    def put(self, df: DataFrame, table: str, part: Slice) -> int:
+        return (publish_slice if self.published else replace_slice)(df, self.path(table), part)
+
+    def get(self, spark: SparkSession, table: str, part: Slice) -> DataFrame:
+        return (read_published if self.published else read_slice)(spark, self.path(table), part)
+
 
 BRONZE = "bronze/mbo_envelope"
 NORMALIZED = "silver/mbo_normalized"
@@ -75,7 +86,7 @@ def raw_to_bronze(
         session_date=part.session_date,
         price_scale=price_scale,
     )
-    return replace_slice(rows, lake.path(BRONZE), part)
+    return lake.put(rows, BRONZE, part)
 
 
 def bronze_to_silver(
@@ -85,23 +96,23 @@ def bronze_to_silver(
 
     Events are aggregated once: the two narrow tables are cut from the bars as written.
     """
-    events = guard_nonempty(read_slice(spark, lake.path(BRONZE), part), f"bronze {part}")
+    events = guard_nonempty(lake.get(spark, BRONZE, part), f"bronze {part}")
     normalized = normalize(events)
-    replace_slice(normalized, lake.path(NORMALIZED), part)
-    replace_slice(bars(normalized, width_ns=width_ns), lake.path(BARS), part)
-    written = read_slice(spark, lake.path(BARS), part)
-    replace_slice(orderbook_state(written), lake.path(ORDERBOOK), part)
-    replace_slice(feature_primitives(written), lake.path(PRIMITIVES), part)
+    lake.put(normalized, NORMALIZED, part)
+    lake.put(bars(normalized, width_ns=width_ns), BARS, part)
+    written = lake.get(spark, BARS, part)
+    lake.put(orderbook_state(written), ORDERBOOK, part)
+    lake.put(feature_primitives(written), PRIMITIVES, part)
 
 
 def silver_to_gold(spark: SparkSession, lake: Lake, part: Slice, **options) -> None:
     """Setup vectors, labels and training view of one slice; the windows run once."""
-    primitives = read_slice(spark, lake.path(PRIMITIVES), part)
+    primitives = lake.get(spark, PRIMITIVES, part)
     guard_nonempty(primitives, f"silver {part}")
-    replace_slice(setup_vectors(primitives, **options), lake.path(SETUP), part)
-    written = read_slice(spark, lake.path(SETUP), part)
-    replace_slice(labels(written), lake.path(LABELS), part)
-    replace_slice(written, lake.path(TRAINING), part)
+    lake.put(setup_vectors(primitives, **options), SETUP, part)
+    written = lake.get(spark, SETUP, part)
+    lake.put(labels(written), LABELS, part)
+    lake.put(written, TRAINING, part)
 
 
 def training_snapshot(
@@ -116,7 +127,7 @@ def training_snapshot(
     """Export one slice of the training view; returns the dataset's path."""
     if not run_date:
         raise ValueError("Missing value: run_date")
-    rows = guard_nonempty(read_slice(spark, lake.path(TRAINING), part), f"training {part}")
+    rows = guard_nonempty(lake.get(spark, TRAINING, part), f"training {part}")
     return export_snapshot(rows, datasets, f"{part.underlier}{model_suffix}", run_date)
 
 

@@ -185,7 +185,7 @@ _VEC = (
 _P = "1.0 / (1.0 + exp(-z))"
 
 
-def _logistic(kept: str = "", rounds: int = 8) -> list[str]:
+def _logistic(kept: str = "", rounds: int = 8, ridge: float = 0.0) -> list[str]:
     """Newton's method on price and size, a round per common table expression.
 
     A round's three unknowns come from the ratios of determinants.
@@ -195,16 +195,17 @@ def _logistic(kept: str = "", rounds: int = 8) -> list[str]:
     solved = []
     for k in range(3):
         own = [f"g{i // 3}" if i % 3 == k else m for i, m in enumerate(matrix)]
-        solved.append(f"b{k} + ({det.format(*own)}) / ({det.format(*matrix)}) AS b{k}")
+        solved.append(f"s.b{k} + ({det.format(*own)}) / ({det.format(*matrix)}) AS b{k}")
     terms = {"g0": "y - p", "g1": "(y - p) * u1", "g2": "(y - p) * u2", "h00": "c", "h01": "c * u1", "h02": "c * u2",
              "h11": "c * u1 * u1", "h12": "c * u1 * u2", "h22": "c * u2 * u2"}
-    sums = ", ".join(f"sum({t}) AS {n}" for n, t in terms.items())
+    extra = {f"g{k}": f" - {ridge} * count(*) * min(b{k})" for k in (1, 2)} | {f"h{k}{k}": f" + {ridge} * count(*)" for k in (1, 2)}
+    sums = ", ".join(f"sum({t}){extra.get(n, '')} AS {n}" for n, t in terms.items())
     steps = [
         f"""
 step{i + 1} AS (
-  SELECT {", ".join(solved)} FROM step{i}, (
+  SELECT {", ".join(solved)} FROM step{i} s, (
     SELECT {sums} FROM (SELECT *, p * (1 - p) AS c FROM (
-      SELECT u.*, 1 / (1 + exp(-(b0 + b1 * u1 + b2 * u2))) AS p FROM u, step{i}) a) b) d
+      SELECT u.*, b1, b2, 1 / (1 + exp(-(b0 + b1 * u1 + b2 * u2))) AS p FROM u, step{i}) a) b) d
 )"""
         for i in range(rounds)
     ]
@@ -284,7 +285,7 @@ def oracle_sql() -> dict[str, str]:
     bar = _with(STEADY, NORM, BAR_5S)
     vec = _with(STEADY, NORM, BAR_5S, FEATURES)
     records = _with(STEADY, RECORDS)
-    model = _with(STEADY, *_logistic())
+    model = _with(STEADY, *_logistic(rounds=12, ridge=0.01))
     one = {k: v.format(**ONE_SEGMENT) for k, v in {"levels": LEVELS, "top": TOP}.items()}
     levels = _with(STEADY, NORM, one["levels"])
     top = _with(STEADY, NORM, one["levels"], one["top"])
@@ -321,6 +322,9 @@ FROM mbo WHERE order_id % 19 <> 0""",
         "sink_replace_slice": daily + f"""
 SELECT order_id, CASE WHEN {mid_day} THEN size + 1000 ELSE size END AS size, session_date
 FROM mbo WHERE session_date <> '2024-01-16'""",
+        "sink_publish_slice": daily + f"""
+SELECT order_id, CASE WHEN {mid_day} THEN size + 1000 ELSE size END AS size, session_date
+FROM mbo WHERE session_date IN ('2024-01-14', '2024-01-15')""",
         "sink_stream_append": steady + f"SELECT {ENVELOPE}, session_date FROM mbo",
         "export_snapshot": vec + "SELECT * REPLACE ('OTHER_MODEL' AS model_id) FROM setup",
         "flt_record_type": records + "SELECT order_id, rtype FROM records WHERE rtype = 160",
@@ -403,6 +407,8 @@ SELECT contract_id, side_sign, price, level_size FROM (
   GROUP BY ALL) WHERE level_size > 0""",
         "dedup_batch": steady + f"SELECT {ENVELOPE}, session_date FROM mbo",
         "dedup_stream": steady + f"""
+SELECT {ENVELOPE}, session_date, order_id AS source_sequence FROM mbo WHERE order_id % 19 <> 0""",
+        "fanout_handoff": steady + f"""
 SELECT {ENVELOPE}, session_date, order_id AS source_sequence FROM mbo WHERE order_id % 19 <> 0""",
         "stream_fanout": steady + f"""
 SELECT 'bronze' AS sink, CAST(order_id AS VARCHAR) AS source_offset, CAST(NULL AS VARCHAR) AS reason
@@ -476,5 +482,6 @@ SELECT {FROM_RECORD} FROM packed {kept}
   AND make_timestamp(ts_event // 1000) < timezone('UTC',
     timezone('America/New_York', TIMESTAMP '2024-01-01 13:40:00'))""",
         "pipe_bronze_to_silver": bar + "SELECT * FROM bar WHERE session_date = '2024-01-01'",
+        "pipe_published": vec + "SELECT * FROM setup WHERE session_date = '2024-01-01'",
         "pipe_silver_to_gold": vec + "SELECT * FROM setup WHERE session_date = '2024-01-01'",
     }

@@ -19,13 +19,19 @@ from tickloom.plans import batch, stream
 from tickloom.schemas import ENVELOPE_COLUMNS, SCORE_MESSAGE, SERIES_KEYS, VECTOR_MESSAGE
 from tickloom.sources import (
     Slice,
+    append_batches,
     append_stream,
     append_table,
     decode_envelope,
     export_snapshot,
+    fan_out,
     finish,
+    follow_batches,
+    publish_batches,
+    publish_slice,
     raw_to_envelope,
     read_batches,
+    read_published,
     read_slice,
     replace_slice,
     shared_dir,
@@ -50,6 +56,7 @@ MID_DAY = Slice("2024-01-15", "SYN", "FUT")
 RAW = {"venue": "SYNTH", "underlier": "SYN", "instrument_type": "FUT", "price_scale": 1e9}
 WEIGHTS = [0.8, -0.05, 0.1, 0.0005, -0.2]
 BIAS = -1.5
+RIDGE = 0.01
 HOUR_NS = 3600 * SECOND_NS
 
 _REGISTRY: dict[str, Query] = {}
@@ -151,6 +158,18 @@ def sink_replace_slice(spark, sf_dir):
     )
 
 
+@_query
+def sink_publish_slice(spark, sf_dir):
+    """As ``sink_replace_slice``, by manifests."""
+    root = shared_dir(spark, "published")
+    rows = fx.mbo_daily(spark, sf_dir).where(F.col("session_date").isin("2024-01-14", "2024-01-15", "2024-01-16"))
+    for day in ("2024-01-14", "2024-01-15", "2024-01-16"):
+        publish_slice(rows.where(F.col("session_date") == day), root, Slice(day, "SYN", "FUT"))
+    publish_slice(read_published(spark, root, MID_DAY).withColumn("size", F.col("size") + 1000), root, MID_DAY)
+    publish_slice(rows.limit(0), root, Slice("2024-01-16", "SYN", "FUT"))
+    return read_published(spark, root).select("order_id", "size", "session_date")
+
+
 @_query
 def sink_stream_append(spark, sf_dir):
     source = _staged(fx.mbo(spark, sf_dir), "event_time")
@@ -460,6 +479,18 @@ def stream_fanout(spark, sf_dir):
     return kept.unionByName(lost)
 
 
+@_query
+def fanout_handoff(spark, sf_dir):
+    """A stream that follows a fan-out whose every micro-batch is run twice, as after a failure."""
+    source = table_stream(spark, _staged(fx.broker_rows(spark, sf_dir), "offset"), max_files=REPLAY_FILES)
+    root, out = shared_dir(spark, "published"), shared_dir(spark, "followed")
+    publish = publish_batches(root)
+    sinks = [lambda batch, batch_id: publish(ingest.valid_rows(batch), batch_id)] * 2
+    finish(fan_out(decode_envelope(source), sinks, shared_dir(spark, "checkpoint")), TIMEOUT_S)
+    finish(follow_batches(spark, root, append_batches(out), shared_dir(spark, "checkpoint"), max_batches=2), TIMEOUT_S)
+    return read_batches(spark, out).select(*ENVELOPE_COLUMNS, "session_date", "source_sequence")
+
+
 @_query
 def bar_stream(spark, sf_dir):
     rows = b.normalize(_bronze_stream(spark, sf_dir, closing=True))
@@ -659,7 +690,8 @@ def msg_score_json(spark, sf_dir):
 def _trained(spark: SparkSession, sf_dir: str):
     path = shared_dir(spark, "model")
     rows = training.training_rows(fx.mbo(spark, sf_dir))
-    return training.train_model(rows, path), rows, path
+    # Parity follows the side and so the price, which parts most labels: a penalty makes the fit unique.
+    return training.train_model(rows, path, ridge=RIDGE), rows, path
 
 
 @_query
@@ -709,15 +741,13 @@ def score_table(spark, sf_dir):
 # Jobs
 
 
-def _lake(spark: SparkSession) -> batch.Lake:
-    return batch.Lake(shared_dir(spark, "lake"))
+def _lake(spark: SparkSession, **options) -> batch.Lake:
+    return batch.Lake(shared_dir(spark, "lake"), **options)
 
 
-def _with_bronze(spark: SparkSession, sf_dir: str) -> batch.Lake:
-    lake = _lake(spark)
-    replace_slice(
-        fx.mbo(spark, sf_dir).where(FIRST_DAY.predicate()), lake.path(batch.BRONZE), FIRST_DAY
-    )
+def _with_bronze(spark: SparkSession, sf_dir: str, **options) -> batch.Lake:
+    lake = _lake(spark, **options)
+    lake.put(fx.mbo(spark, sf_dir).where(FIRST_DAY.predicate()), batch.BRONZE, FIRST_DAY)
     return lake
 
 
@@ -753,6 +783,15 @@ def pipe_silver_to_gold(spark, sf_dir):
     return _plain_vector(read_slice(spark, lake.path(batch.TRAINING), FIRST_DAY))
 
 
+@_query
+def pipe_published(spark, sf_dir):
+    """Bronze to gold over tables with manifests."""
+    lake = _with_bronze(spark, sf_dir, published=True)
+    batch.bronze_to_silver(spark, lake, FIRST_DAY)
+    batch.silver_to_gold(spark, lake, FIRST_DAY, canonical=True)
+    return _plain_vector(lake.get(spark, batch.TRAINING, FIRST_DAY))
+
+
 @_query
 def pipe_train_score(spark, sf_dir):
     source = _staged(fx.broker_rows(spark, sf_dir), "offset")

@@ -1,4 +1,11 @@
 from tickloom.sources.broker import broker_options, decode_envelope, read_broker  # noqa: F401
+from tickloom.sources.publish import (  # noqa: F401
+    follow_batches,
+    publish_batches,
+    publish_slice,
+    read_published,
+    read_published_batches,
+)
 from tickloom.sources.records import raw_to_envelope  # noqa: F401
 from tickloom.sources.sinks import (  # noqa: F401
     append_batches,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from tickloom.schemas import SLICE_KEYS
-from tickloom.sources.tables import Slice, read_slice
+from tickloom.sources.tables import Slice, checked_slice, read_slice
 
 
 def replace_slice(df: DataFrame, path: str, part: Slice) -> int:
@@ -19,11 +19,7 @@ def replace_slice(df: DataFrame, path: str, part: Slice) -> int:
     an empty result is followed by emptying the slice's folder.
     """
     seen = Observation()
-    checked = df.where(
-        F.when(part.predicate(), True).otherwise(
-            F.raise_error(F.lit(f"row outside of {part}")).cast("boolean")
-        )
-    ).observe(seen, F.count(F.lit(1)).alias("rows"))
+    checked = checked_slice(df, part).observe(seen, F.count(F.lit(1)).alias("rows"))
     # As literals the checked keys need no sort ahead of a partitioned write.
     constant = checked.withColumns({k: F.lit(v) for k, v in asdict(part).items()})
     (
@@ -67,7 +63,7 @@ def append_table(df: DataFrame, name: str, location: str | None = None) -> None:
     writer.saveAsTable(name)
 
 
-def _trigger(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
+def trigger(writer: DataStreamWriter, every: str | None) -> DataStreamWriter:
     return writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
 
 
@@ -84,7 +80,7 @@ def append_stream(
     writer = df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
     if location:
         writer = writer.option("path", location)
-    writer = _trigger(writer, every)
+    writer = trigger(writer, every)
     return writer.start(target) if "/" in target else writer.toTable(target)
 
 
@@ -144,4 +140,4 @@ def fan_out(
             batch.unpersist()
 
     writer = df.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
-    return _trigger(writer, every).start()
+    return trigger(writer, every).start()

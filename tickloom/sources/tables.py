@@ -35,7 +35,7 @@ class Slice:
 
 
 # Spark's error conditions for a missing and for an empty folder.
-_NO_FILES = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+NO_FILES = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
 # Spark guesses the type of a partition value ("1" becomes an int); the keys are strings.
@@ -46,6 +46,12 @@ def _string_keys(schema: T.StructType) -> T.StructType:
     )
 
 
+def checked_slice(df: DataFrame, part: Slice) -> DataFrame:
+    """The same rows; one outside the slice fails whatever job reads them."""
+    outside = F.raise_error(F.lit(f"row outside of {part}")).cast("boolean")
+    return df.where(F.when(part.predicate(), True).otherwise(outside))
+
+
 def read_table(
     spark: SparkSession, path: str, schema: T.StructType | None = None
 ) -> DataFrame:
@@ -74,7 +80,7 @@ def read_slice(
             known = _string_keys(schema or reader.parquet(own).schema)
             return reader.schema(known).parquet(own).where(part.predicate())
         except AnalysisException as e:
-            if e.getCondition() not in _NO_FILES:
+            if e.getCondition() not in NO_FILES:
                 raise
     return read_table(spark, path, schema).where(part.predicate())
 
