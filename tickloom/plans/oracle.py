@@ -275,6 +275,10 @@ seen AS (
 _MESSAGE = ", ".join(f"{c} := {c}" for c in ENVELOPE.replace(" ", "").split(","))
 
 
+_VALUE_BYTES = f"""CAST(CASE WHEN order_id % 19 = 0 THEN octet_length(CAST(raw_record AS BLOB))
+    ELSE strlen(CAST(to_json(struct_pack({_MESSAGE})) AS VARCHAR)) END AS INTEGER)"""
+
+
 def _with(*parts: str) -> str:
     return "WITH " + ",".join(parts) + "\n"
 
@@ -315,6 +319,16 @@ FROM bar JOIN top USING (contract_id, bucket_ns)"""
 SELECT {ENVELOPE}, make_timestamp(ingest_time // 1000) AS enqueued_time,
   CAST(order_id AS VARCHAR) AS source_offset, order_id AS source_sequence, session_date
 FROM mbo WHERE order_id % 19 <> 0""",
+        "src_offsets_stream": steady + f"""
+, broker AS (
+  SELECT order_id AS "offset", CAST(order_id % 4 AS INTEGER) AS partition, make_timestamp(ingest_time // 1000) AS timestamp,
+    {_VALUE_BYTES} AS value_bytes, count(*) OVER () AS n, row_number() OVER (PARTITION BY order_id % 4 ORDER BY order_id) - 1 AS place,
+    min(order_id) OVER (PARTITION BY order_id % 4) AS low
+  FROM mbo LEFT JOIN (SELECT raw_record, CAST(source_offset AS BIGINT) AS o FROM ({DEAD})) d ON d.o = order_id
+)
+SELECT 'earliest' AS mode, partition, "offset", value_bytes, timestamp,
+  CAST(("offset" - low) // ((n + 5) // 6) AS INTEGER) AS batch FROM broker
+UNION ALL SELECT 'latest', partition, "offset", value_bytes, timestamp, NULL FROM broker WHERE "offset" >= n // 2""",
         "src_table_stream": steady + "SELECT contract_id, event_time, size FROM mbo",
         "scan_partition": daily + f"SELECT {ENVELOPE}, session_date FROM mbo WHERE {mid_day}",
         "scan_table": steady + f"SELECT {ENVELOPE}, session_date FROM mbo",
@@ -434,8 +448,7 @@ SELECT contract_id, side_sign, price, level_size FROM (
 , broker AS (
   SELECT order_id AS "offset", CAST(order_id % 4 AS INTEGER) AS partition, ingest_time,
     make_timestamp(ingest_time // 1000) AS timestamp, coalesce(ingest_time // 1000 <= watermark // 1000, false) AS late,
-    CAST(CASE WHEN order_id % 19 = 0 THEN octet_length(CAST(raw_record AS BLOB)) ELSE
-      strlen(CAST(to_json(struct_pack({_MESSAGE})) AS VARCHAR)) END AS INTEGER) AS value_bytes
+    {_VALUE_BYTES} AS value_bytes
   FROM mbo LEFT JOIN seen ON seen.turn = order_id % 4
   LEFT JOIN (SELECT raw_record, CAST(source_offset AS BIGINT) AS o FROM ({DEAD})) d ON d.o = order_id
 )

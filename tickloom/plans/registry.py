@@ -32,10 +32,12 @@ from tickloom.sources import (
     raw_to_envelope,
     read_batches,
     read_published,
+    read_segments,
     read_slice,
     replace_slice,
     shared_dir,
     table_stream,
+    write_segments,
 )
 from tickloom.sources.records import payload_json
 from tickloom.streaming.ingest import dedup_decoded
@@ -119,6 +121,41 @@ def src_table_stream(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+@_query
+def src_offsets_stream(spark, sf_dir):
+    """Broker segments from the earliest offset with a cap, and from the latest one on.
+
+    The batch numbers show the cap; the other stream begins when only half of the offsets are there.
+    """
+    broker = fx.broker_rows(spark, sf_dir).drop("key", "topic")
+    count = broker.count()
+    root, share = shared_dir(spark, "segments"), -(-count // 6)
+    early, late = F.col("offset") < count // 2, F.col("offset") >= count // 2
+    outs = {"earliest": shared_dir(spark, "out"), "latest": shared_dir(spark, "out")}
+
+    def started(mode: str, **options):
+        rows = read_segments(spark, root, starting_offsets=mode, **options)
+        return fan_out(rows, [append_batches(outs[mode])], shared_dir(spark, "checkpoint"), every="0 seconds")
+
+    write_segments(broker.where(early), root, count // 8)
+    follower = started("latest")
+    follower.processAllAvailable()
+    write_segments(broker.where(late), root, count // 8)
+    follower.processAllAvailable()
+    follower.stop()
+    capped = started("earliest", max_offsets=4 * share, position=shared_dir(spark, "position"))
+    capped.processAllAvailable()
+    capped.stop()
+    first, second = (
+        spark.read.parquet(outs[mode]).select(
+            F.lit(mode).alias("mode"), "partition", "offset", F.length("value").alias("value_bytes"),
+            _utc_wall("timestamp").alias("timestamp"), batch.cast("int").alias("batch"),
+        )
+        for mode, batch in (("earliest", F.col("batch_id")), ("latest", F.lit(None)))
+    )
+    return first.unionByName(second)
+
+
 def _daily_table(spark: SparkSession, sf_dir: str) -> str:
     path = shared_dir(spark, "daily")
     daily = fx.mbo_daily(spark, sf_dir)

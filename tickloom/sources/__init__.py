@@ -7,6 +7,7 @@ from tickloom.sources.publish import (  # noqa: F401
     read_published_batches,
 )
 from tickloom.sources.records import raw_to_envelope  # noqa: F401
+from tickloom.sources.segments import read_segments, write_segments  # noqa: F401
 from tickloom.sources.sinks import (  # noqa: F401
     append_batches,
     append_stream,
