@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.components import connected_components
-from tickloom.llm.text import LOWER, fresh, map_texts, texts, two_columns
+from tickloom.llm.text import LOWER, fresh, give_back, map_texts, texts, two_columns
 from tickloom.sources.stage import materialize
 
 BITS = 4
@@ -191,7 +191,7 @@ def near_links(classes: DataFrame, bits: int = BITS, group_rows: int = GROUP_ROW
     for part in parts[1:]:
         parts[0] = parts[0].unionByName(part)
     grouped = parts[0].repartition("mask", "key").sortWithinPartitions("mask", "key")
-    return grouped.mapInArrow(partial(_links, bits=bits), "a long, b long")
+    return grouped.mapInArrow(give_back(partial(_links, bits=bits)), "a long, b long")
 
 
 def near_duplicates(

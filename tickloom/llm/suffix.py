@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
-from tickloom.llm.text import SLICE_BYTES, fresh, map_texts, texts
+from tickloom.llm.text import SLICE_BYTES, fresh, give_back, map_texts, texts
 from tickloom.sources.stage import materialize
 
 LENGTH = 50
@@ -545,11 +545,11 @@ def remove_repeats(
         lambda: partial(_anchor_rows, buckets=buckets, length=length, anchor=anchor),
     )
     shared = anchors.repartition("bucket").sortWithinPartitions("bucket")
-    shared = shared.mapInArrow(_shared_anchors, "key long, hashes binary")
+    shared = shared.mapInArrow(give_back(_shared_anchors), "key long, hashes binary")
     shared = shared.join(rows.where(~F.col("copy")).select("key").distinct(), "key", "left_semi")
     wanted = shared.groupBy("key").agg(F.collect_list("hashes").alias("anchors"))
     packed = map_texts(plain, "text", "key long, mark long, packed binary", lambda: _packed)
-    cut = packed.join(wanted, "key").mapInArrow(partial(_fragment_rows, length=length, anchor=anchor), _CUT)
+    cut = packed.join(wanted, "key").mapInArrow(give_back(partial(_fragment_rows, length=length, anchor=anchor)), _CUT)
     cut = materialize(cut, "fragments", compression="zstd")
     classes = cut.where("data is not null").select("slice", "idx", "anchor", "data", "place", "least", "most")
     large = classes.groupBy("anchor").count().where(F.col("count") > group_fragments)
@@ -559,7 +559,7 @@ def remove_repeats(
         usual = classes.join(large, "anchor", "left_anti")
         rest = _by_whole_strings(classes.join(large, "anchor", "left_semi"), length)
     usual = usual.repartition("anchor").sortWithinPartitions("anchor", "data")
-    found = usual.mapInArrow(partial(_sorted_collections, length=length, anchor_size=anchor), _RUNS)
+    found = usual.mapInArrow(give_back(partial(_sorted_collections, length=length, anchor_size=anchor)), _RUNS)
     found = found.unionByName(rest) if rest is not None else found
     places = cut.where("data is null").select("slice", "key", "mark", "idxs", "starts")
     spans = places.groupBy("slice").cogroup(found.groupBy("slice"))
@@ -582,7 +582,8 @@ def remove_repeats(
     out = out.add(text_col, "string")
     for c, kind in added.items():
         out = out.add(name[c], kind)
-    result = joined.mapInArrow(partial(_apply_spans, name=name, others=others, names=out.names, length=length), out)
+    apply = partial(_apply_spans, name=name, others=others, names=out.names, length=length)
+    result = joined.mapInArrow(give_back(apply), out)
     return result.select(*df.columns, *[name[c] for c in added]), name
 
 
