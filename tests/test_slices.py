@@ -56,3 +56,13 @@ def test_sparse_spans_have_as_many_files_as_full_ones(spark):
     path = stage_slices(ends, "at", slices=4, files=3)
     assert len(spark.read.parquet(path).inputFiles()) == 12
     assert spark.read.parquet(path).count() == 2
+
+
+def test_a_larger_table_is_replayed_from_more_files(spark, monkeypatch):
+    monkeypatch.setattr(replay, "FILE_BYTES", 1 << 10)
+    small = replay.stage(spark.range(40), "id")
+    large = replay.stage(spark.range(40_000), "id")
+    assert small.files == replay.LEAST_FILES < large.files
+    rows = large.stream(spark)
+    assert rows.isStreaming
+    assert len(spark.read.parquet(large.path).inputFiles()) == 4 * large.files

@@ -374,6 +374,10 @@ SELECT order_id, event_time - event_time % 5000000000 AS bucket_ns,
         "feature_vector": vec + "SELECT contract_id, bucket_ns, f0, f1, f2, f3, f4 FROM vec",
         "feature_hash": vec
         + "SELECT contract_id, vector_time AS bucket_ns, feature_hash FROM setup",
+        "feature_hash_json": bar + """
+SELECT contract_id, bucket_ns, sha256('[' || concat_ws(',', CAST(event_count::DOUBLE AS VARCHAR),
+  CAST(size_total::DOUBLE AS VARCHAR), CAST(ofi::DOUBLE AS VARCHAR), CAST(price_min AS VARCHAR),
+  CAST(coalesce(spread, 0)::DOUBLE AS VARCHAR)) || ']') AS feature_hash FROM bar""",
         "label_forward": vec + "SELECT contract_id, bucket_ns, label FROM vec",
         "label_forward_strict": vec + """
 SELECT contract_id, bucket_ns, CAST(CASE WHEN mid IS NULL OR mid_at IS NULL THEN NULL

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tickloom import fixtures as fx
 from tickloom.functions.clock import SECOND_NS, local_day, ns_to_local, ns_to_utc
+from tickloom.functions.vectors import feature_vector as vector_of
 from tickloom.operators import bars as b
 from tickloom.operators import book, features, ingest, scoring, training
 from tickloom.operators.guards import guard_nonempty, guard_training_set, optional_columns
@@ -44,15 +45,13 @@ from tickloom.streaming.ingest import dedup_decoded
 from tickloom.streaming.late import LATE_ROW, bars_with_late, dedup_with_late
 from tickloom.streaming.book import book_stream, late_rows, stream_primitives
 from tickloom.streaming.gold import gold_stream
-from tickloom.streaming.replay import FAR_FUTURE_KEY, stage_slices
+from tickloom.streaming.replay import FAR_FUTURE_KEY, stage
 from tickloom.streaming.settings import stateful_session
 from tickloom.streaming.state import book_levels as stored_levels
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 TIMEOUT_S = 900
-# Files of a replayed span; a micro-batch takes one span.
-REPLAY_FILES = 4
 FIRST_DAY = Slice("2024-01-01", "SYN", "FUT")
 MID_DAY = Slice("2024-01-15", "SYN", "FUT")
 RAW = {"venue": "SYNTH", "underlier": "SYN", "instrument_type": "FUT", "price_scale": 1e9}
@@ -99,8 +98,6 @@ def _utc_wall(instant: str) -> F.Column:
     return ns_to_utc(F.unix_micros(instant) * 1000)
 
 
-def _staged(df: DataFrame, by: str, **options) -> str:
-    return stage_slices(df, by, files=REPLAY_FILES, **options)
 
 
 # Sources
@@ -114,9 +111,9 @@ def src_envelope_decode(spark, sf_dir):
 
 @_query
 def src_table_stream(spark, sf_dir):
-    source = _staged(fx.mbo(spark, sf_dir), "event_time")
+    source = stage(fx.mbo(spark, sf_dir), "event_time")
     out, mark = shared_dir(spark, "out"), shared_dir(spark, "checkpoint")
-    rows = table_stream(spark, source, max_files=REPLAY_FILES).select("contract_id", "event_time", "size")
+    rows = source.stream(spark).select("contract_id", "event_time", "size")
     finish(append_stream(rows, out, mark), TIMEOUT_S)
     return spark.read.parquet(out)
 
@@ -209,11 +206,11 @@ def sink_publish_slice(spark, sf_dir):
 
 @_query
 def sink_stream_append(spark, sf_dir):
-    source = _staged(fx.mbo(spark, sf_dir), "event_time")
+    source = stage(fx.mbo(spark, sf_dir), "event_time")
     out, mark = shared_dir(spark, "out"), shared_dir(spark, "checkpoint")
-    finish(append_stream(table_stream(spark, source, max_files=REPLAY_FILES), out, mark), TIMEOUT_S)
+    finish(append_stream(source.stream(spark), out, mark), TIMEOUT_S)
     # A second run from the same checkpoint finds nothing new.
-    finish(append_stream(table_stream(spark, source, max_files=REPLAY_FILES), out, mark), TIMEOUT_S)
+    finish(append_stream(source.stream(spark), out, mark), TIMEOUT_S)
     return spark.read.parquet(out)
 
 
@@ -343,6 +340,14 @@ def feature_hash(spark, sf_dir):
     return features.hashes(rows, canonical=True).select("contract_id", "bucket_ns", "feature_hash")
 
 
+@_query
+def feature_hash_json(spark, sf_dir):
+    """The default hash, over measures whose text is the same in any engine."""
+    measures = ["event_count", "size_total", "ofi", "price_min", "spread"]
+    rows = _bars(spark, sf_dir).withColumn("feature_vector", vector_of(measures))
+    return features.hashes(rows).select("contract_id", "bucket_ns", "feature_hash")
+
+
 @_query
 def label_forward(spark, sf_dir):
     rows = features.forward_label(_primitives(spark, sf_dir))
@@ -474,7 +479,7 @@ def _bronze_stream(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
         "enqueued_time", F.timestamp_micros(F.call_function("div", "ingest_time", F.lit(1000)))
     )
     session = stateful_session(spark)
-    return table_stream(session, _staged(rows, "event_time", **options), max_files=REPLAY_FILES)
+    return stage(rows, "event_time", **options).stream(session)
 
 
 def _collect_stream(spark: SparkSession, rows: DataFrame) -> DataFrame:
@@ -489,7 +494,7 @@ def dedup_stream(spark, sf_dir):
     broker = fx.broker_rows(spark, sf_dir)
     twice = broker.unionByName(broker.where(F.col("offset") % 10 == 0))
     session = stateful_session(spark)
-    source = table_stream(session, _staged(twice, "offset"), max_files=REPLAY_FILES)
+    source = stage(twice, "offset").stream(session)
     rows = ingest.valid_rows(dedup_decoded(decode_envelope(source)))
     out, mark = shared_dir(spark, "out"), shared_dir(spark, "checkpoint")
     finish(append_stream(rows, out, mark), TIMEOUT_S)
@@ -503,7 +508,7 @@ def stream_fanout(spark, sf_dir):
     broken = F.col("offset") % fx.BROKEN_EVERY == 0
     age = F.when(broken, F.expr("INTERVAL 1 DAY")).otherwise(F.expr("INTERVAL 0 DAY"))
     broker = fx.broker_rows(spark, sf_dir).withColumn("timestamp", F.col("timestamp") - age)
-    source = table_stream(session, _staged(broker, "offset"), max_files=REPLAY_FILES)
+    source = stage(broker, "offset").stream(session)
     bronze, dead = shared_dir(spark, "bronze"), shared_dir(spark, "dead")
     mark = shared_dir(spark, "checkpoint")
     finish(stream.broker_to_bronze(source, bronze, dead, mark), TIMEOUT_S)
@@ -519,7 +524,7 @@ def stream_fanout(spark, sf_dir):
 @_query
 def fanout_handoff(spark, sf_dir):
     """A stream that follows a fan-out whose every micro-batch is run twice, as after a failure."""
-    source = table_stream(spark, _staged(fx.broker_rows(spark, sf_dir), "offset"), max_files=REPLAY_FILES)
+    source = stage(fx.broker_rows(spark, sf_dir), "offset").stream(spark)
     root, out = shared_dir(spark, "published"), shared_dir(spark, "followed")
     publish = publish_batches(root)
     sinks = [lambda batch, batch_id: publish(ingest.valid_rows(batch), batch_id)] * 2
@@ -553,7 +558,7 @@ def book_stream_unordered(spark, sf_dir):
     lag = F.col("order_id") % 3 * 200 * SECOND_NS
     rows = fx.mbo(spark, sf_dir).withColumn("arrival", F.col("event_time") + lag)
     session = stateful_session(spark)
-    source = table_stream(session, _staged(rows, "arrival", closing=True), max_files=REPLAY_FILES)
+    source = stage(rows, "arrival", closing=True).stream(session)
     found = _collect_stream(spark, stream_primitives(book_stream(b.normalize(source))))
     return _plain_book(found)
 
@@ -563,7 +568,7 @@ def late_rows_q(spark, sf_dir):
     """Four turns over the whole time span; what the ones before left over ten minutes behind."""
     rows = fx.mbo(spark, sf_dir).withColumn("turn", F.col("order_id") % 4)
     session = stateful_session(spark)
-    source = table_stream(session, _staged(rows, "turn"), max_files=REPLAY_FILES)
+    source = stage(rows, "turn").stream(session)
     return _collect_stream(spark, late_rows(book_stream(b.normalize(source))))
 
 
@@ -578,7 +583,7 @@ def book_state_snapshot(spark, sf_dir):
 def _in_turns(spark: SparkSession, rows: DataFrame, number: str, **options) -> DataFrame:
     """Four turns over the whole time span, a micro-batch each."""
     turns = rows.withColumn("turn", F.col(number) % 4)
-    return table_stream(stateful_session(spark), _staged(turns, "turn", **options), max_files=REPLAY_FILES)
+    return stage(turns, "turn", **options).stream(stateful_session(spark))
 
 
 @_query
@@ -619,16 +624,14 @@ def state_expiry(spark, sf_dir):
     shifted = F.col("event_time") + F.when(F.col("event_time") > half, HOUR_NS).otherwise(0)
     rows = rows.withColumn("event_time", shifted)
     session = stateful_session(spark)
-    source = table_stream(session, _staged(rows, "event_time", closing=True), max_files=REPLAY_FILES)
+    source = stage(rows, "event_time", closing=True).stream(session)
     found = _collect_stream(spark, stream_primitives(book_stream(b.normalize(source))))
     return found.select("contract_id", "bucket_ns", "event_count", "best_bid", "best_ask")
 
 
 def _bar_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     session = stateful_session(spark)
-    return table_stream(
-        session, _staged(_primitives(spark, sf_dir), "bucket_ns"), max_files=REPLAY_FILES
-    )
+    return stage(_primitives(spark, sf_dir), "bucket_ns").stream(session)
 
 
 @_query
@@ -701,10 +704,10 @@ def score_failures(spark, sf_dir):
 
 
 def _run_scores(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    source = _staged(_gold(spark, sf_dir), "vector_time")
+    source = stage(_gold(spark, sf_dir), "vector_time")
     scores, topic = shared_dir(spark, "scores"), shared_dir(spark, "topic")
     mark = shared_dir(spark, "checkpoint")
-    vectors = table_stream(spark, source, max_files=REPLAY_FILES)
+    vectors = source.stream(spark)
     finish(stream.gold_to_scores(vectors, _scorer, scores, topic, mark), TIMEOUT_S)
     return scores, topic
 
@@ -831,11 +834,11 @@ def pipe_published(spark, sf_dir):
 
 @_query
 def pipe_train_score(spark, sf_dir):
-    source = _staged(fx.broker_rows(spark, sf_dir), "offset")
+    source = stage(fx.broker_rows(spark, sf_dir), "offset")
     run = uuid.uuid4().hex
     tables = {f"{t}_table": f"tickloom_{t}_{run}" for t in ("events", "registry", "scores")}
     batch.train_and_score(
-        table_stream(spark, source),
+        table_stream(spark, source.path),
         model_path=shared_dir(spark, "model"),
         checkpoint=shared_dir(spark, "checkpoint"),
         location=shared_dir(spark, "tables"),

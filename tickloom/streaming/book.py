@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tickloom.functions.clock import BAR_NS, bucket_floor, local_day, ns_to_timestamp
+from tickloom.functions.clock import BAR_NS, local_day, ns_to_timestamp
 from tickloom.operators.book import book_delta, is_trade
 from tickloom.schemas import DOUBLE, LONG, STREAM_BAR, STRING, struct
 from tickloom.streaming.levels import LevelIndex
@@ -112,17 +112,20 @@ class _LevelProcessor(StatefulProcessor):
         rest = [arrived] if arrived is not None and arrived.num_rows else []
         if due:
             events = unpack(bytes(self.packs.getValue((i,))[0]) for i, _, _ in due)
-            for i, _, _ in due:
-                self.packs.removeKey((i,))
             ready = self._bucket(events) < closed
             if not ready.all():
                 rest.append(events.filter(pa.array(~ready)))
             yield self._summed(events.filter(pa.array(ready)), contract)
+        free = [i for i, _, _ in due]
         for table in rest:
             bucket = self._bucket(table)
-            self.packs.updateValue((next_id,), (pack(table),))
-            kept.append((next_id, int(bucket.min()), int(bucket.max())))
-            next_id += 1
+            if not free:
+                free, next_id = [next_id], next_id + 1
+            place = free.pop()
+            self.packs.updateValue((place,), (pack(table),))
+            kept.append((place, int(bucket.min()), int(bucket.max())))
+        for i in free:
+            self.packs.removeKey((i,))
         if not (due or rest):
             return
         wanted = min(low for _, low, _ in kept) + self.width_ns if kept else None
@@ -236,9 +239,10 @@ class _BookProcessor(StatefulProcessor):
 
     def _expire(self, watermark_ns: int) -> None:
         """Forget a contract whose next event will find it silent; else look again in time."""
-        if not self.last.exists():
+        last = self.last.get()
+        if last is None:
             return
-        due = self.last.get()[0] + self.idle_ns
+        due = last[0] + self.idle_ns
         if watermark_ns >= due:
             for state in (self.levels, self.last, self.trades):
                 state.clear()
@@ -256,8 +260,9 @@ class _BookProcessor(StatefulProcessor):
         first, last = np.minimum.reduceat(pdf["first_time"].to_numpy(), starts), time[ends]
         silent = np.zeros(len(starts), bool)
         silent[1:] = first[1:] - last[:-1] >= self.idle_ns
-        if self.last.exists():
-            silent[0] = first[0] - self.last.get()[0] >= self.idle_ns
+        before = self.last.get()
+        if before is not None:
+            silent[0] = first[0] - before[0] >= self.idle_ns
         index = LevelIndex() if silent[0] or not self.levels.exists() else LevelIndex(self.levels.get())
         bids, asks = [], []
         sides, prices = pdf["side_sign"].tolist(), pdf["level_price"].tolist()
@@ -291,9 +296,9 @@ class _BookProcessor(StatefulProcessor):
             if anew:
                 self.trades.clear()
             return
-        before = self.trades.get()[2] if self.trades.exists() and not anew else 0
+        known = None if anew else self.trades.get()
         last = traded.sort_values(["trade_time", "trade_sequence"]).iloc[-1]
-        volume = before + int(traded["trade_volume"].sum())
+        volume = (known[2] if known else 0) + int(traded["trade_volume"].sum())
         self.trades.update((float(last["trade_price"]), int(last["trade_size"]), volume))
 
 
