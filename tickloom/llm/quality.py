@@ -29,7 +29,6 @@ MIN_WORDS = 50
 REPEAT_PERCENT = 50
 COMMON_WORDS = 40
 COMMON_CHARS = 8
-LANGUAGES = 64  # only the SQL twin stops at so many; the operator has references for all
 CLASS_LIMIT = 0.30
 CLASS_GUARD = 200  # characters
 WORD_LIMIT = 0.37

@@ -47,7 +47,7 @@ WITH base AS (
 ), sums AS (
   SELECT lang, count(*) AS documents, sum(n_words) AS all_words, {sums} FROM d WHERE n_words >= {quality.MIN_WORDS} GROUP BY lang
 ), named AS (
-  SELECT * FROM sums WHERE lang IS NOT NULL ORDER BY documents DESC, lang LIMIT {quality.LANGUAGES}
+  SELECT * FROM sums WHERE lang IS NOT NULL
 ), wide AS (
   SELECT lang, all_words, {", ".join(f"k{i}" for i in range(n))} FROM named
   UNION ALL SELECT NULL, sum(all_words), {sums} FROM sums
