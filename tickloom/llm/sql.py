@@ -204,7 +204,8 @@ WITH parts AS (
 ), codes AS (
   SELECT row_id, held, ruled, {code} AS code FROM chars WINDOW w AS (PARTITION BY row_id ORDER BY pos)
 ), occurring AS (
-  SELECT code, count_if(NOT held AND ruled = 'allow') AS a, count_if(NOT held AND ruled = 'block') AS r FROM codes GROUP BY code
+  SELECT code, sum(CASE WHEN NOT held AND ruled = 'allow' THEN 1 ELSE 0 END) AS a,
+    sum(CASE WHEN NOT held AND ruled = 'block' THEN 1 ELSE 0 END) AS r FROM codes GROUP BY code
 ), {", ".join(levels)},
 scored AS (
   SELECT c.row_id, any_value(c.held) AS held, any_value(c.ruled) AS ruled, sum(ln(l.pa / l.pr)) / count(*) AS score
