@@ -3,10 +3,11 @@
 The first is keyed by a shard of a contract's price levels. It holds events until the watermark has
 passed their bucket and then sums up each touched level and bucket in one row, so that the events of
 one busy contract are spread over tasks. The second is keyed by contract; it puts these rows in
-order of their buckets, keeps level sizes and best prices, and sees a contract fall silent.
+order of their buckets, keeps level sizes and best prices, and sees a contract fall silent. Both go
+through a micro-batch in pieces of time, so their memory does not follow its size.
 """
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -20,12 +21,14 @@ from tickloom.functions.clock import BAR_NS, local_day, ns_to_timestamp
 from tickloom.operators.book import book_delta, is_trade
 from tickloom.schemas import DOUBLE, LONG, STREAM_BAR, STRING, struct
 from tickloom.streaming.levels import LevelIndex
-from tickloom.streaming.packs import CLOCK, ROWS, pack, packer, unpack
+from tickloom.streaming.packs import CLOCK, ROWS, gather, in_order, pack, packer, pieces, unpack
 
 IDLE_MS = 600_000
 DELAY = "10 minutes"
 # Tasks that the levels of one contract can be spread over.
 SHARDS = 8
+# Changes of a contract that are held in memory; more go through the state store.
+HELD_BYTES = 16 << 20
 
 BAR, LATE, CHANGE = "bar", "late", "change"
 MS_NS = 1_000_000
@@ -39,31 +42,16 @@ _MEASURES = dict(event_count=LONG, size_total=LONG, buy_size=LONG, sell_size=LON
 class _LevelProcessor(StatefulProcessor):
     """Packed events of a shard whose buckets may still grow.
 
-    ``packs`` has one entry per arrival, ``held`` the buckets that each spans, so that a release
-    reads the packs that it concerns and no others.
+    ``packs`` has an entry or more per arrival, ``held`` the buckets that each spans, so that a
+    release reads the packs that it concerns and no others, a few at a time.
     """
 
+    # Changes or late events of a contract, with the least bucket of the changes.
     OUTPUT = struct(
         kind=STRING,
         clock=T.TimestampType(),
-        bucket_ns=LONG,
-        side_sign=T.IntegerType(),
-        level_price=DOUBLE,
-        total=LONG,
         low=LONG,
-        **_MEASURES,
-        first_time=LONG,
-        last_time=LONG,
-        last_sequence=LONG,
-        underlier=STRING,
-        instrument_type=STRING,
-        trades=LONG,
-        trade_time=LONG,
-        trade_sequence=LONG,
-        trade_price=DOUBLE,
-        trade_size=LONG,
-        trade_volume=LONG,
-        late=T.BinaryType(),
+        **{ROWS: T.BinaryType()},
         contract_id=STRING,
     )
 
@@ -78,19 +66,11 @@ class _LevelProcessor(StatefulProcessor):
         )
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        watermark = timerValues.getCurrentWatermarkInMs()
-        closed = self._closed(watermark)
-        events = unpack(bytes(p) for frame in rows for p in frame[ROWS])
-        bucket = self._bucket(events)
-        late = bucket < closed
-        if late.any():
-            behind = events.filter(pa.array(late)).select(["underlier", "instrument_type", *LATE_EVENT])
-            clock = np.array([(watermark + 1) * MS_NS])
-            yield self._rows(key[0], LATE, clock, late=np.array([pack(behind)], object))
-        yield from self._release(key[0], closed, events.filter(pa.array(~late)))
+        packs = (bytes(p) for frame in rows for p in frame[ROWS])
+        yield from self._release(key[0], timerValues.getCurrentWatermarkInMs(), packs)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        yield from self._release(key[0], self._closed(timerValues.getCurrentWatermarkInMs()))
+        yield from self._release(key[0], timerValues.getCurrentWatermarkInMs())
 
     def close(self) -> None:
         pass
@@ -102,31 +82,42 @@ class _LevelProcessor(StatefulProcessor):
     def _bucket(self, events: pa.Table) -> np.ndarray:
         return events["event_time"].to_numpy() // self.width_ns * self.width_ns
 
-    def _release(self, contract: str, closed: int, arrived: pa.Table | None = None) -> Iterator[pd.DataFrame]:
-        """Sum up buckets before ``closed``, keep the rest, and wait for the next one to close."""
+    def _release(self, contract: str, watermark: int, packs: Iterable[bytes] = ()) -> Iterator[pd.DataFrame]:
+        """Take in what arrived, sum up buckets that are closed, and wait for the next one to close."""
+        closed = self._closed(watermark)
         stored = self.held.get() or (0, None, [], [], [])
         next_id, timer = stored[:2]
         kept, due = [], []
         for entry in zip(*stored[2:]):
             (due if entry[1] < closed else kept).append(entry)
-        rest = [arrived] if arrived is not None and arrived.num_rows else []
-        if due:
-            events = unpack(bytes(self.packs.getValue((i,))[0]) for i, _, _ in due)
-            ready = self._bucket(events) < closed
-            if not ready.all():
-                rest.append(events.filter(pa.array(~ready)))
-            yield self._summed(events.filter(pa.array(ready)), contract)
-        free = [i for i, _, _ in due]
-        for table in rest:
-            bucket = self._bucket(table)
-            if not free:
-                free, next_id = [next_id], next_id + 1
-            place = free.pop()
-            self.packs.updateValue((place,), (pack(table),))
-            kept.append((place, int(bucket.min()), int(bucket.max())))
-        for i in free:
-            self.packs.removeKey((i,))
-        if not (due or rest):
+        before = len(kept)
+
+        def hold(events: pa.Table) -> None:
+            nonlocal next_id
+            for low, high, piece in pieces(events, self._bucket(events)):
+                self.packs.updateValue((next_id,), (piece,))
+                kept.append((next_id, low, high))
+                next_id += 1
+
+        def take(place: int) -> pa.Table:
+            number = (due[place][0],)
+            piece = bytes(self.packs.getValue(number)[0])
+            self.packs.removeKey(number)
+            return unpack([piece])
+
+        for events in gather(packs):
+            late = self._bucket(events) < closed
+            if late.any():
+                behind = events.filter(pa.array(late)).select(["underlier", "instrument_type", *LATE_EVENT])
+                yield self._rows(contract, LATE, [(watermark + 1) * MS_NS], [0], [pack(behind)])
+                events = events.filter(pa.array(~late))
+            hold(events)
+        for events, ready in in_order([low for _, low, _ in due], take, self._bucket, closed):
+            if ready:
+                yield self._summed(events, contract)
+            else:
+                hold(events)
+        if not due and len(kept) == before:
             return
         wanted = min(low for _, low, _ in kept) + self.width_ns if kept else None
         wanted = wanted and -(-wanted // MS_NS)
@@ -141,7 +132,7 @@ class _LevelProcessor(StatefulProcessor):
             self.held.clear()
 
     def _summed(self, events: pa.Table, contract: str) -> pd.DataFrame:
-        """A row per bucket and level; events that leave the book alone share one of side zero."""
+        """Changes per bucket and level; events that leave the book alone share one of side zero."""
         whole = {c: events[c].to_numpy() for c in ("event_time", "sequence", "size", "delta", "side_sign")}
         price = events["price"].to_numpy()
         on_book = whole["delta"] != 0
@@ -163,10 +154,9 @@ class _LevelProcessor(StatefulProcessor):
         # Rows are in order of time within a group, so the last trade is that with the last place.
         trade = np.maximum.reduceat(np.where(traded, np.arange(len(order)), -1), starts)
         some = trade >= 0
-        names = {c: events[c].take(pa.array(order[last])).to_numpy() for c in ("underlier", "instrument_type")}
+        names = {c: events[c].take(pa.array(order[last])) for c in ("underlier", "instrument_type")}
         pick = lambda values: np.where(some, values[trade], 0)
-        return self._rows(
-            contract, CHANGE, bucket[starts] + self.width_ns,
+        changes = dict(
             bucket_ns=bucket[starts], side_sign=side[starts], level_price=level[starts],
             total=running[last], low=np.minimum.reduceat(running, starts),
             event_count=lengths, size_total=sums(size), buy_size=sums(np.where(sign == 1, size, 0)),
@@ -176,20 +166,22 @@ class _LevelProcessor(StatefulProcessor):
             trade_price=np.where(some, price[trade], np.nan), trade_volume=sums(np.where(traded, size, 0)),
             **names,
         )
+        lows, _, packed = zip(*pieces(pa.table(changes), changes["bucket_ns"]))
+        return self._rows(contract, CHANGE, [low + self.width_ns for low in lows], lows, packed)
 
-    def _rows(self, contract: str, kind: str, clock: np.ndarray, **columns) -> pd.DataFrame:
-        # No long is null, since the next step would get floats. The clock has a zone, since Spark
-        # reads bare times in that of the session.
-        n = len(clock)
-        zero = {f.name: np.zeros(n, np.int64) for f in self.OUTPUT if f.dataType in (LONG, T.IntegerType())}
-        columns["clock"] = pd.DatetimeIndex(clock.astype("datetime64[ns]"), tz="UTC")
-        return _frame(self.OUTPUT, n, **(zero | columns), kind=kind, contract_id=contract)
+    def _rows(
+        self, contract: str, kind: str, clock: Iterable[int], low: Iterable[int], packed: Iterable[bytes]
+    ) -> pd.DataFrame:
+        # The clock has a zone, since Spark reads bare times in that of the session.
+        at = pd.DatetimeIndex(np.array(clock, "datetime64[ns]"), tz="UTC")
+        return _frame(self.OUTPUT, len(at), clock=at, low=low, **{ROWS: packed}, kind=kind, contract_id=contract)
 
 
 class _BookProcessor(StatefulProcessor):
     """Levels, last event and trades of one contract.
 
-    ``levels`` is read and written as one list per micro-batch, in price order.
+    ``levels`` is read and written as one list per micro-batch, in price order. ``spilled`` holds
+    changes for as long as a micro-batch has too many of them for memory.
     """
 
     # kind tells bars from late events.
@@ -213,17 +205,24 @@ class _BookProcessor(StatefulProcessor):
         self.levels = handle.getListState("levels", "side INT, price DOUBLE, size LONG")
         self.last = handle.getValueState("last", "event_time LONG")
         self.trades = handle.getValueState("trades", "price DOUBLE, size LONG, total_volume LONG")
+        self.spilled = handle.getMapState("spilled", "pack_id LONG", "changes BINARY")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues):
-        changes = []
+        lows, held, size = [], [], 0
         for frame in rows:
-            late = frame["kind"] == LATE
-            if late.any():
-                yield self._late(unpack(bytes(p) for p in frame.loc[late, "late"]), key[0])
-            if not late.all():
-                changes.append(frame[~late])
-        if changes:
-            yield self._advance(pd.concat(changes, ignore_index=True), key[0])
+            for kind, low, piece in zip(frame["kind"], frame["low"], frame[ROWS]):
+                piece = bytes(piece)
+                if kind == LATE:
+                    yield self._late(unpack([piece]), key[0])
+                    continue
+                size += len(piece)
+                if size > HELD_BYTES:
+                    self.spilled.updateValue((len(held),), (piece,))
+                    piece = None
+                lows.append(int(low))
+                held.append(piece)
+        if held:
+            yield from self._advance(lows, held, key[0])
         self._expire(timerValues.getCurrentWatermarkInMs() * MS_NS)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
@@ -250,56 +249,84 @@ class _BookProcessor(StatefulProcessor):
             # A timer that was overtaken by later events finds nothing to do.
             self.handle.registerTimer(-(-due // MS_NS))
 
-    def _advance(self, pdf: pd.DataFrame, contract: str) -> pd.DataFrame:
+    def _advance(self, lows: list[int], held: list[bytes | None], contract: str) -> Iterator[pd.DataFrame]:
         """Apply the changes of whole buckets in order; return their bars."""
-        pdf = pdf.sort_values(["bucket_ns", "last_time", "last_sequence"], kind="stable", ignore_index=True)
-        bucket, time = pdf["bucket_ns"].to_numpy(), pdf["last_time"].to_numpy()
+
+        def take(place: int) -> pa.Table:
+            piece, held[place] = held[place], None
+            if piece is None:
+                piece = bytes(self.spilled.getValue((place,))[0])
+                self.spilled.removeKey((place,))
+            return unpack([piece])
+
+        book = _Book(self.idle_ns, self.levels.get() if self.levels.exists() else (), self.last.get(), self.trades.get())
+        for changes, _ in in_order(lows, take, lambda t: t["bucket_ns"].to_numpy()):
+            bars = book.apply({c: changes[c].to_numpy() for c in changes.column_names})
+            yield _frame(self.OUTPUT, len(bars["bucket_ns"]), kind=BAR, contract_id=contract, **bars)
+        if book.index.sizes:
+            self.levels.put(book.index.rows())
+        else:
+            self.levels.clear()
+        self.last.update((book.last,))
+        if book.trades:
+            self.trades.update(book.trades)
+        else:
+            self.trades.clear()
+
+
+class _Book:
+    """A contract's levels, last event and trades while changes are applied."""
+
+    def __init__(self, idle_ns: int, levels: Iterable[tuple], last: tuple | None, trades: tuple | None) -> None:
+        self.idle_ns = idle_ns
+        self.index = LevelIndex(levels)
+        self.last = last[0] if last else None
+        self.trades = trades
+
+    def apply(self, changes: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        """The bars of whole buckets, which lie behind all that were applied before."""
+        order = np.lexsort([changes[c] for c in ("last_sequence", "last_time", "bucket_ns")])
+        changes = {c: v[order] for c, v in changes.items()}
+        bucket, time = changes["bucket_ns"], changes["last_time"]
         starts = np.flatnonzero(np.diff(bucket, prepend=bucket[0] - 1))
         # Rows are in order of their last event, so the last one has the bucket's latest names.
-        ends = np.append(starts[1:], len(pdf)) - 1
-        first, last = np.minimum.reduceat(pdf["first_time"].to_numpy(), starts), time[ends]
+        ends = np.append(starts[1:], len(bucket)) - 1
+        first, last = np.minimum.reduceat(changes["first_time"], starts), time[ends]
         silent = np.zeros(len(starts), bool)
         silent[1:] = first[1:] - last[:-1] >= self.idle_ns
-        before = self.last.get()
-        if before is not None:
-            silent[0] = first[0] - before[0] >= self.idle_ns
-        index = LevelIndex() if silent[0] or not self.levels.exists() else LevelIndex(self.levels.get())
+        if self.last is not None:
+            silent[0] = first[0] - self.last >= self.idle_ns
+        self.last = int(last[-1])
         bids, asks = [], []
-        sides, prices = pdf["side_sign"].tolist(), pdf["level_price"].tolist()
-        totals, lows = pdf["total"].tolist(), pdf["low"].tolist()
+        sides, prices = changes["side_sign"].tolist(), changes["level_price"].tolist()
+        totals, lows = changes["total"].tolist(), changes["low"].tolist()
         for at, end, restart in zip(starts.tolist(), ends.tolist(), silent.tolist()):
             if restart:
-                index = LevelIndex()
+                self.index = LevelIndex()
             for i in range(at, end + 1):
                 if sides[i]:
-                    index.apply((sides[i], prices[i]), totals[i], lows[i])
-            bids.append(index.best(1))
-            asks.append(index.best(-1))
-        if index.sizes:
-            self.levels.put(index.rows())
-        else:
-            self.levels.clear()
-        self.last.update((int(last[-1]),))
-        since = int(starts[np.flatnonzero(silent)[-1]]) if silent.any() else 0
-        self._add_trades(pdf.iloc[since:], bool(silent.any()))
-        sums = {c: np.add.reduceat(pdf[c].to_numpy(), starts) for c in _MEASURES}
-        names = {c: pdf[c].to_numpy()[ends] for c in ("underlier", "instrument_type")}
-        best = {c: np.array(v, dtype=float) for c, v in (("best_bid", bids), ("best_ask", asks))}
-        return _frame(
-            self.OUTPUT, len(starts), kind=BAR, bucket_ns=bucket[starts], contract_id=contract, **names, **sums, **best
-        )
-
-    def _add_trades(self, pdf: pd.DataFrame, anew: bool) -> None:
+                    self.index.apply((sides[i], prices[i]), totals[i], lows[i])
+            bids.append(self.index.best(1))
+            asks.append(self.index.best(-1))
+        if silent.any():
+            self.trades = None
+        self._add_trades(changes, int(starts[np.flatnonzero(silent)[-1]]) if silent.any() else 0)
+        return {
+            "bucket_ns": bucket[starts],
+            **{c: changes[c][ends] for c in ("underlier", "instrument_type")},
+            **{c: np.add.reduceat(changes[c], starts) for c in _MEASURES},
+            "best_bid": np.array(bids, dtype=float),
+            "best_ask": np.array(asks, dtype=float),
+        }
+
+    def _add_trades(self, changes: dict[str, np.ndarray], since: int) -> None:
         """Last trade price and size, and volume since the contract was last silent."""
-        traded = pdf[pdf["trades"] > 0]
-        if traded.empty:
-            if anew:
-                self.trades.clear()
+        traded = since + np.flatnonzero(changes["trades"][since:])
+        if not len(traded):
             return
-        known = None if anew else self.trades.get()
-        last = traded.sort_values(["trade_time", "trade_sequence"]).iloc[-1]
-        volume = (known[2] if known else 0) + int(traded["trade_volume"].sum())
-        self.trades.update((float(last["trade_price"]), int(last["trade_size"]), volume))
+        last = traded[np.lexsort((changes["trade_sequence"][traded], changes["trade_time"][traded]))[-1]]
+        volume = (self.trades[2] if self.trades else 0) + int(changes["trade_volume"][traded].sum())
+        self.trades = (float(changes["trade_price"][last]), int(changes["trade_size"][last]), volume)
 
 
 def _frame(schema: T.StructType, n: int, **columns) -> pd.DataFrame:
