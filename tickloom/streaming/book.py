@@ -28,7 +28,7 @@ DELAY = "10 minutes"
 # Tasks that the levels of one contract can be spread over.
 SHARDS = 8
 # Changes of a contract that are held in memory; more go through the state store.
-HELD_BYTES = 16 << 20
+HELD_BYTES = 4 << 20
 
 BAR, LATE, CHANGE = "bar", "late", "change"
 MS_NS = 1_000_000

@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 CLOCK, ROWS = "event_clock", "packed_rows"
 
 # Bytes of packs that are unpacked together, rows of a piece, and rows that a merge hands on, about.
-GATHER_BYTES, PIECE_ROWS, STEP_ROWS = 8 << 20, 1 << 12, 1 << 15
+GATHER_BYTES, PIECE_ROWS, STEP_ROWS = 2 << 20, 1 << 11, 1 << 13
 
 
 def packer(keys: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
