@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from rows import EDGE, PASSAGE, by_id, edge, empty
 
@@ -95,3 +96,47 @@ def test_equal_strings_have_equal_anchors():
 
 def test_empty_table(spark):
     assert suffix.repeat_digests(empty(spark)).collect() == []
+
+
+def cut_rows(texts):
+    """Fragments of the texts, a slice each, in the order that a task gets them."""
+    rows = []
+    for i, text in enumerate(texts):
+        wanted = np.unique(suffix.runs(text)[0])
+        for k, (a, begin, end, place) in enumerate(zip(*(c.tolist() for c in suffix.fragments(text, wanted)))):
+            rows.append((a, text[begin:end], place, i, k, i, i))
+    names = ["anchor", "data", "place", "slice", "idx", "least", "most"]
+    kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+    columns = [pa.array(c, k) for c, k in zip(zip(*sorted(rows)), kinds)]
+    return pa.RecordBatch.from_arrays(columns, names)
+
+
+def test_long_fragments_take_no_rounds_of_others(monkeypatch):
+    rng = random.Random(8)
+    passage = bytes(rng.choice(b"abcdefgh ") for _ in range(600))
+    texts = [b"<" + passage + bytes([i]) + passage[:300] + b"z" * (150 + i) for i in range(1, 7)]
+    rows = cut_rows(texts)
+    wholes, widths = [], []
+    first_ids = suffix.first_ids
+
+    def seen(strings, ids, length):
+        widths.append({len(s) > 2 * length - suffix.ANCHOR for s in strings})
+        return first_ids(strings, ids, length)
+
+    monkeypatch.setattr(suffix, "first_ids", seen)
+    for size in (rows.num_rows, 7, 1):
+        batches = (rows.slice(at, size) for at in range(0, rows.num_rows, size))
+        found = [r for b in suffix._sorted_collections(batches, 50, suffix.ANCHOR) for r in b.to_pylist()]
+        wholes.append(sorted((r["slice"], r["idx"], r["at"] + k, r["first"]) for r in found for k in range(r["n"])))
+    assert wholes[0] == wholes[1] == wholes[2]
+    assert widths and all(len(w) == 1 for w in widths) and {True, False} == set().union(*widths)
+    # Every string of a fragment that a text before has as well, with the first such text.
+    data = {(r["slice"], r["idx"]): r["data"] for r in rows.to_pylist()}
+    string = lambda s, i, at: data[s, i][at : at + 50]
+    expected = []
+    for (s, i), d in data.items():
+        for at in range(len(d) - 49):
+            first = next(k for k, t in enumerate(texts) if string(s, i, at) in t)
+            if first < s:
+                expected.append((s, i, at, first))
+    assert wholes[0] == sorted(expected)

@@ -24,6 +24,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,7 +42,7 @@ COLLECTION_BYTES = 500_000
 _LAST = (1 << 63) - 1
 _END = 0xFF  # in no UTF-8 text
 _MASK = np.uint64((1 << 48) - 1)
-_BLOCK = 32
+_BLOCK = 128
 _WIDE = 1 << 20
 
 
@@ -71,16 +72,24 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
 
 def runs(text: bytes, length: int = LENGTH, anchor: int = ANCHOR) -> tuple[np.ndarray, np.ndarray]:
     """Anchors and first places of the runs of ``length``-byte strings with one anchor."""
+    return _hashed_runs(text, length, anchor)[:2]
+
+
+def _hashed_runs(text: bytes, length: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The same, and the hashes of all parts of a text that has a run."""
     if len(text) < length:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    anchors, starts = [], []
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    anchors, starts, parts = [], [], []
     for at in range(0, len(text) - length + 1, _WIDE):
         data = np.frombuffer(text[at : at + _WIDE + length - 1], np.uint8)
-        least = _sliding_min(_part_hashes(data, anchor), length - anchor + 1)
+        hashes = _part_hashes(data, anchor)
+        least = _sliding_min(hashes, length - anchor + 1)
         begin = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
         anchors.append(least[begin])
         starts.append(begin + at)
-    return np.concatenate(anchors), np.concatenate(starts)
+        # Windows overlap; what the next one has as well is left to it.
+        parts.append(hashes[:_WIDE] if at + _WIDE < len(text) - length + 1 else hashes)
+    return np.concatenate(anchors), np.concatenate(starts), np.concatenate(parts)
 
 
 def _pack(hashes: np.ndarray) -> bytes:
@@ -170,25 +179,25 @@ def _shared_anchors(batches):
 
 
 def fragments(text: bytes, wanted: np.ndarray, length: int = LENGTH, anchor: int = ANCHOR):
-    """(anchor, start, bytes, place of the anchor) of the runs with a wanted anchor.
+    """Anchors, starts, ends and places of the anchor of the runs with an anchor of the sorted ``wanted``.
 
     Long runs come in pieces. The place is -1 where the anchor is in the run more than once.
     """
-    anchors, starts = runs(text, length, anchor)
+    anchors, starts, hashes = _hashed_runs(text, length, anchor)
     stops = np.append(starts[1:], max(0, len(text) - length + 1))
-    chosen = np.flatnonzero(np.isin(anchors, wanted))
-    if not len(chosen):
-        return
+    found = np.minimum(np.searchsorted(wanted, anchors), len(wanted) - 1)
+    chosen = np.flatnonzero(wanted[found] == anchors)
     anchors, starts, stops = anchors[chosen], starts[chosen], stops[chosen]
-    hashes = _part_hashes(np.frombuffer(text, np.uint8), anchor)
     width = length - anchor + 1
     at = starts[:, None] + np.arange(2 * width)
     last = np.minimum(stops - 1 + width, len(hashes))
     there = (hashes[np.minimum(at, len(hashes) - 1)] == anchors[:, None]) & (at < last[:, None])
     place = np.where((there.sum(axis=1) == 1) & (stops - starts <= width), there.argmax(axis=1), -1)
-    for a, begin, stop, p in zip(anchors.tolist(), starts.tolist(), stops.tolist(), place.tolist()):
-        for at in range(begin, stop, FRAGMENT_STRINGS):
-            yield a, at, text[at : min(at + FRAGMENT_STRINGS, stop) + length - 1], p
+    count = -(-(stops - starts) // FRAGMENT_STRINGS)
+    piece = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+    begin = np.repeat(starts, count) + FRAGMENT_STRINGS * piece
+    end = np.minimum(begin + FRAGMENT_STRINGS, np.repeat(stops, count)) + length - 1
+    return np.repeat(anchors, count), begin, end, np.repeat(place, count)
 
 
 _CUT = (
@@ -220,69 +229,76 @@ def _parts(batches, rows: int = 256):
 def _fragment_rows(batches, length: int, anchor: int):
     """Per slice of rows its distinct fragments, and per row where it has which of them."""
 
-    def close(found: dict, rows: list[tuple]) -> pa.RecordBatch:
+    def close() -> pa.RecordBatch:
         number = int.from_bytes(os.urandom(8), "little") >> 1
-        out = [(number, i, a, data, *rest, None, None, None, None) for (a, data), (i, *rest) in found.items()]
-        out += [(number, *[None] * 6, *r) for r in rows]
-        ints = pa.list_(pa.int32())
-        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.int32(), *[pa.int64()] * 4, ints, ints]
-        columns = [pa.array(c, k) for c, k in zip(zip(*out), kinds)]
+        # A fragment's bytes have its anchor, so the bytes alone tell fragments apart.
+        coded = pa.array(data, pa.binary()).dictionary_encode()
+        idx, distinct = coded.indices.to_numpy(), len(coded.dictionary)
+        counts = [len(starts) for _, _, starts, _, _ in rows]
+        keys, marks = (np.array([r[i] for r in rows], np.int64) for i in range(2))
+        starts, anchors, places = (np.concatenate([r[i] for r in rows]) for i in range(2, 5))
+        owner = np.repeat(keys, counts)
+        anchor_of, place_of = np.empty(distinct, np.int64), np.empty(distinct, np.int32)
+        anchor_of[idx], place_of[idx] = anchors, places
+        least, most = np.full(distinct, _LAST), np.full(distinct, -_LAST - 1)
+        np.minimum.at(least, idx, owner)
+        np.maximum.at(most, idx, owner)
+        offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(c, pa.int32())) for c in (idx, starts)]
+        upper = [np.arange(distinct), anchor_of, coded.dictionary, place_of, least, most]
+        upper_kinds = [pa.int32(), pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int64()]
+        columns = [pa.array(np.full(distinct + len(rows), number))]
+        columns += [pa.concat_arrays([pa.array(c, k), pa.nulls(len(rows), k)]) for c, k in zip(upper, upper_kinds)]
+        columns += [pa.concat_arrays([pa.nulls(distinct, c.type), c]) for c in (pa.array(keys), pa.array(marks), *lists)]
         return pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in _CUT.split(", ")])
 
-    found, rows, size = {}, [], 0
+    data, rows, size = [], [], 0
     for batch in _parts(batches):
         columns = (batch.column(c).to_pylist() for c in ("key", "mark", "anchors"))
         for text, key, mark, lists in zip(_opened(batch.column("packed").to_pylist()), *columns):
-            idxs, starts = [], []
-            for a, at, data, place in fragments(text, np.unique(_unpack(b"".join(lists))), length, anchor):
-                i, _, least, most = found.get((a, data), (len(found), place, key, key))
-                found[a, data] = i, place, min(least, key), max(most, key)
-                idxs.append(i)
-                starts.append(at)
-            if idxs:
-                rows.append((key, mark, idxs, starts))
+            anchors, starts, ends, places = fragments(text, np.unique(_unpack(b"".join(lists))), length, anchor)
+            if len(starts):
+                data += [text[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
+                rows.append((key, mark, starts, anchors, places))
             size += len(text)
             if size >= SLICE_BYTES // 4:
                 if rows:
-                    yield close(found, rows)
-                found, rows, size = {}, [], 0
+                    yield close()
+                data, rows, size = [], [], 0
     if rows:
-        yield close(found, rows)
+        yield close()
 
 
 def _range_min(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """Smallest of ``values[low..high]`` for each pair; long ranges go by blocks."""
-    out = values[low].copy()
-
-    def walk(at: np.ndarray, first: np.ndarray, last: np.ndarray):
-        for step in range(_BLOCK):
-            here = first + step <= last
-            at, first, last = at[here], first[here], last[here]
-            if not len(at):
-                return
-            out[at] = np.minimum(out[at], values[first + step])
-
-    every = np.arange(len(low))
+    """Smallest of ``values[low..high]`` for each pair; long ranges go by blocks. The last value is in no range."""
     long = high - low >= 2 * _BLOCK
-    walk(every[~long], low[~long], np.minimum(high[~long], low[~long] + _BLOCK - 1))
-    rest = ~long & (high - low >= _BLOCK)
-    walk(every[rest], low[rest] + _BLOCK, high[rest])
-    if long.any():
-        at, low, high = every[long], low[long], high[long]
+    blocks = long.any()
+    out = _near_min(values, low, np.where(long, low, high) if blocks else high)
+    if blocks:
+        at, low, high = np.flatnonzero(long), low[long], high[long]
         first, last = -(-low // _BLOCK), (high + 1) // _BLOCK
-        walk(at, low, np.minimum(first * _BLOCK - 1, high))
-        walk(at, last * _BLOCK, high)
+        ends = _near_min(values, np.concatenate([low, last * _BLOCK - 1]), np.concatenate([first * _BLOCK, high]))
+        least = np.minimum(ends[: len(at)], ends[len(at) :])
         table = [np.minimum.reduceat(values, np.arange(0, len(values), _BLOCK))]
         while len(table[-1]) > 1 << (len(table) - 1):
             half = 1 << (len(table) - 1)
             table.append(np.minimum(table[-1][:-half], table[-1][half:]))
-        some = last > first
-        at, first, last = at[some], first[some], last[some]
-        level = np.floor(np.log2(np.maximum(last - first, 1))).astype(np.int64)
+        level = np.floor(np.log2(last - first)).astype(np.int64)
         for k in np.unique(level).tolist():
             pick = level == k
             a, b = table[k][first[pick]], table[k][last[pick] - (1 << k)]
-            out[at[pick]] = np.minimum(out[at[pick]], np.minimum(a, b))
+            least[pick] = np.minimum(least[pick], np.minimum(a, b))
+        out[at] = least
+    return out
+
+
+def _near_min(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The same, range by range; from the last one to the first, so that nothing between them is looked at."""
+    order = np.argsort(low)[::-1]
+    edges = np.empty(2 * len(order), np.int64)
+    edges[::2], edges[1::2] = low[order], high[order] + 1
+    out = np.empty(len(order), values.dtype)
+    out[order] = np.minimum.reduceat(values, edges)[::2]
     return out
 
 
@@ -297,34 +313,34 @@ class Collection:
         self.count = len(strings)
         # Two generations of files, mapped so that a round reads one and writes the other in order.
         room = int(self.sizes.sum()) + self.count
-        names = [(f"{folder}/symbols{k}", f"{folder}/common{k}") for k in range(2)]
-        self.files = [tuple(np.memmap(n, np.uint8, "w+", shape=room) for n in pair) for pair in names]
-        self.now, self.rows_now = 0, 0
+        # A row is a symbol and what it has in common with the row before.
+        self.files = [np.asarray(np.memmap(f"{folder}/rows{k}", np.uint8, "w+", shape=(room, 2))) for k in range(2)]
+        self.now, self.rows_now = 0, self.count
+        self.numbers = np.arange(room, dtype=np.int32)
         # Round 0: the ends of all strings, before which their last symbols stand.
-        self._write(self.flat[self.ends - 1], np.zeros(self.count, np.uint8))
+        self.files[0][: self.count, 0] = self.flat[self.ends - 1]
+        self.files[0][: self.count, 1] = 0
         self.rows = np.arange(self.count)
         for step in range(1, int(self.sizes.max()) + 1):
             self._insert(step)
 
-    def _write(self, symbols: np.ndarray, common: np.ndarray) -> None:
-        self.now, self.rows_now = 1 - self.now, len(symbols)
-        for file, values in zip(self.files[self.now], (symbols, common)):
-            file[: len(values)] = values
-
     def read(self) -> tuple[np.ndarray, np.ndarray]:
-        return tuple(np.asarray(f[: self.rows_now]) for f in self.files[self.now])
+        rows = self.files[self.now][: self.rows_now]
+        return np.ascontiguousarray(rows[:, 0]), np.ascontiguousarray(rows[:, 1])
 
     def _insert(self, step: int) -> None:
         """Insert the suffixes of ``step`` symbols; ``rows`` has where those of one less stand."""
         symbols, common = self.read()
+        common = np.append(common, np.uint8(0))
         active = np.flatnonzero(self.sizes >= step)
         rows = self.rows[active]
         # Rows by the symbol before them, which is the order of the longer suffixes.
         order = np.argsort(symbols, kind="stable")
-        total = len(order) - int((symbols == _END).sum())
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        new = place[rows]
+        # Strings that are in already stand before no symbol.
+        total = len(order) - (self.count - len(active))
+        place = np.empty(len(order), np.int32)
+        place[order] = self.numbers[: len(order)]
+        new = place[rows].astype(np.int64)
         mine = symbols[rows]
 
         def shared_with(before: np.ndarray, after: np.ndarray, same: np.ndarray) -> np.ndarray:
@@ -343,16 +359,16 @@ class Collection:
         both = shared_with(np.concatenate([before, rows]), np.concatenate([rows, after]), same)
         lcp, lcp_next = both[: len(rows)], both[len(rows) :]
         size = self.count + total
-        fresh_rows = np.zeros(size, bool)
-        fresh_rows[self.count + new] = True
-        next_symbols, next_common = np.empty(size, np.uint8), np.empty(size, np.uint8)
-        next_symbols[~fresh_rows], next_common[~fresh_rows] = symbols, common
+        old_rows = np.ones(size, bool)
+        old_rows[self.count + new] = False
+        former, self.now, self.rows_now = self.files[self.now][: len(symbols)], 1 - self.now, size
+        written = self.files[self.now][:size]
+        written.view(np.uint16)[:, 0][old_rows] = former.view(np.uint16)[:, 0]
         begin = self.ends[active] - self.sizes[active]
         at = self.ends[active] - step - 1
-        next_symbols[self.count + new] = np.where(at >= begin, self.flat[np.maximum(at, 0)], _END)
-        next_common[self.count + new] = lcp
-        next_common[self.count + follows[next_same]] = lcp_next[next_same]
-        self._write(next_symbols, next_common)
+        written[self.count + new, 0] = np.where(at >= begin, self.flat[np.maximum(at, 0)], _END)
+        written[self.count + new, 1] = lcp
+        written[self.count + follows[next_same], 1] = lcp_next[next_same]
         self.rows[active] = self.count + new
 
     def suffixes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -395,7 +411,8 @@ def _sorted_collections(batches, length: int, anchor_size: int):
     Rows come by anchor and bytes. Equal fragments of several slices are one member of a collection.
     A string reaches over its anchor by two thirds of its other bytes on the left or on the right,
     or else by a third on both sides. So a fragment of whose surroundings all of these are its own
-    shares no string and needs no sorting.
+    shares no string and needs no sorting. Members with strings beyond one occurrence of their anchor
+    are few but long; they have collections of their own, since each column takes a round.
     """
 
     def runs_of(member: tuple, least: np.ndarray, out: list[tuple]) -> None:
@@ -405,24 +422,25 @@ def _sorted_collections(batches, length: int, anchor_size: int):
             out += [(number, i, a, b - a, first) for number, i, most in member[2] if first < most]
 
     def close() -> pa.RecordBatch:
-        if held:
-            ids = np.array([m[1] for m in held], np.int64)
-            for m, least in zip(held, first_ids([m[0] for m in held], ids, length)):
-                runs_of(m, least, out)
-            held.clear()
         kinds = [pa.int64(), *[pa.int32()] * 3, pa.int64()]
         columns = [pa.array(c, k) for c, k in zip(list(zip(*out)) or [[]] * 5, kinds)]
         out.clear()
         return pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in _RUNS.split(", ")])
 
+    def sort(held: list[list]) -> None:
+        ids = np.array([m[1] for m in held], np.int64)
+        for m, least in zip(held, first_ids([m[0] for m in held], ids, length)):
+            runs_of(m, least, out)
+        held.clear()
+
     # A member: bytes, smallest id, its slices (slice, idx, largest id), whether to sort, anchor's place.
     others = length - anchor_size
     wide = 2 * others // 3 + 1
     narrow = others - wide + 1
     group: list[list] = []
-    held: list[list] = []
+    collections: dict[bool, list[list]] = {False: [], True: []}
+    sizes = {False: 0, True: 0}
     out: list[tuple] = []
-    size, present = 0, None
 
     def sides(data: bytes, place: int) -> list[tuple[int, bytes]]:
         """The anchor's surroundings of either size, where the fragment has so much."""
@@ -442,30 +460,73 @@ def _sorted_collections(batches, length: int, anchor_size: int):
                 count = Counter(k for found in keys for k in found)
                 for m, found in zip(group, keys):
                     m[3] = any(count[k] > 1 for k in found)
+        long = any(len(m[0]) > length + others for m in group)
         for m in group:
             if m[3]:
-                held.append(m)
+                collections[long].append(m)
+                sizes[long] += len(m[0])
             else:
                 out.extend((number, i, 0, len(m[0]) - length + 1, m[1]) for number, i, most in m[2] if m[1] < most)
 
-    for batch in batches:
-        columns = (batch.column(c).to_pylist() for c in ("anchor", "data", "place", "slice", "idx", "least", "most"))
+    def alone(rows: pa.Table, starts: np.ndarray) -> tuple[np.ndarray, pa.RecordBatch]:
+        """Which rows have an anchor that different fragments have, and the runs of all others."""
+        counts = np.diff(np.append(starts, rows.num_rows))
+        data = rows["data"].combine_chunks()
+        other = np.ones(rows.num_rows, bool)
+        other[1:] = pc.not_equal(data[1:], data[:-1]).to_numpy(zero_copy_only=False)
+        other[starts] = False
+        several = np.repeat(np.logical_or.reduceat(other, starts), counts)
+        first = np.repeat(np.minimum.reduceat(rows["least"].to_numpy(), starts), counts)
+        picked = np.flatnonzero(~several & (first < rows["most"].to_numpy()))
+        found = rows.select(["slice", "idx"]).take(pa.array(picked)).combine_chunks()
+        n = pc.binary_length(data).to_numpy()[picked] - length + 1
+        columns = [found["slice"], found["idx"], np.zeros(len(picked), np.int32), n, first[picked]]
+        return several, pa.RecordBatch.from_arrays(
+            [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else pa.array(c) for c in columns],
+            [f.split()[0] for f in _RUNS.split(", ")],
+        )
+
+    def take(rows: pa.Table):
+        """Rows of whole groups."""
+        anchors = rows["anchor"].to_numpy()
+        several, found = alone(rows, np.flatnonzero(np.concatenate([[True], anchors[1:] != anchors[:-1]])))
+        yield found
+        rows, present = rows.filter(pa.array(several)), None
+        columns = (rows[c].to_pylist() for c in ("anchor", "data", "place", "slice", "idx", "least", "most"))
         for anchor, data, place, number, i, least, most in zip(*columns):
             if anchor != present:
                 leave()
-                size += sum(len(m[0]) for m in group if m[3])
                 group.clear()
-                if size >= COLLECTION_BYTES or len(out) > GROUP_FRAGMENTS:
+                for held in (k for k in collections if sizes[k] >= COLLECTION_BYTES):
+                    sort(collections[held])
+                    sizes[held] = 0
+                if len(out) > GROUP_FRAGMENTS:
                     yield close()
-                    size = 0
                 present = anchor
             if group and group[-1][0] == data:
                 group[-1][1] = min(group[-1][1], least)
             else:
                 group.append([data, least, [], False, place])
             group[-1][2].append((number, i, most))
-    leave()
-    if held or out:
+        leave()
+        group.clear()
+
+    rest = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = rows if rest is None else pa.concat_tables([rest, rows]).combine_chunks()
+        anchors = rows["anchor"].to_numpy()
+        # The last anchor may go on in the next batch.
+        cut = int(np.searchsorted(anchors, anchors[-1])) if len(anchors) else 0
+        if cut:
+            yield from take(rows.slice(0, cut))
+        rest = rows.slice(cut)
+    if rest is not None and rest.num_rows:
+        yield from take(rest)
+    for held in collections.values():
+        if held:
+            sort(held)
+    if out:
         yield close()
 
 
