@@ -1,6 +1,7 @@
 import math
 from collections import Counter
 
+import pytest
 from rows import PASSAGE, by_id
 
 from tickloom.llm import quality
@@ -111,3 +112,21 @@ def test_no_python_runs(spark, sf_dir):
 
 def test_empty_table(spark):
     assert quality.quality(frame(spark, []).limit(0)).collect() == []
+
+
+def test_texts_are_measured_once(spark, sf_dir):
+    plan = op1_quality(spark, sf_dir)._jdf.queryExecution().toString()
+    assert "/measured-" in plan and "regexp_replace" not in plan and "documents.parquet" not in plan
+
+
+def test_words_around_the_length_of_common_ones(spark):
+    # Words of eight characters count, in any script; longer ones and texts without short words do not.
+    greek, long = "".join(chr(0x3B1 + k) for k in range(8)), "x" * 9
+    rows = [(k, " ".join([greek] * 90 + [f"{long}{k}"] * 30), "el") for k in range(3)]
+    rows += [(10, " ".join(f"{long}{k}" for k in range(120)), "el"), (11, "", "el"), (12, None, "el")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    reference = quality.references(df).where("lang = 'el'").first()
+    assert reference["words"] == [greek] and reference["documents"] == 4
+    assert reference["word_shares"] == pytest.approx([270 / 480, 210 / 480])
+    got = {r["doc_id"]: r["word_distance"] for r in quality.quality(df).collect()}
+    assert got[0] == got[1] == got[2] and 0 < got[0] < got[10] and got[11] is got[12] is None
