@@ -1,5 +1,7 @@
 import hashlib
+import os
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -140,3 +142,87 @@ def test_long_fragments_take_no_rounds_of_others(monkeypatch):
             if first < s:
                 expected.append((s, i, at, first))
     assert wholes[0] == sorted(expected)
+
+
+def shuffle_files(spark):
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {f for f in manager.getAllFiles().mkString("\n").split("\n") if "shuffle_" in f}
+
+
+def test_shuffles_of_written_tables_take_no_disk(spark):
+    before = shuffle_files(spark)
+    df = spark.createDataFrame(made_up(1, 60, 4), "doc_id long, text string")
+    found, _ = suffix.remove_repeats(df)
+    until = time.time() + 5
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.1)
+    assert not left and found.count() == df.count()
+
+
+def test_words_that_texts_share_by_chance_are_not_written(spark, monkeypatch):
+    rng = random.Random(3)
+    words = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(6, 8))) for _ in range(60)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(90))) for i in range(400)]
+    written, materialize = {}, suffix.materialize
+
+    def spy(df, name, *args, **options):
+        table = materialize(df, name, *args, **options)
+        written[name] = sum(os.path.getsize(f.removeprefix("file://")) for f in table.inputFiles())
+        return table
+
+    monkeypatch.setattr(suffix, "materialize", spy)
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    assert by_id(suffix.repeat_digests(df), *COLUMNS) == plain(rows)
+    assert written["fragments"] < 0.1 * sum(len(t) for _, t in rows)
+
+
+def test_fragments_are_dealt_in_few_bytes():
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("abcdefgh ") for _ in range(3000)) for _ in range(9)]
+    rows = [(i, rng.choice(texts)[a : a + 900] + f" {i}") for i, a in enumerate(rng.randint(0, 2000) for _ in range(40))]
+    batch = pa.RecordBatch.from_pydict({"text": [t for _, t in rows], "key": [i for i, _ in rows]})
+    options = {"buckets": 3, "length": 50, "anchor": suffix.ANCHOR, "text_col": "text"}
+    packed = pa.Table.from_batches(suffix._packed_slices([batch], "text", "key"))
+    requests = pa.Table.from_batches(suffix._requests(packed.to_batches(), **options)).sort_by("bucket")
+    replies = list(suffix._replies(requests.to_batches()))
+    assert not any(any(r["bits"]) for b in replies for r in b.to_pylist())  # no other slice is there
+    struct = [{k: r[k] for k in ("bucket", "bits")} for b in replies for r in b.to_pylist()]
+    columns = [packed["slice"].to_pylist(), packed["packed"].to_pylist(), [struct], [[]]]
+    one = pa.RecordBatch.from_pydict(dict(zip(("slice", "packed", "replies", "copies"), columns)))
+    cut = list(suffix._cut_slices([one], **options, key="key"))
+    classes = suffix._class_rows(*(cut[0].column(c)[0].as_py() for c in ("slice", "classes")), suffix.ANCHOR)
+    dealt = list(suffix._dealt(cut, 3, np.zeros(0, np.int64), suffix.ANCHOR))
+    assert sum(len(r["rows"]) for b in dealt for r in b.to_pylist()) < 0.7 * classes.nbytes
+    found = list(suffix._bucket_runs(iter(dealt), 50, suffix.ANCHOR))
+    places = cut[0].column("places")[0].as_py()
+    ends = np.cumsum([len(t) for _, t in rows])
+    gone = suffix._gone(ends, np.arange(len(rows)), [], places, [r["found"] for b in found for r in b.to_pylist()], 50)
+    assert np.add.reduceat(gone.astype(int), np.append(0, ends[:-1])).tolist() == [r[2] for r in sorted(plain(rows), key=lambda r: r[0])]
+
+
+def test_anchors_of_fragments_follow_from_their_bytes():
+    rng = random.Random(9)
+    text = bytes(rng.choice(b"abcdefgh ") for _ in range(2000)) + b"z" * 300 + b"xyz" * 70
+    anchors, begin, end, place = suffix.fragments(text, np.unique(suffix.runs(text)[0]))
+    assert {True, False} == set((place < 0).tolist())
+    data = np.frombuffer(b"".join(text[a:b] for a, b in zip(begin, end)), np.uint8)
+    assert suffix._anchors_of(end - begin, place, data, suffix.ANCHOR).tolist() == anchors.tolist()
+
+
+def test_codes_are_held_against_other_slices():
+    rng = random.Random(2)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(200))
+    options = {"buckets": 5, "length": 50, "anchor": suffix.ANCHOR, "text_col": "text"}
+    requests, of = [], {}
+    for texts in (["a" * 60 + passage, passage], ["b" * 60 + passage], ["c" * 90]):
+        batch = pa.RecordBatch.from_pydict({"text": texts, "key": list(range(len(texts)))})
+        (packed,) = suffix._packed_slices([batch], "text", "key")
+        requests += suffix._requests([packed], **options)
+        of[packed.column("slice")[0].as_py()] = set(np.concatenate([suffix.runs(t.encode())[0] for t in texts]).tolist())
+    table = pa.Table.from_batches(requests).sort_by("bucket")
+    shared = dict.fromkeys(of, 0)
+    for batch in suffix._replies(table.to_batches()):
+        for r in batch.to_pylist():
+            shared[r["slice"]] += int(np.unpackbits(np.frombuffer(r["bits"], np.uint8)).sum())
+    assert shared == {k: len(v & set().union(*(o for j, o in of.items() if j != k))) for k, v in of.items()}
+    assert sorted(shared.values())[0] == 0 and sorted(shared.values())[1] > 0

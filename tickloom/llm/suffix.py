@@ -6,6 +6,11 @@ anchor. So documents are cut into fragments, runs of strings with one anchor; fr
 occurs in one document alone are dropped, and the others meet by anchor. Equal fragments are one,
 with the smallest id; one that shares its anchor's surroundings with none needs no sorting.
 
+Rows are packed into numbered slices, which are written once. What slices tell each other travels
+in packed columns: the codes of a slice's anchors by bucket, a bit for each that another slice has
+too, the fragments of several slices by bucket, and the spans found of each. Shuffles that a written
+table has made useless are let go at once, so that they take no disk beside the next ones.
+
 A task sorts the suffixes of its fragments column by column: each round inserts one symbol of every
 fragment, from the last to the first, into the collection's Burrows-Wheeler transform and updates
 the common prefixes of neighbours, reading the former files front to back and writing the next.
@@ -17,6 +22,7 @@ from each other. Null and empty texts have no bytes. Of whole copies all but tho
 id go entirely. Other columns stay as they are.
 """
 
+import hashlib
 import os
 import tempfile
 from collections import Counter
@@ -28,39 +34,79 @@ import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StructField, StructType
+from pyspark.sql.types import StructType
 
-from tickloom.llm.text import SLICE_BYTES, fresh, give_back, map_texts, texts
-from tickloom.sources.stage import materialize
+from tickloom.llm.text import fresh, give_back, map_texts, slices, texts
+from tickloom.sources.stage import materialize, shuffles_let_go
 
 LENGTH = 50
-ANCHOR = 16
+# Long enough that texts hardly share one by chance, however many they are; it changes no result.
+ANCHOR = 32
 FRAGMENT_STRINGS = 64
 # Fragments of one anchor, and bytes of one collection, that a task sorts.
 GROUP_FRAGMENTS = 20_000
 COLLECTION_BYTES = 500_000
+# Bytes of text for each bucket that a task holds, and of fragments that are dealt to buckets at once.
+BUCKET_BYTES = 16 << 20
+DEALT_BYTES = 16 << 20
 _LAST = (1 << 63) - 1
 _END = 0xFF  # in no UTF-8 text
 _MASK = np.uint64((1 << 48) - 1)
+_FACTOR = 0xBF58476D1CE4E5B9
 _BLOCK = 128
-_WIDE = 1 << 20
+_WIDE = 1 << 15  # places that are hashed at once, so that all of it stays in a cache
 
 
 def _part_hashes(data: np.ndarray, size: int) -> np.ndarray:
     """48-bit hashes of all ``size``-byte parts; ``size`` is a power of two."""
-    h = (data.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-    h ^= h >> np.uint64(32)
-    step, factor = 1, 0xBF58476D1CE4E5B9
+    h = _spread(data)
+    step, factor = 1, _FACTOR
     while step < size:
         h = h[:-step] * np.uint64(factor) + h[step:]
         factor = (factor * factor + 2) % (1 << 64)
         step *= 2
+    return _finished(h)
+
+
+def _spread(data: np.ndarray) -> np.ndarray:
+    h = (data.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    return h ^ h >> np.uint64(32)
+
+
+def _finished(h: np.ndarray) -> np.ndarray:
     h ^= h >> np.uint64(31)
     h *= np.uint64(0x94D049BB133111EB)
     h ^= h >> np.uint64(29)
     return h & _MASK
 
 
+def _anchors_of(sizes: np.ndarray, places: np.ndarray, data: np.ndarray, anchor: int) -> np.ndarray:
+    """Anchors of fragments that stand in one buffer: the hash of the part at its place, else the least one."""
+    sizes = sizes.astype(np.int64)
+    begin, out = np.cumsum(sizes) - sizes, np.empty(len(sizes), np.uint64)
+    at = (begin + places)[places >= 0]
+    # A part's hash is a sum of its spread bytes, each times a factor of its place.
+    factors, factor = [1], _FACTOR
+    while len(factors) < anchor:
+        factors = [f * factor % (1 << 64) for f in factors] + factors
+        factor = (factor * factor + 2) % (1 << 64)
+    table, h = _spread(np.arange(256, dtype=np.uint8)), np.zeros(len(at), np.uint64)
+    for k, f in enumerate(factors):
+        h += table[data[at + k]] * np.uint64(f)
+    out[places >= 0] = _finished(h)
+    rest = np.flatnonzero(places < 0)
+    if len(rest):
+        n = sizes[rest]
+        ends = np.cumsum(n)
+        offset = np.arange(ends[-1]) - np.repeat(ends - n, n)
+        hashes = np.full(len(offset), _MASK)
+        parts = _part_hashes(data[np.repeat(begin[rest], n) + offset], anchor)
+        inside = (offset <= np.repeat(n, n) - anchor)[: len(parts)]
+        hashes[: len(parts)][inside] = parts[inside]
+        out[rest] = np.minimum.reduceat(hashes, ends - n)
+    return out.astype(np.int64)
+
+
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     step = 1
     while 2 * step <= width:
@@ -72,203 +118,313 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
 
 def runs(text: bytes, length: int = LENGTH, anchor: int = ANCHOR) -> tuple[np.ndarray, np.ndarray]:
     """Anchors and first places of the runs of ``length``-byte strings with one anchor."""
-    return _hashed_runs(text, length, anchor)[:2]
-
-
-def _hashed_runs(text: bytes, length: int, anchor: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The same, and the hashes of all parts of a text that has a run."""
-    if len(text) < length:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
-    anchors, starts, parts = [], [], []
-    for at in range(0, len(text) - length + 1, _WIDE):
-        data = np.frombuffer(text[at : at + _WIDE + length - 1], np.uint8)
-        hashes = _part_hashes(data, anchor)
+    return _hashed_runs(text, np.array([len(text)]), length, anchor)[:2]
+
+
+def _hashed_runs(
+    flat: bytes, ends: np.ndarray, length: int, anchor: int, hashed: bool = False
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The same for texts that stand in one buffer, the places behind the runs, and the parts' hashes if asked for."""
+    data = np.frombuffer(flat, np.uint8)
+    whole = np.zeros(len(data) + 1, bool)
+    for begin, end in zip([0, *ends[:-1].tolist()], ends.tolist()):
+        whole[begin : max(begin, end - length + 1)] = True
+    parts = np.zeros(len(data) if hashed else 0, np.uint64)
+    anchors, starts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    before = np.zeros(1, np.uint64)
+    for at in range(0, len(data) - length + 1, _WIDE):
+        hashes = _part_hashes(data[at : at + _WIDE + length - 1], anchor)
+        if hashed:
+            parts[at : at + len(hashes)] = hashes
         least = _sliding_min(hashes, length - anchor + 1)
-        begin = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
+        here = whole[at : at + len(least)]
+        new = here & (least != np.concatenate([before, least[:-1]]))
+        # A text's first string begins a run, whatever stands before it.
+        new |= here & ~np.concatenate([whole[at - 1 : at] if at else whole[-1:], here[:-1]])
+        begin = np.flatnonzero(new)
         anchors.append(least[begin])
         starts.append(begin + at)
-        # Windows overlap; what the next one has as well is left to it.
-        parts.append(hashes[:_WIDE] if at + _WIDE < len(text) - length + 1 else hashes)
-    return np.concatenate(anchors), np.concatenate(starts), np.concatenate(parts)
+        before = least[-1:]
+    anchors, starts = np.concatenate(anchors), np.concatenate(starts)
+    stops = ends[np.searchsorted(ends, starts, "right")] - length + 1
+    stops[:-1] = np.minimum(stops[:-1], starts[1:])
+    return anchors, starts, stops, parts
 
 
-def _pack(hashes: np.ndarray) -> bytes:
-    return hashes.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+def _pieces(
+    anchors: np.ndarray, starts: np.ndarray, stops: np.ndarray, parts: np.ndarray, length: int, anchor: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchors, starts, ends and places of the anchor of runs; long runs come in pieces.
 
+    The place is -1 where the anchor is in the run more than once.
+    """
+    width = length - anchor + 1
+    at = starts[:, None] + np.arange(2 * width)
+    last = stops - 1 + width
+    there = (parts[np.minimum(at, max(0, len(parts) - 1))] == anchors[:, None]) & (at < last[:, None])
+    place = np.where((there.sum(axis=1) == 1) & (stops - starts <= width), there.argmax(axis=1), -1)
+    count = -(-(stops - starts) // FRAGMENT_STRINGS)
+    piece = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+    begin = np.repeat(starts, count) + FRAGMENT_STRINGS * piece
+    end = np.minimum(begin + FRAGMENT_STRINGS, np.repeat(stops, count)) + length - 1
+    return np.repeat(anchors, count), begin, end, np.repeat(place, count)
 
-def _unpack(data: bytes) -> np.ndarray:
-    out = np.zeros((len(data) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
-    return out.reshape(-1).view("<u8").astype(np.uint64)
 
+def fragments(text: bytes, wanted: np.ndarray, length: int = LENGTH, anchor: int = ANCHOR):
+    """Anchors, starts, ends and places of the anchor of the runs with an anchor of ``wanted``."""
+    anchors, starts, stops, parts = _hashed_runs(text, np.array([len(text)]), length, anchor, hashed=True)
+    chosen = np.isin(anchors, wanted)
+    return _pieces(anchors[chosen], starts[chosen], stops[chosen], parts, length, anchor)
 
-def _anchor_rows(batch: pa.RecordBatch, buckets: int, length: int, anchor: int) -> pa.RecordBatch:
-    """Anchors of a slice by bucket; one entry per anchor, and those of several ids as found.
 
-    An anchor that several ids of the slice have is known to be shared, so its ids go straight on,
-    and one entry tells the other slices. So a frequent anchor costs an entry per slice.
-    """
-    keys = batch.column("key").to_numpy()
-    found = [np.unique(runs(t, length, anchor)[0]) for t in texts(batch, "text")]
-    sizes = [len(f) for f in found]
-    hashes = np.concatenate(found) if found else np.zeros(0, np.uint64)
-    owner = np.repeat(keys, sizes)
-    order = np.lexsort((owner, hashes))
-    hashes, owner = hashes[order], owner[order]
-    first = np.concatenate([[True], hashes[1:] != hashes[:-1]]) if len(hashes) else np.zeros(0, bool)
-    group = np.cumsum(first) - 1
-    start = np.flatnonzero(first)
-    stop = np.concatenate([start[1:], [len(hashes)]]).astype(np.int64) if len(start) else start
-    several = (owner[start] != owner[stop - 1])[group] if len(start) else np.zeros(0, bool)
-    out = []
-    # To the buckets in the order of ids, whose bytes then repeat.
-    lone, mine = hashes[first], owner[first]
-    bucket = (lone % np.uint64(buckets)).astype(np.int64)
-    order = np.lexsort((mine, bucket))
-    lone, mine, bucket = lone[order], mine[order], bucket[order]
-    cuts = [*np.flatnonzero(np.diff(bucket, prepend=-1)).tolist(), len(bucket)]
-    for a, b in zip(cuts, cuts[1:]):
-        out.append((int(bucket[a]), False, mine[a:b].astype("<i8").tobytes(), _pack(lone[a:b])))
-    if several.any():
-        spread = int(hashes[several][0] % np.uint64(buckets))
-        out.append((spread, True, owner[several].astype("<i8").tobytes(), _pack(hashes[several])))
-    columns = list(zip(*out)) or [[]] * 4
-    kinds = [pa.int64(), pa.bool_(), pa.binary(), pa.binary()]
-    return pa.RecordBatch.from_arrays(
-        [pa.array(c, k) for c, k in zip(columns, kinds)], ["bucket", "known", "keys", "hashes"]
-    )
+def _squeezed(*arrays: np.ndarray) -> bytes:
+    """Arrays as compressed bytes; who reads them knows their types."""
+    sizes = np.array([a.nbytes for a in arrays], np.int64)
+    return zstandard.ZstdCompressor(3).compress(b"".join([sizes.tobytes(), *(a.tobytes() for a in arrays)]))
 
 
-def _shared_anchors(batches):
-    """(key, anchors) for anchors with more than one entry, and for those known already."""
+def _opened(packed: bytes, *kinds: str) -> list[np.ndarray]:
+    raw = zstandard.ZstdDecompressor().decompress(packed)
+    sizes = np.frombuffer(raw, np.int64, len(kinds))
+    ends = np.cumsum(sizes) + sizes.nbytes
+    return [np.frombuffer(raw[e - n : e], k) for e, n, k in zip(ends.tolist(), sizes.tolist(), kinds)]
 
-    def by_key(keys: np.ndarray, hashes: np.ndarray) -> pa.RecordBatch:
-        order = np.argsort(keys, kind="stable")
-        keys, hashes = keys[order], hashes[order]
-        cuts = [*np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])).tolist(), len(keys)]
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(keys[cuts[:-1]], pa.int64()),
-                pa.array([_pack(hashes[a:b]) for a, b in zip(cuts, cuts[1:])], pa.binary()),
-            ],
-            ["key", "hashes"],
-        )
 
-    bucket, held = None, []
+def _planes(numbers: np.ndarray) -> np.ndarray:
+    """The first bytes of all numbers, then the second ones and so on, which compresses better."""
+    return np.ascontiguousarray(numbers.view(np.uint8).reshape(len(numbers), numbers.itemsize).T)
 
-    def close():
-        if held:
-            keys, hashes = np.concatenate([h[0] for h in held]), np.concatenate([h[1] for h in held])
-            held.clear()
-            _, at, count = np.unique(hashes, return_inverse=True, return_counts=True)
-            many = count[at] > 1
-            if many.any():
-                yield by_key(keys[many], hashes[many])
 
+def _numbers(planes: np.ndarray, kind: str) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(planes.reshape(size, -1).T).reshape(-1).view(kind)
+
+
+_SLICES = "slice long, packed binary, keys array<long>, sizes array<long>, shas array<binary>"
+
+
+def _batch(schema: str, columns: list, kinds: list[pa.DataType]) -> pa.RecordBatch:
+    names = [f.split()[0] for f in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+
+def _packed_slices(batches, text_col: str, key: str):
+    """Rows in numbered slices, all columns of one packed together, and what tells whole copies apart."""
+    for batch in slices(batches, text_col):
+        number = int.from_bytes(os.urandom(8), "little") >> 1
+        raw = texts(batch, text_col)
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, batch.schema) as stream:
+            stream.write_batch(batch)
+        packed = zstandard.ZstdCompressor(3).compress(sink.getvalue())
+        row = ([number], [packed], [batch.column(key).to_pylist()], [[len(t) for t in raw]], [[hashlib.sha256(t).digest() for t in raw]])
+        yield _batch(_SLICES, row, [pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.binary())])
+
+
+def _rows(packed: bytes) -> pa.RecordBatch:
+    return pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(packed)).read_next_batch()
+
+
+def _each(batches, *columns: str):
+    """The rows' values, of one row at a time, as they may be large."""
     for batch in batches:
-        for row in batch.to_pylist():
-            keys, hashes = np.frombuffer(row["keys"], "<i8"), _unpack(row["hashes"])
-            if row["known"]:
-                yield by_key(keys, hashes)
-                continue
-            if row["bucket"] != bucket:
-                yield from close()
-                bucket = row["bucket"]
-            held.append((keys, hashes))
-    yield from close()
+        for at in range(batch.num_rows):
+            yield [batch.column(c)[at].as_py() for c in columns]
 
 
-def fragments(text: bytes, wanted: np.ndarray, length: int = LENGTH, anchor: int = ANCHOR):
-    """Anchors, starts, ends and places of the anchor of the runs with an anchor of the sorted ``wanted``.
+def _flat(rows: pa.RecordBatch, text_col: str) -> tuple[bytes, np.ndarray]:
+    """All texts of a slice, and where each ends."""
+    raw = texts(rows, text_col)
+    return b"".join(raw), np.cumsum([len(t) for t in raw])
 
-    Long runs come in pieces. The place is -1 where the anchor is in the run more than once.
-    """
-    anchors, starts, hashes = _hashed_runs(text, length, anchor)
-    stops = np.append(starts[1:], max(0, len(text) - length + 1))
-    found = np.minimum(np.searchsorted(wanted, anchors), len(wanted) - 1)
-    chosen = np.flatnonzero(wanted[found] == anchors)
-    anchors, starts, stops = anchors[chosen], starts[chosen], stops[chosen]
-    width = length - anchor + 1
-    at = starts[:, None] + np.arange(2 * width)
-    last = np.minimum(stops - 1 + width, len(hashes))
-    there = (hashes[np.minimum(at, len(hashes) - 1)] == anchors[:, None]) & (at < last[:, None])
-    place = np.where((there.sum(axis=1) == 1) & (stops - starts <= width), there.argmax(axis=1), -1)
-    count = -(-(stops - starts) // FRAGMENT_STRINGS)
-    piece = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-    begin = np.repeat(starts, count) + FRAGMENT_STRINGS * piece
-    end = np.minimum(begin + FRAGMENT_STRINGS, np.repeat(stops, count)) + length - 1
-    return np.repeat(anchors, count), begin, end, np.repeat(place, count)
 
+def _codes(anchors: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket of each anchor, then 32 more bits; two that have one code are only cut for nothing."""
+    rest, bucket = np.divmod(anchors, np.uint64(buckets))
+    return bucket << np.uint64(32) | rest & np.uint64(0xFFFFFFFF)
 
-_CUT = (
-    "slice long, idx int, anchor long, data binary, place int, least long, most long, "
-    "key long, mark long, idxs array<int>, starts array<int>"
-)
 
+_REQUESTS = "bucket long, slice long, codes binary"
 
-def _packed(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """Texts as compressed bytes, for shuffles of whole texts; a null stays one."""
-    pack = zstandard.ZstdCompressor(3).compress
-    raw = batch.column("text").cast(pa.binary()).to_pylist()
-    packed = pa.array([None if t is None else pack(t) for t in raw], pa.binary())
-    return pa.RecordBatch.from_arrays([*batch.columns[:-1], packed], [*batch.schema.names[:-1], "packed"])
 
+def _requests(batches, buckets: int, length: int, anchor: int, text_col: str):
+    """The codes of a slice's anchors by bucket, once each."""
+    for number, packed in _each(batches, "slice", "packed"):
+        found = _hashed_runs(*_flat(_rows(packed), text_col), length, anchor)[0]
+        codes = np.unique(_codes(found, buckets))
+        bucket = (codes >> np.uint64(32)).astype(np.int64)
+        cuts = [*np.flatnonzero(np.diff(bucket, prepend=-1)).tolist(), len(codes)]
+        low = codes.astype(np.uint32)
+        packs = [_squeezed(_planes(np.diff(low[a:b], prepend=np.uint32(0)))) for a, b in zip(cuts, cuts[1:])]
+        yield _batch(_REQUESTS, [bucket[cuts[:-1]], np.full(len(packs), number), packs], [pa.int64(), pa.int64(), pa.binary()])
 
-def _opened(packed: list[bytes | None]) -> list[bytes]:
-    unpack = zstandard.ZstdDecompressor().decompress
-    return [unpack(p) if p else b"" for p in packed]
 
+_REPLIES = "slice long, bucket long, bits binary"
 
-def _parts(batches, rows: int = 256):
-    """Smaller batches, whose texts are opened together."""
-    for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
 
+def _replies(batches):
+    """For each code of a slice a bit that tells whether another slice has it as well."""
+    bucket, numbers, held = None, [], []
 
-def _fragment_rows(batches, length: int, anchor: int):
-    """Per slice of rows its distinct fragments, and per row where it has which of them."""
+    def close():
+        if not held:
+            return
+        sizes = [len(h) for h in held]
+        entries = np.concatenate(held).astype(np.uint64) << np.uint64(32) | np.arange(sum(sizes), dtype=np.uint64)
+        entries.sort()
+        same = (entries[1:] >> np.uint64(32)) == (entries[:-1] >> np.uint64(32))
+        many = np.append(same, False) | np.insert(same, 0, False)
+        shared = np.zeros(len(entries), bool)
+        shared[(entries & np.uint64(0xFFFFFFFF))[many].astype(np.int64)] = True
+        bits = [np.packbits(b).tobytes() for b in np.split(shared, np.cumsum(sizes)[:-1])]
+        yield _batch(_REPLIES, [numbers, [bucket] * len(bits), bits], [pa.int64(), pa.int64(), pa.binary()])
+        numbers.clear()
+        held.clear()
 
-    def close() -> pa.RecordBatch:
-        number = int.from_bytes(os.urandom(8), "little") >> 1
+    for at, number, codes in _each(batches, "bucket", "slice", "codes"):
+        if at != bucket:
+            yield from close()
+            bucket = at
+        numbers.append(number)
+        held.append(np.cumsum(_numbers(_opened(codes, "u1")[0], "<u4"), dtype=np.uint32))
+    yield from close()
+
+
+_CUT = "slice long, classes binary, places binary, many array<struct<anchor:long,count:long>>"
+# Size, anchor's place, smallest id, what the largest is over it, and the bytes of all fragments.
+_CLASSES = ("<u2", "<i2", "u1", "u1", "u1")
+
+
+def _class_columns(sizes, places, least, most, data) -> list[np.ndarray]:
+    ids = (_planes(c.astype("<i8")) for c in (np.diff(least, prepend=np.int64(0)), most - least))
+    return [sizes.astype("<u2"), places.astype("<i2"), *ids, data]
+
+
+def _classes_from(columns: list[np.ndarray]) -> list[np.ndarray]:
+    sizes, places, least, over, data = columns
+    least = np.cumsum(_numbers(least, "<i8"))
+    return [sizes, places, least, least + _numbers(over, "<i8"), data]
+
+
+def _cut_slices(batches, buckets: int, length: int, anchor: int, text_col: str, key: str):
+    """A slice's distinct fragments whose anchor other rows have too, and where it has which of them."""
+    struct = pa.struct([("anchor", pa.int64()), ("count", pa.int64())])
+    for number, packed, replies, copies in _each(batches, "slice", "packed", "replies", "copies"):
+        rows = _rows(packed)
+        flat, ends = _flat(rows, text_col)
+        anchors, starts, stops, parts = _hashed_runs(flat, ends, length, anchor, hashed=True)
+        if not len(anchors):
+            continue
+        codes = _codes(anchors, buckets)
+        order = np.argsort(codes)
+        codes = codes[order]
+        first = np.concatenate([[True], codes[1:] != codes[:-1]])
+        distinct, group = np.flatnonzero(first), np.cumsum(first) - 1
+        # What other slices have.
+        bits = {r["bucket"]: np.unpackbits(np.frombuffer(r["bits"], np.uint8)) for r in replies}
+        bucket = (codes[distinct] >> np.uint64(32)).astype(np.int64)
+        cuts = [*np.flatnonzero(np.diff(bucket, prepend=-1)).tolist(), len(bucket)]
+        shared = np.concatenate([bits[bucket[a]][: b - a] for a, b in zip(cuts, cuts[1:])]).astype(bool)
+        # What other rows of this slice have; whole copies neither count nor are cut.
+        kept = np.ones(len(ends), bool)
+        kept[copies or []] = False
+        row = np.searchsorted(ends, starts, "right")
+        owner = row[order]
+        least = np.minimum.reduceat(np.where(kept[owner], owner, len(ends)), distinct)
+        shared |= least < np.maximum.reduceat(np.where(kept[owner], owner, -1), distinct)
+        chosen = np.zeros(len(anchors), bool)
+        chosen[order] = shared[group]
+        chosen &= kept[row]
+        if not chosen.any():
+            continue
+        anchors, begin, end, place = _pieces(anchors[chosen], starts[chosen], stops[chosen], parts, length, anchor)
         # A fragment's bytes have its anchor, so the bytes alone tell fragments apart.
-        coded = pa.array(data, pa.binary()).dictionary_encode()
-        idx, distinct = coded.indices.to_numpy(), len(coded.dictionary)
-        counts = [len(starts) for _, _, starts, _, _ in rows]
-        keys, marks = (np.array([r[i] for r in rows], np.int64) for i in range(2))
-        starts, anchors, places = (np.concatenate([r[i] for r in rows]) for i in range(2, 5))
-        owner = np.repeat(keys, counts)
-        anchor_of, place_of = np.empty(distinct, np.int64), np.empty(distinct, np.int32)
-        anchor_of[idx], place_of[idx] = anchors, places
-        least, most = np.full(distinct, _LAST), np.full(distinct, -_LAST - 1)
+        coded = pa.array([flat[a:b] for a, b in zip(begin.tolist(), end.tolist())], pa.binary()).dictionary_encode()
+        idx, n = coded.indices.to_numpy(), len(coded.dictionary)
+        owner = rows.column(key).to_numpy()[np.searchsorted(ends, begin, "right")]
+        anchor_of, size_of, place_of = np.empty(n, np.int64), np.empty(n, np.int64), np.empty(n, np.int64)
+        anchor_of[idx], size_of[idx], place_of[idx] = anchors, end - begin, place
+        least, most = np.full(n, _LAST), np.full(n, -_LAST - 1)
         np.minimum.at(least, idx, owner)
         np.maximum.at(most, idx, owner)
-        offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-        lists = [pa.ListArray.from_arrays(offsets, pa.array(c, pa.int32())) for c in (idx, starts)]
-        upper = [np.arange(distinct), anchor_of, coded.dictionary, place_of, least, most]
-        upper_kinds = [pa.int32(), pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int64()]
-        columns = [pa.array(np.full(distinct + len(rows), number))]
-        columns += [pa.concat_arrays([pa.array(c, k), pa.nulls(len(rows), k)]) for c, k in zip(upper, upper_kinds)]
-        columns += [pa.concat_arrays([pa.nulls(distinct, c.type), c]) for c in (pa.array(keys), pa.array(marks), *lists)]
-        return pa.RecordBatch.from_arrays(columns, [f.split()[0] for f in _CUT.split(", ")])
-
-    data, rows, size = [], [], 0
-    for batch in _parts(batches):
-        columns = (batch.column(c).to_pylist() for c in ("key", "mark", "anchors"))
-        for text, key, mark, lists in zip(_opened(batch.column("packed").to_pylist()), *columns):
-            anchors, starts, ends, places = fragments(text, np.unique(_unpack(b"".join(lists))), length, anchor)
-            if len(starts):
-                data += [text[a:b] for a, b in zip(starts.tolist(), ends.tolist())]
-                rows.append((key, mark, starts, anchors, places))
-            size += len(text)
-            if size >= SLICE_BYTES // 4:
-                if rows:
-                    yield close()
-                data, rows, size = [], [], 0
-    if rows:
+        data = np.frombuffer(b"".join(coded.dictionary.to_pylist()), np.uint8)
+        classes = _squeezed(*_class_columns(size_of, place_of, least, most, data))
+        steps = (np.diff(c.astype("<i4"), prepend=np.int32(0)) for c in (idx, begin))
+        # An anchor that no slice has with several fragments has one a slice at most, and is not counted.
+        several, count = np.unique(anchor_of, return_counts=True)
+        many = [{"anchor": a, "count": c} for a, c in zip(several[count > 1].tolist(), count[count > 1].tolist())]
+        row = ([number], [classes], [_squeezed(*steps)], [many])
+        yield _batch(_CUT, row, [pa.int64(), pa.binary(), pa.binary(), pa.list_(struct)])
+
+
+_KINDS = {
+    "anchor": pa.int64(), "data": pa.binary(), "place": pa.int32(), "slice": pa.int64(),
+    "idx": pa.int32(), "least": pa.int64(), "most": pa.int64(),
+}
+
+
+def _binary(sizes: np.ndarray, data: np.ndarray) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def _class_rows(number: int, classes: bytes, anchor: int) -> pa.RecordBatch:
+    sizes, places, least, most, data = _classes_from(_opened(classes, *_CLASSES))
+    n, anchors = len(sizes), _anchors_of(sizes, places, data, anchor)
+    columns = [anchors, _binary(sizes, data), places, np.full(n, number), np.arange(n), least, most]
+    return pa.RecordBatch.from_arrays(
+        [c if isinstance(c, pa.Array) else pa.array(c.astype(k.to_pandas_dtype())) for c, k in zip(columns, _KINDS.values())],
+        list(_KINDS),
+    )
+
+
+_DEALT = "bucket long, rows binary"
+
+
+def _dealt(batches, buckets: int, large: np.ndarray, anchor: int):
+    """Fragments of usual anchors, of several slices at a time, by bucket."""
+    held, size = [], 0
+
+    def close():
+        rows = pa.Table.from_batches(held).combine_chunks()
+        held.clear()
+        bucket = rows["anchor"].to_numpy() % buckets
+        order = np.argsort(bucket, kind="stable")
+        bucket, rows = bucket[order], rows.take(pa.array(order)).combine_chunks()
+        cuts = [*np.flatnonzero(np.diff(bucket, prepend=-1)).tolist(), len(bucket)]
+        packs = []
+        for a, b in zip(cuts, cuts[1:]):
+            part = rows.slice(a, b - a)
+            data = part["data"].combine_chunks()
+            ends = np.frombuffer(data.buffers()[1], np.int32)[data.offset : data.offset + len(data) + 1]
+            places, numbers, idx, least, most = (part[c].to_numpy() for c in ("place", "slice", "idx", "least", "most"))
+            there = np.frombuffer(data.buffers()[2], np.uint8)[ends[0] : ends[-1]]
+            idx = _planes(np.diff(idx, prepend=np.int32(0)))
+            packs.append(_squeezed(*_class_columns(np.diff(ends), places, least, most, there), numbers, idx))
+        return _batch(_DEALT, [bucket[cuts[:-1]], packs], [pa.int64(), pa.binary()])
+
+    for number, classes in _each(batches, "slice", "classes"):
+        rows = _class_rows(number, classes, anchor)
+        if len(large):
+            rows = rows.filter(pa.array(~np.isin(rows.column("anchor").to_numpy(), large)))
+        if rows.num_rows:
+            held.append(rows)
+            size += rows.nbytes
+        if held and size >= DEALT_BYTES:
+            yield close()
+            size = 0
+    if held:
         yield close()
 
 
+def _large_rows(batches, large: np.ndarray, anchor: int):
+    """Fragments of the anchors with the most of them."""
+    for number, classes in _each(batches, "slice", "classes"):
+        rows = _class_rows(number, classes, anchor)
+        rows = rows.filter(pa.array(np.isin(rows.column("anchor").to_numpy(), large)))
+        yield rows.select(["slice", "idx", "least", "most", "data"])
+
+
 def _range_min(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """Smallest of ``values[low..high]`` for each pair; long ranges go by blocks. The last value is in no range."""
     long = high - low >= 2 * _BLOCK
@@ -540,38 +696,80 @@ def _by_whole_strings(classes: DataFrame, length: int) -> DataFrame:
     return joined.select("slice", "idx", (F.col("place") - 1).alias("at"), F.lit(1).alias("n"), "first")
 
 
-def _spans(rows: pa.Table, found: pa.Table) -> pa.Table:
-    """Spans of strings of each row of a slice that a smaller id has as well."""
-    by_fragment: dict[int, list[tuple[int, int, int]]] = {}
-    for i, at, n, first in zip(*(found.column(c).to_pylist() for c in ("idx", "at", "n", "first"))):
-        by_fragment.setdefault(i, []).append((at, n, first))
-    out = []
-    for key, mark, idxs, starts in zip(*(rows.column(c).to_pylist() for c in ("key", "mark", "idxs", "starts"))):
-        spans: list[list[int]] = []
-        for i, start in zip(idxs, starts):
-            for at, n, first in sorted(by_fragment.get(i, ())):
-                if first < key:
-                    if spans and sum(spans[-1]) == start + at:
-                        spans[-1][1] += n
-                    else:
-                        spans.append([start + at, n])
-        if spans:
-            out.append((key, mark, [x for s in spans for x in s]))
-    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32())]
-    columns = [pa.array(c, k) for c, k in zip(list(zip(*out)) or [[]] * 3, kinds)]
-    return pa.Table.from_arrays(columns, ["key", "mark", "spans"])
-
-
-def _cut(text: bytes, spans: list[tuple[int, int]], length: int) -> tuple[bytes, int, int]:
-    """The bytes outside of all strings that start within the spans; removed bytes and runs."""
-    gone = np.zeros(len(text) + 2, np.int32)
-    for start, n in spans:
-        gone[start + 1] += 1
-        gone[start + n + length] -= 1
-    mask = np.cumsum(gone)[1:-1] > 0
-    edges = np.diff(np.concatenate([[False], mask, [False]]).astype(np.int8))
-    kept = np.frombuffer(text, np.uint8)[~mask].tobytes()
-    return kept, int(mask.sum()), int((edges == 1).sum())
+_FOUND = "slice long, found binary"
+
+
+def _found_by_slice(runs: pa.Table) -> pa.RecordBatch:
+    """Runs that were found, packed by slice."""
+    runs = runs.sort_by([("slice", "ascending"), ("idx", "ascending"), ("at", "ascending")]).combine_chunks()
+    numbers, idx, at, n, first = (c.to_numpy() for c in runs.columns)
+    cuts = [*(np.flatnonzero(numbers[1:] != numbers[:-1]) + 1).tolist()]
+    cuts = [0, *cuts, len(numbers)] if len(numbers) else [0]
+    packs = [
+        _squeezed(np.diff(idx[a:b], prepend=np.int32(0)), at[a:b].astype("<u2"), n[a:b].astype("<u2"), first[a:b])
+        for a, b in zip(cuts, cuts[1:])
+    ]
+    return _batch(_FOUND, [numbers[cuts[:-1]], packs], [pa.int64(), pa.binary()])
+
+
+def _bucket_runs(batches, length: int, anchor: int):
+    """Runs of shared strings of a bucket's fragments."""
+    bucket, held = None, []
+
+    def close():
+        if not held:
+            return
+        sizes, places, least, most, data, slice_of, idx = (np.concatenate(c) for c in zip(*held))
+        held.clear()
+        anchors = _anchors_of(sizes, places, data, anchor)
+        columns = [anchors, _binary(sizes, data), places.astype(np.int32), slice_of, idx, least, most]
+        rows = pa.table(dict(zip(_KINDS, columns)))
+        rows = rows.sort_by([("anchor", "ascending"), ("data", "ascending")]).combine_chunks()
+        found = pa.Table.from_batches(list(_sorted_collections(rows.to_batches(), length, anchor)))
+        if found.num_rows:
+            yield _found_by_slice(found)
+
+    for at, rows in _each(batches, "bucket", "rows"):
+        if at != bucket:
+            yield from close()
+            bucket = at
+        *columns, numbers, idx = _opened(rows, *_CLASSES, "<i8", "u1")
+        held.append([*_classes_from(columns), numbers, np.cumsum(_numbers(idx, "<i4"), dtype=np.int32)])
+    yield from close()
+
+
+def _pack_runs(batches):
+    for batch in batches:
+        if batch.num_rows:
+            yield _found_by_slice(pa.Table.from_batches([batch]))
+
+
+def _gone(
+    ends: np.ndarray, keys: np.ndarray, copies: list[int], places: bytes | None, found: list[bytes], length: int
+) -> np.ndarray:
+    """Which bytes of a slice lie in strings that a smaller id has as well."""
+    change = np.zeros(int(ends[-1]) + 1 if len(ends) else 1, np.int32)
+    if places is not None and found:
+        idx, begin = (np.cumsum(c) for c in _opened(places, "<i4", "<i4"))
+        packs = [_opened(f, "<i4", "<u2", "<u2", "<i8") for f in found]
+        of = np.concatenate([np.cumsum(p[0]) for p in packs])
+        at, n, first = (np.concatenate([p[i] for p in packs]).astype(np.int64) for i in range(1, 4))
+        order = np.argsort(of, kind="stable")
+        of, at, n, first = of[order], at[order], n[order], first[order]
+        low, high = np.searchsorted(of, idx, "left"), np.searchsorted(of, idx, "right")
+        count = high - low
+        piece = np.repeat(np.arange(len(idx)), count)
+        run = np.arange(len(piece)) - np.repeat(np.cumsum(count) - count, count) + low[piece]
+        smaller = first[run] < keys[np.searchsorted(ends, begin, "right")][piece]
+        piece, run = piece[smaller], run[smaller]
+        start = begin[piece] + at[run]
+        stop = start + n[run] + length - 1
+        change += np.bincount(start, minlength=len(change)).astype(np.int32)
+        change -= np.bincount(stop, minlength=len(change)).astype(np.int32)
+    gone = np.cumsum(change[:-1]) > 0
+    for c in copies:
+        gone[ends[c - 1] if c else 0 : ends[c]] = True
+    return gone
 
 
 def remove_repeats(
@@ -586,85 +784,78 @@ def remove_repeats(
 
     The second value names the added columns, whose names avoid those of ``df``.
     """
+    spark = df.sparkSession
     added = {"kept": "binary", "n_bytes": "long", "n_removed": "long", "n_spans": "long"}
-    name = {c: fresh(df, c) for c in ("key", "mark", "copy", "spans", "packed", *added)}
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST))
-    docs = df.withColumns({name["key"]: key, name["mark"]: F.xxhash64(text)})
-    plain = docs.select(F.col(name["key"]).alias("key"), F.col(name["mark"]).alias("mark"), text.alias("text"))
-    # Whole copies: only those with the smallest id are looked into.
-    rows = plain.select("key", "mark", F.octet_length("text").alias("size"), F.unhex(F.sha2("text", 256)).alias("sha"))
-    rows = materialize(rows.distinct(), "digests")
-    firsts = rows.groupBy("sha").agg(F.min("key").alias("first"))
-    rows = rows.join(firsts, "sha").withColumn("copy", (F.col("first") < F.col("key")) & (F.col("size") >= length))
-    rows = materialize(rows.select("key", "mark", "copy"), "copies")
-    buckets = 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    anchors = map_texts(
-        plain.select("key", "text"),
-        "text",
-        "bucket long, known boolean, keys binary, hashes binary",
-        lambda: partial(_anchor_rows, buckets=buckets, length=length, anchor=anchor),
-    )
-    shared = anchors.repartition("bucket").sortWithinPartitions("bucket")
-    shared = shared.mapInArrow(give_back(_shared_anchors), "key long, hashes binary")
-    shared = shared.join(rows.where(~F.col("copy")).select("key").distinct(), "key", "left_semi")
-    wanted = shared.groupBy("key").agg(F.collect_list("hashes").alias("anchors"))
-    packed = map_texts(plain, "text", "key long, mark long, packed binary", lambda: _packed)
-    cut = packed.join(wanted, "key").mapInArrow(give_back(partial(_fragment_rows, length=length, anchor=anchor)), _CUT)
-    cut = materialize(cut, "fragments", compression="zstd")
-    classes = cut.where("data is not null").select("slice", "idx", "anchor", "data", "place", "least", "most")
-    large = classes.groupBy("anchor").count().where(F.col("count") > group_fragments)
-    large = materialize(large.select("anchor"), "large-anchors")
-    usual, rest = classes, None
-    if not large.isEmpty():
-        usual = classes.join(large, "anchor", "left_anti")
-        rest = _by_whole_strings(classes.join(large, "anchor", "left_semi"), length)
-    usual = usual.repartition("anchor").sortWithinPartitions("anchor", "data")
-    found = usual.mapInArrow(give_back(partial(_sorted_collections, length=length, anchor_size=anchor)), _RUNS)
-    found = found.unionByName(rest) if rest is not None else found
-    places = cut.where("data is null").select("slice", "key", "mark", "idxs", "starts")
-    spans = places.groupBy("slice").cogroup(found.groupBy("slice"))
-    spans = spans.applyInArrow(_spans, "key long, mark long, spans array<int>")
-    # Rows that are alike in id and text have the same spans, once each.
-    spans = spans.groupBy("key", "mark").agg(F.first("spans").alias("spans"))
-    verdict = rows.join(spans, ["key", "mark"], "left")
-    verdict = verdict.select(*[F.col(c).alias(name[c]) for c in ("key", "mark", "copy", "spans")])
+    name = {c: fresh(df, c) for c in ("key", *added)}
     others = [c for c in df.columns if c != text_col]
-    whole = docs.select(*others, name["key"], name["mark"], F.col(text_col).cast("string").alias("text"))
-    packed_schema = StructType([*whole.schema.fields[:-1], StructField(name["packed"], BinaryType())])
-
-    def pack(batch: pa.RecordBatch) -> pa.RecordBatch:
-        done = _packed(batch)
-        return pa.RecordBatch.from_arrays(done.columns, packed_schema.names)
-
-    joined = map_texts(whole, "text", packed_schema, lambda: pack).join(verdict, [name["key"], name["mark"]])
-    joined = joined.select(*others, name["packed"], name["copy"], name["spans"])
-    out = StructType([f for f in joined.schema.fields if f.name in others])
+    key = F.coalesce(F.col(id_col).cast("long"), F.lit(_LAST)).alias(name["key"])
+    docs = df.select(*others, F.col(text_col).cast("string").alias(text_col), key)
+    packed = docs.mapInArrow(give_back(partial(_packed_slices, text_col=text_col, key=name["key"])), _SLICES)
+    packed = materialize(packed, "slices", compression="uncompressed")
+    # Whole copies: only those with the smallest id are looked into.
+    rows = packed.select("slice", F.posexplode(F.arrays_zip("keys", "sizes", "shas")).alias("row", "is"))
+    rows = rows.select("slice", "row", "is.keys", "is.shas").where(F.col("is.sizes") >= length)
+    firsts = rows.groupBy("shas").agg(F.min("keys").alias("first"), F.max("keys").alias("last")).where("first < last")
+    # Written, so that a join with many copies of one text can be split.
+    firsts = materialize(firsts.drop("last"), "firsts", let_go=True)
+    copies = rows.join(firsts, "shas").where("first < keys")
+    copies = materialize(copies.groupBy("slice").agg(F.collect_list("row").alias("copies")), "copies", let_go=True)
+    with shuffles_let_go(spark):
+        total = packed.agg(F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // BUCKET_BYTES))
+    cutting = dict(buckets=buckets, length=length, anchor=anchor, text_col=text_col)
+    packed = packed.select("slice", "packed")
+    replies = packed.mapInArrow(give_back(partial(_requests, **cutting)), _REQUESTS)
+    replies = replies.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(give_back(_replies), _REPLIES)
+    replies = materialize(replies, "replies", compression="zstd", let_go=True)
+    replies = replies.groupBy("slice").agg(F.collect_list(F.struct("bucket", "bits")).alias("replies"))
+    cut = packed.join(replies, "slice").join(copies, "slice", "left")
+    cut = cut.mapInArrow(give_back(partial(_cut_slices, **cutting, key=name["key"])), _CUT)
+    cut = materialize(cut, "fragments", compression="uncompressed", let_go=True)
+    many = cut.select(F.explode("many").alias("m")).groupBy("m.anchor").agg(F.sum("m.count").alias("n"))
+    # So many fragments each, that the list stays small.
+    with shuffles_let_go(spark):
+        large = np.array([r["anchor"] for r in many.where(F.col("n") > group_fragments).collect()], np.int64)
+    classes = cut.select("slice", "classes")
+    found = classes.mapInArrow(give_back(partial(_dealt, buckets=buckets, large=large, anchor=anchor)), _DEALT)
+    found = found.repartition("bucket").sortWithinPartitions("bucket")
+    found = found.mapInArrow(give_back(partial(_bucket_runs, length=length, anchor=anchor)), _FOUND)
+    if len(large):
+        rest = classes.mapInArrow(
+            partial(_large_rows, large=large, anchor=anchor), "slice long, idx int, least long, most long, data binary"
+        )
+        rest = _by_whole_strings(rest, length).repartition("slice")
+        found = found.unionByName(rest.mapInArrow(_pack_runs, _FOUND))
+    found = materialize(found, "runs", compression="uncompressed", let_go=True)
+    found = found.groupBy("slice").agg(F.collect_list("found").alias("found"))
+    out = StructType([f for f in docs.schema.fields if f.name in others])
     out = out.add(text_col, "string")
     for c, kind in added.items():
         out = out.add(name[c], kind)
-    apply = partial(_apply_spans, name=name, others=others, names=out.names, length=length)
-    result = joined.mapInArrow(give_back(apply), out)
+    apply = partial(_cut_texts, key=name["key"], text_col=text_col, others=others, names=out.names, length=length)
+    joined = packed.join(cut.select("slice", "places"), "slice", "left").join(found, "slice", "left")
+    result = joined.join(copies, "slice", "left").mapInArrow(give_back(apply), out)
     return result.select(*df.columns, *[name[c] for c in added]), name
 
 
-def _apply_spans(batches, name: dict[str, str], others: list[str], names: list[str], length: int):
-    """Texts and what stays of them."""
-    for batch in _parts(batches):
-        results = []
-        packed, copies, spans = (batch.column(name[c]).to_pylist() for c in ("packed", "copy", "spans"))
-        for data, raw, copy, found in zip(_opened(packed), packed, copies, spans):
-            text = None if raw is None else data.decode()
-            if copy:
-                results.append((text, b"", len(data), len(data), 1))
-            elif not found:
-                results.append((text, data, len(data), 0, 0))
-            else:
-                kept, removed, n = _cut(data, list(zip(found[::2], found[1::2])), length)
-                results.append((text, kept, len(data), removed, n))
-        kinds = [pa.string(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
-        values = [pa.array(c, k) for c, k in zip(list(zip(*results)) or [[]] * 5, kinds)]
-        yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), *values], names)
+def _cut_texts(batches, key: str, text_col: str, others: list[str], names: list[str], length: int):
+    """A slice's rows, what stays of their texts, and the counts of bytes, removed ones and spans."""
+    for packed, places, found, copies in _each(batches, "packed", "places", "found", "copies"):
+        rows = _rows(packed)
+        flat, ends = _flat(rows, text_col)
+        gone = _gone(ends, rows.column(key).to_numpy(), copies or [], places, found or [], length)
+        begins = np.concatenate([[0], ends[:-1]]).astype(np.int64)
+        before = np.concatenate([[0], np.cumsum(gone)])
+        first = gone.copy()
+        first[1:] &= ~gone[:-1]
+        at = begins[begins < ends]
+        first[at] = gone[at]
+        spans = np.concatenate([[0], np.cumsum(first)])
+        removed = before[ends] - before[begins]
+        kept = _binary(ends - begins - removed, np.frombuffer(flat, np.uint8)[~gone])
+        counts = [ends - begins, removed, spans[ends] - spans[begins]]
+        columns = [*(rows.column(c) for c in others), rows.column(text_col), kept, *(pa.array(c, pa.int64()) for c in counts)]
+        yield pa.RecordBatch.from_arrays(columns, names)
 
 
 def without_repeats(df: DataFrame, text_col: str = "text", **options) -> DataFrame:
